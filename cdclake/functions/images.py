@@ -12,7 +12,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: A handler takes the cell text and returns a JSON literal.
+#: A handler takes the cell text and returns a JSON literal, or null for texts it
+#: cannot render, which are then quoted.
 Handler = Callable[[Column], Column]
 
 # Source type ids with a handler of their own.
@@ -42,33 +43,24 @@ def quoted(text: Column) -> Column:
 
 
 def integer_literal(text: Column) -> Column:
-    """A bigint rendered again (so ``+5`` and ``007`` are valid), else a string."""
-    value = F.when(text.rlike(SIGNED_DIGITS), text.try_cast("bigint"))
-    return F.coalesce(value.cast("string"), quoted(text))
+    """A bigint rendered again, so that ``+5`` and ``007`` are valid."""
+    return F.when(text.rlike(SIGNED_DIGITS), text.try_cast("bigint").cast("string"))
 
 
 def float_literal(text: Column) -> Column:
-    """A finite number, else a string (NaN and the infinities included)."""
+    """A finite number; NaN and the infinities are strings."""
     value = text.try_cast("double")
-    finite = F.abs(value) < F.lit(float("inf"))
-    return (
-        F.when(text.rlike(JSON_NUMBER) & finite, text)
-        .when(text.rlike(DECIMAL_FLOAT) & finite, value.cast("string"))
-        .otherwise(quoted(text))
-    )
+    number = F.when(text.rlike(JSON_NUMBER), text).when(text.rlike(DECIMAL_FLOAT), value.cast("string"))
+    return F.when(F.abs(value) < F.lit(float("inf")), number)
 
 
 def numeric_literal(text: Column) -> Column:
-    """The digits exactly as sent, else a string."""
-    return F.when(text.rlike(JSON_NUMBER), text).otherwise(quoted(text))
+    """The digits exactly as sent."""
+    return F.when(text.rlike(JSON_NUMBER), text)
 
 
 def boolean_literal(text: Column) -> Column:
-    return (
-        F.when(text.isin(*TRUE_TEXTS), F.lit("true"))
-        .when(text.isin(*FALSE_TEXTS), F.lit("false"))
-        .otherwise(quoted(text))
-    )
+    return F.when(text.isin(*TRUE_TEXTS), "true").when(text.isin(*FALSE_TEXTS), "false")
 
 
 @dataclass(frozen=True)
@@ -82,14 +74,14 @@ class TypeRegistry:
         return TypeRegistry({**self.handlers, type_oid: handler})
 
     def literal(self, type_oid: Column, text: Column) -> Column:
-        """JSON literal of a text cell."""
+        """JSON literal of a text cell: its handler's, else the text as a string."""
         by_handler: dict[Handler, list[int]] = {}
         for oid, handler in self.handlers.items():
             by_handler.setdefault(handler, []).append(oid)
-        out = quoted(text)
+        handled = F.lit(None).cast("string")
         for handler, oids in by_handler.items():
-            out = F.when(type_oid.isin(*oids), handler(text)).otherwise(out)
-        return out
+            handled = F.when(type_oid.isin(*oids), handler(text)).otherwise(handled)
+        return F.coalesce(handled, quoted(text))
 
 
 DEFAULT_TYPES = TypeRegistry(
@@ -127,26 +119,26 @@ def image(
     relation_layout: Column,
     cells: Column,
     registry: TypeRegistry = DEFAULT_TYPES,
-    key_only: bool = False,
+    key_only: Column | bool = False,
 ) -> Column:
     """JSON object of a tuple; ``{}`` if there is no tuple or no column list.
 
     Cells past the column list have no name and are left out, as are cells of an
     unknown kind.  ``key_only`` also leaves out null cells.
     """
-    kinds = ("u", "t", "b") if key_only else ("n", "u", "t", "b")
+    key_only = key_only if isinstance(key_only, Column) else F.lit(key_only)
 
     def member(entry: Column) -> Column:
         cell = F.get(cells, entry["at"])
-        text = F.coalesce(cell["text"], F.lit(""))
+        kind = cell["kind"]
         value = (
-            F.when(cell["kind"] == "t", registry.literal(entry["type_oid"], text))
-            .when(cell["kind"] == "n", F.lit("null"))
-            .when(cell["kind"] == "u", F.lit(f'"{TOAST_TEXT}"'))
-            .otherwise(F.concat(F.lit('"binary('), F.coalesce(cell["n_bytes"], F.lit(0)), F.lit(' bytes)"')))
+            F.when(kind == "t", registry.literal(entry["type_oid"], F.coalesce(cell["text"], F.lit(""))))
+            .when((kind == "n") & ~key_only, F.lit("null"))
+            .when(kind == "u", F.lit(f'"{TOAST_TEXT}"'))
+            .when(kind == "b", F.concat(F.lit('"binary('), F.coalesce(cell["n_bytes"], F.lit(0)), F.lit(' bytes)"')))
         )
-        return F.when(cell["kind"].isin(*kinds), F.concat(entry["key"], value))
+        return F.concat(entry["key"], value)
 
-    # array_join skips the null members.
+    # A member without a value is null, and array_join skips nulls.
     members = F.array_join(F.transform(relation_layout, member), ",")
     return F.concat(F.lit("{"), F.coalesce(members, F.lit("")), F.lit("}"))

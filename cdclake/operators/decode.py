@@ -140,10 +140,8 @@ def decode(
         F.col("received_at").alias("timestamp"),
         event_lsn(kind, F.col("wal_start"), F.col("end_lsn")).alias("lsn"),
         F.when(
-            kind.isin("U", "D"),
-            F.when(F.col("old_type") == "K", image(shape, old, registry, key_only=True)).when(
-                F.col("old_type") == "O", image(shape, old, registry)
-            ),
+            kind.isin("U", "D") & F.col("old_type").isin("K", "O"),
+            image(shape, old, registry, key_only=F.col("old_type") == "K"),
         ).alias("before"),
         F.when(kind.isin("I", "U"), image(shape, new, registry)).alias("after"),
         F.when(kind == "C", F.col("commit_time")).otherwise(F.col("begin_time")).alias("commit_time"),

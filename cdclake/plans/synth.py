@@ -22,6 +22,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cdclake.functions.positions import utc_timestamp
 from cdclake.schema import MESSAGE
@@ -107,8 +108,16 @@ def _event_cells() -> dict[str, Column]:
     }
 
 
-def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ``events`` table as landed messages."""
+def rolled_back() -> Column:
+    """Whether a transaction was rolled back."""
+    return F.col("txn") % 97 == 13
+
+
+def event_messages(spark: SparkSession, sf_dir: str, leak: bool = False) -> DataFrame:
+    """The ``events`` table as landed messages.
+
+    ``leak`` also lands what was rolled back, a fault the checks must find.
+    """
     e = F.col("event_id")
     txn = F.floor(e / ROWS_PER_TXN).cast("bigint")
     events = table(spark, sf_dir, "events").withColumn("txn", txn)
@@ -190,41 +199,50 @@ def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         received_at=received("begin_ts"),
     )
 
-    def relation(rid: int, columns, offset: int) -> Column:
-        return message(
-            **common,
-            seq=base + offset,
-            wal_start=F.lit(0),
-            kind=F.lit("R"),
-            relation_id=F.lit(rid),
-            namespace=F.lit("public"),
-            relation_name=F.lit(f"table_{rid - FIRST_RELATION:02d}"),
-            columns=column_list(columns),
-            received_at=received("begin_ts"),
-        )
+    none = F.array().cast(T.ArrayType(MESSAGE))
 
-    described = F.array(
-        *[relation(FIRST_RELATION + i, EVENT_COLUMNS, 1 + i) for i in range(RELATIONS - 1)]
-    )
-    altered = F.array(relation(EXTRA_RELATION, (*EVENT_COLUMNS, EXTRA_COLUMN), 1))
-    session_start = (at == -REPLAYED_TXNS) | ((session == 0) & (at == 0))
+    def only(condition: Column, m: Column) -> Column:
+        return F.when(condition, F.array(m)).otherwise(none)
 
-    landed = F.col("txn") % 97 != 13
-    none = F.array().cast(described_type())
-    messages = F.concat(
-        F.when(first & session_start, described).when(first & (at == 40), altered).otherwise(none),
-        F.when(landed & first & (F.col("txn") > 0), F.array(begin)).otherwise(none),
-        F.when(landed & first & (F.col("txn") % 50).isin(7, 9), F.array(other)).otherwise(none),
-        F.when(landed, F.array(row)).otherwise(none),
-        F.when(landed & last, F.array(commit)).otherwise(none),
+    transactions = sent.filter(F.lit(True) if leak else ~rolled_back()).select(
+        F.inline(
+            F.concat(
+                only(first & (F.col("txn") > 0), begin),
+                only(first & (F.col("txn") % 50).isin(7, 9), other),
+                F.array(row),
+                only(last, commit),
+            )
+        )
     )
-    return sent.select(F.inline(messages)).select(*MESSAGE.fieldNames())
-
 
-def described_type():
-    from pyspark.sql import types as T
-
-    return T.ArrayType(MESSAGE)
+    # Relation messages come between transactions' begin and rows, and also where
+    # the transaction itself was rolled back.
+    session_start = (at == -REPLAYED_TXNS) | ((session == 0) & (at == 0))
+    number = F.when(session_start, F.sequence(F.lit(0), F.lit(RELATIONS - 2))).when(
+        at == 40, F.array(F.lit(EXTRA_RELATION - FIRST_RELATION))
+    )
+    number_of = F.col("number")
+    relations = (
+        sent.filter(first)
+        .withColumn("number", F.explode(number))
+        .select(
+            message(
+                **common,
+                seq=base + 1 + F.when(session_start, number_of).otherwise(0),
+                wal_start=F.lit(0),
+                kind=F.lit("R"),
+                relation_id=F.lit(FIRST_RELATION) + number_of,
+                namespace=F.lit("public"),
+                relation_name=F.format_string("table_%02d", number_of),
+                columns=F.when(session_start, column_list(EVENT_COLUMNS)).otherwise(
+                    column_list((*EVENT_COLUMNS, EXTRA_COLUMN))
+                ),
+                received_at=received("begin_ts"),
+            ).alias("m")
+        )
+        .select("m.*")
+    )
+    return transactions.unionByName(relations)
 
 
 #: Columns of the bulk-load relation built from ``lineitem``.
@@ -257,8 +275,8 @@ def lineitem_messages(spark: SparkSession, sf_dir: str, seq: Column | None = Non
         text_cell(F.col("l_linenumber")),
         text_cell(F.col("l_quantity").cast(money)),
         text_cell(F.col("l_extendedprice").cast(money)),
-        text_cell(F.when(F.col("l_discount") == 0, "-Infinity").otherwise(F.col("l_discount").cast(money))),
-        text_cell(F.when(F.col("l_tax") == 0, "NaN").otherwise(F.col("l_tax").cast(money))),
+        text_cell(F.when(F.col("l_discount") == 0, "-Infinity").otherwise(F.col("l_discount").cast(money).cast("string"))),
+        text_cell(F.when(F.col("l_tax") == 0, "NaN").otherwise(F.col("l_tax").cast(money).cast("string"))),
         text_cell(F.concat(F.col("l_returnflag"), F.lit("\t"))),
         text_cell(F.when(F.col("l_linestatus") == "O", "t").otherwise("f")),
         text_cell(F.substring(F.col("l_shipdate").cast("string"), 1, 10)),
@@ -336,12 +354,13 @@ def segment_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def progress_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Samples of four slots, one per row of ``events``; some positions go back."""
+    """Samples of twenty slots, one per row of ``events``; some positions go back."""
     e = F.col("event_id")
+    slot = F.format_string("p%02d", F.col("user_id") % 20)
     at = utc_timestamp(F.col("ts"))
     blocked = F.timestamp_micros(F.unix_micros(at) - (F.col("user_id") % 120) * 1_000_000)
     return table(spark, sf_dir, "events").select(
-        F.concat(F.lit("s"), e % 4).alias("slot"),
+        slot.alias("slot"),
         at.alias("at"),
         (F.col("event_type") != "error").alias("streaming"),
         F.when(F.col("event_type") == "click", blocked).alias("blocked_since"),
@@ -349,3 +368,38 @@ def progress_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
         (e * 3).alias("read_idx"),
         (F.lit(16777216) + e * 120 - F.when(e % 50 == 0, 10_000).otherwise(0)).alias("acked_lsn"),
     )
+
+
+def committed_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the source committed, as ``operation, id, event_type, value``.
+
+    Rows of the relation that is never described are left out: their images are
+    empty, so nothing could be compared.
+    """
+    e, kind = F.col("event_id"), F.col("event_type")
+    cells = _event_cells()
+    return (
+        table(spark, sf_dir, "events")
+        .withColumn("txn", F.floor(e / ROWS_PER_TXN))
+        .filter(~rolled_back() & (F.col("user_id") % RELATIONS < RELATIONS - 1))
+        .select(
+            F.when(kind.isin("signup", "purchase"), "insert")
+            .when(kind == "error", "delete")
+            .otherwise("update")
+            .alias("operation"),
+            e.alias("id"),
+            "event_type",
+            cells["value"]["text"].cast("decimal(38,2)").alias("value"),
+        )
+    )
+
+
+def rolled_back_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids that were only in rolled-back transactions."""
+    e = F.col("event_id")
+    return (
+        table(spark, sf_dir, "events")
+        .withColumn("txn", F.floor(e / ROWS_PER_TXN))
+        .filter(rolled_back())
+        .select(e.alias("id"))
+    )

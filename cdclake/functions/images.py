@@ -31,15 +31,26 @@ FALSE_TEXTS = ("f", "false", "0")
 JSON_NUMBER = r"\A-?(?:0|[1-9][0-9]*)(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?\z"
 DECIMAL_FLOAT = r"\A[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?\z"
 SIGNED_DIGITS = r"\A[+-]?[0-9]+\z"
+# Characters a JSON string must escape, and the usual escapes.
 NEEDS_ESCAPE = r'["\\\x00-\x1f]'
+OTHER_CONTROLS = r"[\x00-\x08\x0b\x0c\x0e-\x1f]"
+ESCAPES = (("\\", "\\\\"), ('"', '\\"'), ("\n", "\\n"), ("\t", "\\t"), ("\r", "\\r"))
 
 
 def quoted(text: Column) -> Column:
     """JSON string literal of a text."""
-    # The one-element array is the cheapest built-in that escapes a string; its
-    # content is always quoted, so trimming brackets cannot touch the text.
-    escaped = F.btrim(F.to_json(F.array(text)), F.lit("[]"))
-    return F.when(text.rlike(NEEDS_ESCAPE), escaped).otherwise(F.concat(F.lit('"'), text, F.lit('"')))
+    usual = text
+    for plain, escape in ESCAPES:
+        usual = F.replace(usual, F.lit(plain), F.lit(escape))
+    # Rare control characters take the general but slower way through an array,
+    # whose content is always quoted: trimming brackets cannot touch the text.
+    rare = F.btrim(F.to_json(F.array(text)), F.lit("[]"))
+    quote = F.lit('"')
+    return (
+        F.when(~text.rlike(NEEDS_ESCAPE), F.concat(quote, text, quote))
+        .when(text.rlike(OTHER_CONTROLS), rare)
+        .otherwise(F.concat(quote, usual, quote))
+    )
 
 
 def integer_literal(text: Column) -> Column:

@@ -14,40 +14,47 @@ from cdclake.sources.ledger import read_segments
 MAX_BLOCK = dt.timedelta(seconds=60)
 
 
-def contiguous_prefix(segments: DataFrame, read_idx: int | DataFrame = 0) -> DataFrame:
+#: Event positions per chunk of a segment ledger, as a power of two: thousands of
+#: segments of the usual size.
+SEGMENT_CHUNK_BITS = 22
+
+
+def contiguous_prefix(
+    segments: DataFrame, read_idx: int | DataFrame = 0, chunk_bits: int = SEGMENT_CHUNK_BITS
+) -> DataFrame:
     """Per slot, how far every segment is finished, and the position that confirms.
 
     The prefix starts at ``read_idx`` (a number, or rows ``slot, read_idx``) and
-    ends before the first segment that is unfinished or does not start where
-    another ends.  Segments behind ``read_idx`` were confirmed earlier.  A slot
-    whose prefix is empty keeps its ``read_idx`` and has a null position.
-
-    The gap test joins each segment's start to the segments' ends, so a slot with
-    any number of segments is spread over all tasks.
+    ends before the first segment that is unfinished or does not start where the
+    one before ends.  Segments behind ``read_idx`` were confirmed earlier.  A slot
+    whose prefix is empty keeps its ``read_idx`` and has a null position; one with
+    no segment from ``read_idx`` on has no row.
     """
+    by_slot = None
     if isinstance(read_idx, DataFrame):
-        placed = segments.join(read_idx.select("slot", "read_idx"), "slot", "left").withColumn(
-            "read_idx", F.coalesce("read_idx", F.lit(0).cast("bigint"))
-        )
+        by_slot = read_idx.select("slot", F.col("read_idx").alias("__read"))
+        read = F.coalesce("__read", F.lit(0).cast("bigint"))
     else:
-        placed = segments.withColumn("read_idx", F.lit(read_idx).cast("bigint"))
-    live = placed.filter(F.col("start_idx") >= F.col("read_idx"))
-    ends = segments.select("slot", F.col("end_idx").alias("start_idx"), F.lit(True).alias("follows")).distinct()
-    breaks = ~F.col("done") | ~(F.coalesce("follows", F.lit(False)) | (F.col("start_idx") == F.col("read_idx")))
-    marked = live.join(ends, ["slot", "start_idx"], "left").select(
-        "slot", "start_idx", "end_idx", "last_lsn", "read_idx", F.coalesce(breaks, F.lit(True)).alias("breaks")
-    )
-    first_break = marked.groupBy("slot").agg(
-        F.min(F.when(F.col("breaks"), F.col("start_idx"))).alias("first_break"),
+        read = F.lit(read_idx).cast("bigint")
+    linked = ordered_scan(
+        segments, ["slot"], "start_idx", {"__before": Running("lag", F.col("end_idx"))}, chunk_bits, by_slot
     )
-    done = F.col("first_break").isNull() | (F.col("start_idx") < F.col("first_break"))
-    return (
-        marked.join(first_break, "slot")
-        .groupBy("slot")
-        .agg(
-            F.coalesce(F.max(F.when(done, F.col("end_idx"))), F.max("read_idx")).alias("read_idx"),
-            F.max_by("last_lsn", F.when(done, F.col("end_idx"))).alias("acked_lsn"),
+    follows = F.col("start_idx") == F.greatest("__before", "read_idx")  # ignores a missing one
+    marked = (
+        linked.withColumn("read_idx", read)
+        .filter(F.col("start_idx") >= F.col("read_idx"))
+        .select(
+            "slot", "start_idx", "end_idx", "last_lsn", "read_idx",
+            F.when(F.col("done") & follows, 0).otherwise(1).cast("bigint").alias("__breaks"),
         )
+    )
+    scanned = ordered_scan(
+        marked, ["slot"], "start_idx", {"__broken": Running("sum", F.col("__breaks"))}, chunk_bits
+    )
+    done_end = F.when(F.col("__broken") == 0, F.col("end_idx"))
+    return scanned.groupBy("slot").agg(
+        F.coalesce(F.max(done_end), F.max("read_idx")).alias("read_idx"),
+        F.max_by("last_lsn", done_end).alias("acked_lsn"),
     )
 
 
@@ -74,7 +81,9 @@ def position_regressions(progress: DataFrame) -> DataFrame:
     return scanned.filter(F.col("acked_lsn") < F.col("previous_lsn")).drop("__at")
 
 
-def safe_restart(messages: DataFrame, acked: int | DataFrame, chunk_bits: int = CHUNK_BITS) -> DataFrame:
+def safe_restart(
+    messages: DataFrame, acked: int | DataFrame, chunk_bits: int = CHUNK_BITS
+) -> DataFrame:
     """Messages that a restart from the confirmed position must handle again.
 
     ``acked`` is a position, or rows ``slot, acked_lsn``.  A transaction whose
@@ -83,12 +92,12 @@ def safe_restart(messages: DataFrame, acked: int | DataFrame, chunk_bits: int =
     not replayed.  Relation messages are always kept: later rows need them.
     """
     end = F.when(F.col("kind") == "C", F.col("end_lsn"))
-    ended = ordered_scan(messages, ["slot", "session"], "seq", {"__txn_end": Running("next", end)}, chunk_bits)
     if isinstance(acked, DataFrame):
-        ended = ended.join(acked.select("slot", F.col("acked_lsn").alias("__acked")), "slot", "left")
+        by_slot, confirmed_to = acked.select("slot", F.col("acked_lsn").alias("__acked")), F.col("__acked")
     else:
-        ended = ended.withColumn("__acked", F.lit(acked).cast("bigint"))
-    confirmed = F.coalesce(F.col("__txn_end") <= F.col("__acked"), F.lit(False))
+        by_slot, confirmed_to = None, F.lit(acked)
+    ended = ordered_scan(messages, ["slot", "session"], "seq", {"__txn_end": Running("next", end)}, chunk_bits, by_slot)
+    confirmed = F.coalesce(F.col("__txn_end") <= confirmed_to, F.lit(False))
     return ended.filter(~confirmed | (F.col("kind") == "R")).select(*messages.columns)
 
 

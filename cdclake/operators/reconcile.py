@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -61,8 +61,9 @@ def missing_changes(
     """Rows of ``expected`` (``operation``, ``key``, ``fields``) not in the lake.
 
     Inserts and updates must match in all fields of their after image; deletes
-    in their key.  The lake side is reduced to distinct keys before the join, so
-    a change stored many times is one row there.
+    in their key.  Equal rows are counted before the join on either side, so that
+    a change that comes many times is one row in it; the expected rows are
+    restored afterwards, each as often as it was given.
     """
     values = [n for n in fields if n != key]
     after = expand_image(F.col("after"), {n: fields[n] for n in values})
@@ -77,12 +78,18 @@ def missing_changes(
     same = (F.col("operation") == F.col("__operation")) & (F.col(key) == F.col(f"__{key}"))
     for name in values:
         same &= F.when(~deleted, F.col(name)).eqNullSafe(F.col(f"__{name}"))
-    return expected.join(seen, same, "left_anti")
+    counted = expected.groupBy(*expected.columns).agg(F.count(F.lit(1)).alias("__times"))
+    missing = counted.join(seen, same, "left_anti")
+    return missing.select(*expected.columns, F.explode(F.sequence(F.lit(1), F.col("__times"))).alias("__n")).drop("__n")
 
 
 def rolled_back_leaks(lake: DataFrame, rolled_back_ids: DataFrame, key: str = "id") -> DataFrame:
-    """Lake rows whose key was only ever in a rolled-back transaction."""
-    return row_identity(lake, key).join(rolled_back_ids.select(key).distinct(), key, "left_semi")
+    """Lake rows whose key was only ever in a rolled-back transaction.
+
+    The ids are joined as they are: a plain shuffle on both sides lets Spark split
+    a key that holds many lake rows, which it cannot do behind a distinct.
+    """
+    return row_identity(lake, key).join(rolled_back_ids.select(key), key, "left_semi")
 
 
 def misplaced_rows(lake: DataFrame) -> DataFrame:
@@ -147,14 +154,20 @@ def dedup_replays(changes: DataFrame, chunk_bits: int = CHUNK_BITS) -> DataFrame
     A replay sends a transaction again in a later session.  The position alone is
     no key (the rows of a bulk load share one), so a change is known by its
     position, whether it is a commit, and its place among the rows of its session
-    with that position.  Places come from a chunked scan: a bulk load of any size
-    is spread over tasks.  Keeping the first of each key is pruned before the
-    shuffle by Spark's window group limit.
+    with that position.
+
+    The copies are found from the positions alone, without the images; the rows
+    themselves only meet the list of copies to drop.  Places and arrivals come from
+    chunked scans, so neither a bulk load of any size nor a change replayed any
+    number of times is gathered in one task.
     """
-    marked = changes.withColumn("__commit", F.col("operation") == "commit")
+    one = F.lit(1).cast("bigint")
+    positions = changes.select("slot", "session", "lsn", (F.col("operation") == "commit").alias("commit"), "seq")
     placed = ordered_scan(
-        marked, ["slot", "session", "lsn", "__commit"], "seq",
-        {"__place": Running("sum", F.lit(1).cast("bigint"))}, chunk_bits,
-    )
-    copies = Window.partitionBy("slot", "lsn", "__commit", "__place").orderBy("seq")
-    return placed.withColumn("__copy", F.row_number().over(copies)).filter("__copy = 1").select(*changes.columns)
+        positions, ["slot", "session", "lsn", "commit"], "seq", {"place": Running("sum", one)}, chunk_bits
+    )
+    arrived = ordered_scan(
+        placed, ["slot", "lsn", "commit", "place"], "seq", {"arrival": Running("sum", one)}, chunk_bits
+    )
+    copies = arrived.filter("arrival > 1").select("slot", "seq")
+    return changes.join(copies, ["slot", "seq"], "left_anti").select(*changes.columns)

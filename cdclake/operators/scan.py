@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Positions per chunk as a power of two.
-CHUNK_BITS = 16
+CHUNK_BITS = 14
 
 _CHUNK = "__chunk"
 
@@ -90,16 +90,17 @@ def ordered_scan(
     order: str,
     scans: Mapping[str, Running],
     chunk_bits: int = CHUNK_BITS,
-    chunk: Column | None = None,
+    constants: DataFrame | None = None,
 ) -> DataFrame:
     """``df`` with one more column per scan, computed per ``keys`` along ``order``.
 
-    ``keys`` must not be null and ``order`` must be unique within them.  ``order``
-    is a bigint unless ``chunk`` says how to cut it; ``chunk`` must then never
-    decrease along ``order``.
+    ``keys`` must not be null, and ``order`` must be a bigint that is unique
+    within them.  ``constants`` holds further columns by some of the keys, one row
+    each; they reach the rows through the chunks, because a join on the key alone
+    would gather a whole key in one task.
     """
     position = F.col(order)
-    chunked = df.withColumn(_CHUNK, chunk_of(position, chunk_bits) if chunk is None else chunk)
+    chunked = df.withColumn(_CHUNK, chunk_of(position, chunk_bits))
     part = [*keys, _CHUNK]
 
     summary = chunked.groupBy(*part).agg(
@@ -114,6 +115,12 @@ def ordered_scan(
         ],
     )
 
+    added = []
+    if constants is not None:
+        by = [k for k in keys if k in constants.columns]
+        added = [c for c in constants.columns if c not in by]
+        seeds = seeds.join(constants, by, "left")
+
     inside = Window.partitionBy(*part)
     forward, backward = inside.orderBy(order), inside.orderBy(F.desc(order))
     local = chunked.select(
@@ -125,6 +132,7 @@ def ordered_scan(
     joined = local.join(seeds, part, "left")
     return joined.select(
         *df.columns,
+        *added,
         *[
             _combine(scan, F.col(f"__{name}_local"), F.col(f"__{name}_seed"), F.col("__first")).alias(name)
             for name, scan in scans.items()

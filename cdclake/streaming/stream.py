@@ -33,10 +33,19 @@ from cdclake.sources.ledger import read_progress, read_segments, write_progress,
 
 FLUSH_INTERVAL = "30 seconds"
 
-#: Carry rows are messages; a row of kind ``S`` holds a slot's counters: the
-#: highest ``seq`` and ``session``, the confirmed position (``wal_start``) and
-#: the number of events so far.
-CARRY = T.StructType([*MESSAGE.fields, T.StructField("n_events", T.LongType())])
+#: Carry rows are messages; a row of kind ``S`` holds a slot's counters after the
+#: batch: the highest ``seq`` and ``session``, the confirmed position
+#: (``wal_start``), when the newest event came (``received_at``), and below.
+CARRY = T.StructType(
+    [
+        *MESSAGE.fields,
+        T.StructField("first_seq", T.LongType()),  # of the batch
+        T.StructField("old_seq", T.LongType()),  # highest before the batch
+        T.StructField("start_idx", T.LongType()),  # events before the batch
+        T.StructField("end_idx", T.LongType()),  # events after the batch
+        T.StructField("last_lsn", T.LongType()),  # of the batch
+    ]
+)
 
 Sink = Callable[[DataFrame, int], None]
 
@@ -46,66 +55,58 @@ def ledger_path(root: str, namespace: str = DEFAULT_NAMESPACE) -> str:
     return f"{root}/_ledgers/{namespace}"
 
 
-def _slot_state(batch: DataFrame, carry: DataFrame) -> DataFrame:
-    """Counters of each slot before and after the batch."""
+def _counters(batch: DataFrame, carry: DataFrame) -> DataFrame:
+    """The ``S`` rows after the batch, from those before it."""
     event = is_event(F.col("kind"))
     lsn = event_lsn(F.col("kind"), F.col("wal_start"), F.col("end_lsn"))
     now = batch.groupBy("slot").agg(
         F.min("seq").alias("first_seq"),
-        F.max("seq").alias("last_seq"),
-        F.max("session").alias("session"),
+        F.max("seq").alias("new_seq"),
+        F.max("session").alias("new_session"),
         F.count_if(event).alias("n"),
         F.max_by(lsn, F.when(event, F.col("seq"))).alias("last_lsn"),
-        F.max("received_at").alias("cut_at"),
+        F.max("received_at").alias("received_at"),
     )
     before = carry.filter("kind = 'S'").select(
         "slot",
         F.col("seq").alias("old_seq"),
         F.col("session").alias("old_session"),
         F.col("wal_start").alias("old_acked"),
-        F.col("n_events").alias("old_events"),
+        F.col("end_idx").alias("old_events"),
     )
     start = F.coalesce("old_events", F.lit(0).cast("bigint"))
     return now.join(before, "slot", "full_outer").select(
         "slot",
+        F.lit("S").alias("kind"),
+        F.greatest("new_seq", "old_seq").alias("seq"),
+        F.greatest("new_session", "old_session").alias("session"),
+        F.greatest("last_lsn", "old_acked").alias("wal_start"),
+        "received_at",
         "first_seq",
         "old_seq",
-        F.greatest("last_seq", "old_seq").alias("seq"),
-        F.greatest("session", "old_session").alias("session"),
         start.alias("start_idx"),
         (start + F.coalesce("n", F.lit(0))).alias("end_idx"),
         "last_lsn",
-        F.greatest("last_lsn", "old_acked").alias("acked_lsn"),
-        "cut_at",
     )
 
 
-def _next_carry(batch: DataFrame, carry: DataFrame, state: DataFrame) -> DataFrame:
-    counters = state.select(
-        "slot",
-        "session",
-        "seq",
-        F.col("acked_lsn").alias("wal_start"),
-        F.lit("S").alias("kind"),
-        F.col("end_idx").alias("n_events"),
-    )
+def _next_carry(batch: DataFrame, carry: DataFrame) -> DataFrame:
+    """What the next batch goes on from: counters, last begins, live relations."""
     keep = [c for c in MESSAGE.fieldNames() if c not in ("old_tuple", "new_tuple")]
     known = batch.select(*keep).unionByName(carry.select(*keep))
-
-    def newest(kind: str, *keys: str) -> DataFrame:
-        rows = known.filter((F.col("kind") == kind) & ((F.lit(kind) != "B") | F.col("commit_time").isNotNull()))
-        return rows.groupBy(*[F.col(k).alias(f"__{k}") for k in keys]).agg(
-            F.max_by(F.struct(*keep), "seq").alias("m")
-        ).select("m.*")
-
-    live = newest("R", "slot", "session", "relation_id").join(
-        state.select("slot", "session"), ["slot", "session"], "left_semi"
+    counters = _counters(batch, carry)
+
+    def newest(rows: DataFrame, *keys: str) -> DataFrame:
+        per_key = rows.groupBy(*[F.col(k).alias(f"__{k}") for k in keys])
+        return per_key.agg(F.max_by(F.struct(*keep), "seq").alias("m")).select("m.*")
+
+    begins = newest(known.filter("kind = 'B' AND commit_time IS NOT NULL"), "slot")
+    relations = newest(known.filter("kind = 'R'"), "slot", "session", "relation_id")
+    live = relations.join(counters.select("slot", "session"), ["slot", "session"], "left_semi")
+    rows = counters.unionByName(begins, allowMissingColumns=True).unionByName(live, allowMissingColumns=True)
+    return rows.select(
+        *[F.col(f.name) if f.name in rows.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in CARRY.fields]
     )
-    rows = counters.unionByName(newest("B", "slot"), allowMissingColumns=True).unionByName(
-        live, allowMissingColumns=True
-    )
-    missing = [F.lit(None).cast(f.dataType).alias(f.name) for f in CARRY.fields if f.name not in rows.columns]
-    return rows.select("*", *missing).select(*CARRY.fieldNames())
 
 
 def stream_changes(
@@ -145,34 +146,41 @@ def stream_changes(
         else:
             _refuse_foreign_lake(session, ledger)
             carry = session.createDataFrame([], CARRY)
-        state = _slot_state(batch, carry)
-        late = state.filter(F.col("first_seq") <= F.col("old_seq")).head(1)
+        # Written first and read back, so that the counters are computed once.
+        _next_carry(batch, carry).write.mode("overwrite").parquet(f"{carries}/batch={batch_id}")
+        counters = session.read.schema(CARRY).parquet(f"{carries}/batch={batch_id}").filter("kind = 'S'")
+        late = counters.filter(F.col("first_seq") <= F.col("old_seq")).head(1)
         if late:
             raise ValueError(
                 f"slot {late[0].slot!r}: messages from seq {late[0].first_seq} on, "
                 f"but seq {late[0].old_seq} was already taken in"
             )
 
-        known = carry.filter("kind IN ('R', 'B')").drop("n_events")
+        known = carry.filter("kind IN ('R', 'B')")
         changes = filter_changes(decode(batch, registry, known, chunk_bits), *chosen)
         (sink or to_lake)(changes, batch_id)
 
         recorded = F.current_timestamp()
-        segments = state.filter(F.col("end_idx") > F.col("start_idx")).select(
-            "slot", "start_idx", "end_idx", F.lit(True).alias("done"), "last_lsn", "cut_at", recorded.alias("done_at")
+        segments = counters.filter(F.col("end_idx") > F.col("start_idx")).select(
+            "slot",
+            "start_idx",
+            "end_idx",
+            F.lit(True).alias("done"),
+            "last_lsn",
+            F.col("received_at").alias("cut_at"),
+            recorded.alias("done_at"),
         )
         write_segments(segments, ledger, batch_id)
-        progress = state.select(
+        progress = counters.select(
             "slot",
             recorded.alias("at"),
             F.lit(True).alias("streaming"),
             F.lit(None).cast("timestamp").alias("blocked_since"),
             F.col("end_idx").alias("write_idx"),
             F.col("end_idx").alias("read_idx"),
-            "acked_lsn",
+            F.col("wal_start").alias("acked_lsn"),
         )
         write_progress(progress, ledger, batch_id)
-        _next_carry(batch, carry, state).write.mode("overwrite").parquet(f"{carries}/batch={batch_id}")
 
     writer = messages.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     if flush_interval is None:

@@ -148,7 +148,7 @@ def test_random_ledgers(spark, seed):
         frames.append(ledger(spark, rows, slot))
         expected[slot] = (prefix, lsn)
     segments = frames[0].unionByName(frames[1]).unionByName(frames[2])
-    got = {r.slot: (r.read_idx, r.acked_lsn) for r in progress.contiguous_prefix(segments).collect()}
+    got = {r.slot: (r.read_idx, r.acked_lsn) for r in progress.contiguous_prefix(segments, chunk_bits=seed + 1).collect()}
     assert got == expected
 
 
@@ -187,6 +187,14 @@ def back_to_back(spark):
     )
 
 
+def test_restart_takes_a_position_per_slot(spark):
+    both = back_to_back(spark).unionByName(back_to_back(spark).withColumn("slot", F.lit("other")))
+    acked = spark.createDataFrame([("s", 40), ("unused", 1)], "slot string, acked_lsn bigint")
+    got = progress.safe_restart(both, acked, chunk_bits=1).collect()
+    assert sorted(r.seq for r in got if r.slot == "s") == [2, 8, 9]
+    assert sorted(r.seq for r in got if r.slot == "other") == list(range(1, 10))
+
+
 @pytest.mark.parametrize(
     ("acked", "seqs"),
     [(0, range(1, 10)), (12, range(1, 10)), (30, [2, 5, 6, 7, 8, 9]), (39, [2, 5, 6, 7, 8, 9]), (40, [2, 8, 9])],
@@ -277,11 +285,13 @@ def test_missing_and_leaked_rows(spark):
             ("delete", 3, "ignored", "7"),
             ("delete", 1, None, None),
             ("insert", 4, None, None),
+            ("delete", 1, None, None),
         ],
         "operation string, id bigint, v string, n string",
     ).withColumn("n", F.col("n").cast("decimal(38,2)"))
     got = reconcile.missing_changes(expected, lake, fields).collect()
     assert sorted((r.operation, r.id, str(r.n)) for r in got) == [
+        ("delete", 1, "None"),
         ("delete", 1, "None"),
         ("insert", 1, "9999999999999999.98"),
     ]

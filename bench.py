@@ -29,6 +29,7 @@ from cdclake.streaming.stream import drain
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
 RUNS = 2
+LANDED_FILES = 24
 
 
 def consume(df: DataFrame) -> None:
@@ -37,13 +38,14 @@ def consume(df: DataFrame) -> None:
 
 
 def main() -> None:
-    spark = local_session(CPUS, "16g")
+    spark = local_session(CPUS, "16g", **{"spark.sql.shuffle.partitions": str(2 * int(CPUS))})
     spark.sparkContext.setLogLevel("ERROR")
     work = tempfile.mkdtemp(prefix="cdclake-bench-")
 
     def land(name: str, messages: DataFrame) -> DataFrame:
+        # Files in arrival order, as a landing process leaves them.
         path = f"{work}/{name}"
-        messages.write.parquet(path)
+        messages.repartitionByRange(LANDED_FILES, "seq").sortWithinPartitions("seq").write.parquet(path)
         return read_messages(spark, path)
 
     bulk = land("bulk", synth.lineitem_messages(spark, SF_DIR, F.monotonically_increasing_id()))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cdclake.functions.positions import commit_date
 from cdclake.operators.scan import CHUNK_BITS, Running, ordered_scan
+from cdclake.session import materialized
 
 #: Events per segment.
 BATCH_SIZE = 1000
@@ -118,6 +119,9 @@ def file_manifest(
     that pass the predicates.  A run with no row left has no file, so it gets no
     key and uses no sequence number.  Sequence numbers rise with the runs of a
     slot, from 1.
+
+    The runs (one row per file) are written to the scratch folder first, because
+    numbering them reads them twice; the changes are gone through only once.
     """
     kept = reduce(Column.__and__, predicates, F.lit(True))
     runs = (
@@ -134,7 +138,7 @@ def file_manifest(
     )
     has_file = F.col("rows") > 0
     numbered = ordered_scan(
-        runs,
+        materialized(runs, "runs"),
         ["slot"],
         "start_idx",
         {"sequence": Running("sum", has_file.cast("bigint"))},

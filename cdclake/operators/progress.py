@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cdclake.operators.scan import CHUNK_BITS, Running, ordered_scan
+from cdclake.operators.scan import CHUNK_BITS, Running, chunk_of, ordered_scan
 from cdclake.sources.ledger import read_segments
 
 #: How long delivery may be blocked before a slot is not ready.
@@ -20,41 +20,57 @@ SEGMENT_CHUNK_BITS = 22
 
 
 def contiguous_prefix(
-    segments: DataFrame, read_idx: int | DataFrame = 0, chunk_bits: int = SEGMENT_CHUNK_BITS
+    segments: DataFrame, read_idx: int | Column = 0, chunk_bits: int = SEGMENT_CHUNK_BITS
 ) -> DataFrame:
     """Per slot, how far every segment is finished, and the position that confirms.
 
-    The prefix starts at ``read_idx`` (a number, or rows ``slot, read_idx``) and
-    ends before the first segment that is unfinished or does not start where the
-    one before ends.  Segments behind ``read_idx`` were confirmed earlier.  A slot
-    whose prefix is empty keeps its ``read_idx`` and has a null position; one with
-    no segment from ``read_idx`` on has no row.
+    The prefix starts at ``read_idx`` (a number, or a column of ``segments`` that
+    is the same in all rows of a slot) and ends before the first segment that is
+    unfinished or does not start where the one before ends.  Segments behind
+    ``read_idx`` were confirmed earlier.  A slot whose prefix is empty keeps its
+    ``read_idx`` and has a null position; one with no segment from there on has no
+    row.
+
+    Each chunk of the ledger is reduced to one row (where it starts and ends, and
+    how far it is unbroken); only these are put in order per slot.
     """
-    by_slot = None
-    if isinstance(read_idx, DataFrame):
-        by_slot = read_idx.select("slot", F.col("read_idx").alias("__read"))
-        read = F.coalesce("__read", F.lit(0).cast("bigint"))
-    else:
-        read = F.lit(read_idx).cast("bigint")
-    linked = ordered_scan(
-        segments, ["slot"], "start_idx", {"__before": Running("lag", F.col("end_idx"))}, chunk_bits, by_slot
+    read = read_idx if isinstance(read_idx, Column) else F.lit(read_idx)
+    start, end, chunk = F.col("start_idx"), F.col("end_idx"), "__chunk"
+    live = (
+        segments.withColumn("__read", read.cast("bigint"))
+        .filter(start >= F.col("__read"))
+        .withColumn(chunk, chunk_of(start, chunk_bits))
     )
-    follows = F.col("start_idx") == F.greatest("__before", "read_idx")  # ignores a missing one
-    marked = (
-        linked.withColumn("read_idx", read)
-        .filter(F.col("start_idx") >= F.col("read_idx"))
-        .select(
-            "slot", "start_idx", "end_idx", "last_lsn", "read_idx",
-            F.when(F.col("done") & follows, 0).otherwise(1).cast("bigint").alias("__breaks"),
+    inside = Window.partitionBy("slot", chunk).orderBy("start_idx")
+    before = F.lag("end_idx").over(inside)
+    breaks = F.when(F.col("done") & F.coalesce(start == before, F.lit(True)), 0).otherwise(1)
+    broken = F.sum("__breaks").over(inside.rowsBetween(Window.unboundedPreceding, 0))
+    unbroken_end = F.when(F.col("__broken") == 0, end)
+    chunks = (
+        live.withColumn("__breaks", breaks)
+        .withColumn("__broken", broken)
+        .groupBy("slot", chunk)
+        .agg(
+            F.min("__read").alias("read"),
+            F.min(start).alias("first_start"),
+            F.max_by(end, start).alias("last_end"),
+            F.max(unbroken_end).alias("unbroken_end"),
+            F.max_by("last_lsn", unbroken_end).alias("unbroken_lsn"),
+            (F.max("__broken") > 0).alias("has_break"),
         )
-    )
-    scanned = ordered_scan(
-        marked, ["slot"], "start_idx", {"__broken": Running("sum", F.col("__breaks"))}, chunk_bits
     )
-    done_end = F.when(F.col("__broken") == 0, F.col("end_idx"))
-    return scanned.groupBy("slot").agg(
-        F.coalesce(F.max(done_end), F.max("read_idx")).alias("read_idx"),
-        F.max_by("last_lsn", done_end).alias("acked_lsn"),
+    in_slot = Window.partitionBy("slot").orderBy(chunk)
+    linked = F.col("first_start") == F.coalesce(F.lag("last_end").over(in_slot), "read")
+    earlier = F.max(F.col("has_break") | ~F.col("linked")).over(in_slot.rowsBetween(Window.unboundedPreceding, -1))
+    reached = F.when(F.col("linked") & ~F.coalesce("broken_earlier", F.lit(False)), F.col("unbroken_end"))
+    return (
+        chunks.withColumn("linked", linked)
+        .withColumn("broken_earlier", earlier)
+        .groupBy("slot")
+        .agg(
+            F.coalesce(F.max(reached), F.max("read")).alias("read_idx"),
+            F.max_by("unbroken_lsn", reached).alias("acked_lsn"),
+        )
     )
 
 

@@ -156,18 +156,16 @@ def dedup_replays(changes: DataFrame, chunk_bits: int = CHUNK_BITS) -> DataFrame
     position, whether it is a commit, and its place among the rows of its session
     with that position.
 
-    The copies are found from the positions alone, without the images; the rows
-    themselves only meet the list of copies to drop.  Places and arrivals come from
-    chunked scans, so neither a bulk load of any size nor a change replayed any
-    number of times is gathered in one task.
+    Which rows to keep is found from the positions alone, without the images; the
+    rows themselves are shuffled once, by their own identity.  Places come from a
+    chunked scan and first arrivals from a partial aggregate, so neither a bulk
+    load of any size nor a change replayed any number of times is gathered in one
+    task.
     """
-    one = F.lit(1).cast("bigint")
     positions = changes.select("slot", "session", "lsn", (F.col("operation") == "commit").alias("commit"), "seq")
     placed = ordered_scan(
-        positions, ["slot", "session", "lsn", "commit"], "seq", {"place": Running("sum", one)}, chunk_bits
-    )
-    arrived = ordered_scan(
-        placed, ["slot", "lsn", "commit", "place"], "seq", {"arrival": Running("sum", one)}, chunk_bits
-    )
-    copies = arrived.filter("arrival > 1").select("slot", "seq")
-    return changes.join(copies, ["slot", "seq"], "left_anti").select(*changes.columns)
+        positions, ["slot", "session", "lsn", "commit"], "seq",
+        {"place": Running("sum", F.lit(1).cast("bigint"))}, chunk_bits,
+    )
+    first = placed.groupBy("slot", "lsn", "commit", "place").agg(F.min("seq").alias("seq"))
+    return changes.join(first.select("slot", "seq"), ["slot", "seq"], "left_semi").select(*changes.columns)

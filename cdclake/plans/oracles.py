@@ -191,6 +191,10 @@ FROM lineitem""",
     "dated_export": _BASE
     + f"""SELECT "table", operation, epoch_us(decoded) AS timestamp_us, lsn, before, after, {_DAY} AS commit_date
          FROM sent WHERE day BETWEEN DATE '2024-01-10' AND DATE '2024-01-12'""",
+    "file_stats": _BASE
+    + f"""SELECT {_DAY} AS commit_date, count(*) AS rows,
+         sum(coalesce(length(before), 0) + coalesce(length(after), 0))::BIGINT AS image_chars, true AS sized
+         FROM sent GROUP BY day""",
     "segments_by_count": _BASE
     + """SELECT 'main' AS slot, min(idx) AS start_idx, max(idx) + 1 AS end_idx, false AS done,
          arg_max(lsn, idx) AS last_lsn, arg_max(epoch_us(decoded), idx) AS cut_at_us

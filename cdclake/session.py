@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = 8, memory: str = "8g", **settings: str) -> SparkSession:
@@ -33,3 +33,14 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None)
     root = shared or tempfile.mkdtemp(prefix="cdclake-")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def materialized(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared scratch folder and read back.
+
+    For small intermediate tables that are used more than once: it cuts the
+    lineage, and a lost executor costs no recomputation.
+    """
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

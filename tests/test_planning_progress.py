@@ -121,8 +121,8 @@ def test_prefix_from_a_read_index(spark):
     rows = [(0, 2, True, 2), (2, 4, True, 9), (4, 6, True, 5), (8, 9, True, 7)]
     (r,) = progress.contiguous_prefix(ledger(spark, rows), 2).collect()
     assert (r.read_idx, r.acked_lsn) == (6, 5)
-    starts = spark.createDataFrame([("s", 8)], "slot string, read_idx bigint")
-    (r,) = progress.contiguous_prefix(ledger(spark, rows), starts).collect()
+    placed = ledger(spark, rows).withColumn("at", F.lit(8))
+    (r,) = progress.contiguous_prefix(placed, F.col("at")).collect()
     assert (r.read_idx, r.acked_lsn) == (9, 7)
     (r,) = progress.contiguous_prefix(ledger(spark, rows[1:])).collect()
     assert (r.read_idx, r.acked_lsn) == (0, None)

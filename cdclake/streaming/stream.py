@@ -29,7 +29,7 @@ from cdclake.operators.scan import CHUNK_BITS
 from cdclake.schema import MESSAGE, PROGRESS
 from cdclake.sources.files import exists
 from cdclake.sources.lake import DEFAULT_NAMESPACE, MAX_RECORDS_PER_FILE, write_changes
-from cdclake.sources.ledger import read_progress, read_segments, write_progress, write_segments
+from cdclake.sources.ledger import read_progress, write_progress, write_segments
 
 FLUSH_INTERVAL = "30 seconds"
 
@@ -144,7 +144,7 @@ def stream_changes(
         if batch_id > 0:
             carry = session.read.schema(CARRY).parquet(f"{carries}/batch={batch_id - 1}")
         else:
-            _refuse_foreign_lake(session, ledger)
+            _refuse_foreign_lake(session, ledger, f"{carries}/batch=0")
             carry = session.createDataFrame([], CARRY)
         # Written first and read back, so that the counters are computed once.
         _next_carry(batch, carry).write.mode("overwrite").parquet(f"{carries}/batch={batch_id}")
@@ -193,10 +193,14 @@ def drain(messages: DataFrame, root: str, checkpoint: str, namespace: str = DEFA
     stream_changes(messages, root, checkpoint, namespace, flush_interval=None, **options).awaitTermination()
 
 
-def _refuse_foreign_lake(spark: SparkSession, ledger: str) -> None:
-    """A first batch must not replace the batches of another checkpoint."""
-    if exists(spark, f"{ledger}/segments") and read_segments(spark, ledger).filter("batch_id > 0").head(1):
-        raise ValueError(f"{ledger} records later batches; go on with the checkpoint they were written with")
+def _refuse_foreign_lake(spark: SparkSession, ledger: str, own_carry: str) -> None:
+    """A first batch must not replace the batches of another checkpoint.
+
+    The carry is written before anything else, so a first batch that is run again
+    has one; a lake that has a ledger without it was filled from elsewhere.
+    """
+    if exists(spark, f"{ledger}/segments") and not exists(spark, own_carry):
+        raise ValueError(f"{ledger} records batches already; go on with the checkpoint they were written with")
 
 
 def query_progress(query: StreamingQuery, spark: SparkSession, ledger: str) -> DataFrame:

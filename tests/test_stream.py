@@ -97,15 +97,29 @@ def test_position_advances_when_nothing_is_stored(spark, work):
 
 def test_another_checkpoint_cannot_replace_the_lake(work, tmp_path):
     messages = sorted(history.random_history(8, txns=8), key=lambda m: m[SEQ])
-    work.land(messages[:20])
-    work.drain()
-    work.land(messages[20:])
+    work.land(messages)
     work.drain()
     work.checkpoint = str(tmp_path / "fresh")
-    with pytest.raises(Exception, match="later batches"):
+    with pytest.raises(Exception, match="records batches already"):
         work.drain()
 
 
+def test_failed_first_batch_is_run_again(spark, work):
+    messages = history.random_history(12, txns=6)
+    work.land(messages)
+
+    def fail_after_writing(changes, batch_id):
+        lake.write_changes(changes, work.root, "ns", batch_id)
+        raise RuntimeError("store is down")
+
+    with pytest.raises(Exception, match="store is down"):
+        work.drain(sink=fail_after_writing)
+    work.drain()
+    work.drain()
+    expected = filter_changes(decode(history.frame(spark, messages)), not_commit())
+    assert reconcile.conservation(expected, work.lake()).count() == 0
+
+
 def test_carry_holds_live_relations_only(spark, work):
     messages = sorted(history.random_history(9, txns=30), key=lambda m: m[SEQ])
     work.land(messages)

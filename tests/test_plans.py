@@ -3,11 +3,11 @@
 import re
 
 import pytest
-from cdclake.operators import planning, progress
+from cdclake.operators import planning, progress, reconcile
 from cdclake.operators.decode import decode
 from cdclake.operators.filters import filter_changes, not_commit
 from cdclake.operators.metrics import event_counts
-from cdclake.schema import SEGMENT
+from cdclake.schema import CHANGE, SEGMENT
 from cdclake.sources.messages import read_messages
 from tests import history
 
@@ -63,3 +63,25 @@ def test_no_operator_scans_a_slot_in_one_task(spark, messages):
     ):
         text = plan(df)
         assert "SinglePartition" not in text and "Python" not in text
+
+
+def wide_shuffles(df, column):
+    """Number of shuffles that carry a column."""
+    text = df.sparkSession._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    return sum(f"{column}#" in inputs for inputs in re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*)\]\n", text))
+
+
+@pytest.fixture
+def joins_shuffle(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.debug.maxToStringFields", "200")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.unset("spark.sql.debug.maxToStringFields")
+
+
+def test_wide_rows_are_shuffled_once(spark, messages, joins_shuffle):
+    assert wide_shuffles(decode(messages), "new_tuple") == 1
+    assert wide_shuffles(progress.safe_restart(messages, 5), "new_tuple") == 1
+    stored = spark.createDataFrame([], CHANGE)
+    assert wide_shuffles(reconcile.dedup_replays(stored), "after") == 1

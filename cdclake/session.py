@@ -27,11 +27,17 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new folder path for a job's intermediate tables.
 
     It lies in the shared folder the cluster names in ``spark.checkpoint.dir``,
-    so that every executor can reach it and a lost executor loses nothing.  Only
-    where that is unset, as in tests, is a local folder used.
+    so that every executor can reach it and a lost executor loses nothing.  Where
+    that is unset, a local folder serves a local master, as in tests; anywhere
+    else it is an error, since executors would write to disks of their own.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    root = shared or tempfile.mkdtemp(prefix="cdclake-")
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        master = spark.conf.get("spark.master", "local")
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        root = tempfile.mkdtemp(prefix="cdclake-")
+        spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,6 +24,11 @@ def local_session(cores: int | str = 8, memory: str = "8g", **settings: str) ->
     return builder.getOrCreate()
 
 
+@cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="cdclake-")
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new folder path for a job's intermediate tables.
 
@@ -36,8 +42,7 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
         master = spark.conf.get("spark.master", "local")
         if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        root = tempfile.mkdtemp(prefix="cdclake-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local_root()
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cdclake.llm import exact_dedup, mixing, sharding
+from cdclake.llm import exact_dedup, language, mixing, quality, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -43,6 +43,25 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+@query
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    model = quality.fit_quality(docs.filter(fold(5) != 0), labels)
+    scored = quality.score(docs, model, ["doc_id"])
+    return scored.select(
+        "doc_id", (fold(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
+
+
+@query
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    profiles = language.fit_profiles(docs.filter(fold(3) != 1))
+    found = language.identify(docs, profiles, ["doc_id"])
+    return found.select("doc_id", (fold(3) == 1).alias("held_out"), "lang_pred", "score")
+
+
 @query
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     content = F.coalesce(F.col("text"), F.lit("")).cast("binary")

@@ -29,6 +29,11 @@ _CODES = sys.maxunicode + 1
 _PIECE = 1 << 20
 #: Distinct n-grams of a language that a task holds before it hands them on.
 _HELD = 1 << 20
+#: Characters of a language that are counted together when profiles are fitted.
+_JOINED = 1 << 19
+#: Runs of this many symbols are counted in tables, if they have at most so many different ones.
+_DENSE = 1 << 15
+_ALPHABET = 150
 
 
 @cache
@@ -51,6 +56,39 @@ def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
     return grams, counts
 
 
+def _run_counts(run: np.ndarray, new: int) -> tuple[np.ndarray, np.ndarray]:
+    """N-grams of the symbols from ``new`` on, whose beginnings may lie before; 0 is the space."""
+    start = max(0, new - 2)
+    if len(run) < _DENSE:
+        one, two = run[new:], run[new - 1 : -1] * _CODES + run[new:]
+        a, b, c = run[start:-2], run[start + 1 : -1], run[start + 2 :]
+        three = ((a * _CODES + b) * _CODES + c)[b > 0]
+        return _counted(np.concatenate([one[one > 0], two + _CODES**3, three + 2 * _CODES**3]))
+    # A long run has few different symbols: renumber them and count by place instead of sorting.
+    here = np.zeros(_CODES, bool)
+    here[run] = here[0] = True
+    symbols = np.flatnonzero(here)
+    n = len(symbols)
+    if n > _ALPHABET:
+        half = len(run) // 2
+        return _merged([_run_counts(run[:half], new), _run_counts(run[half - 2 :], 2)])
+    number = np.zeros(_CODES, np.int32)
+    number[symbols] = np.arange(n)
+    run = number[run].astype(np.int64)
+    one = np.bincount(run[new:], minlength=n)
+    one[0] = 0
+    two = np.bincount(run[new - 1 : -1] * n + run[new:], minlength=n * n)
+    a, b, c = run[start:-2], run[start + 1 : -1], run[start + 2 :]
+    three = np.bincount(((a * n + b) * n + c)[b > 0], minlength=n**3)
+    at = [np.flatnonzero(x) for x in (one, two, three)]
+    grams = [
+        symbols[at[0]],
+        symbols[at[1] // n] * _CODES + symbols[at[1] % n] + _CODES**3,
+        (symbols[at[2] // n**2] * _CODES + symbols[at[2] // n % n]) * _CODES + symbols[at[2] % n] + 2 * _CODES**3,
+    ]
+    return np.concatenate(grams), np.concatenate([x[i] for x, i in zip((one, two, three), at, strict=True)])
+
+
 def gram_counts(text: str, piece: int = _PIECE) -> tuple[np.ndarray, np.ndarray] | None:
     """The n-grams of a whole text as sorted numbers, and their counts; None without a letter."""
     kinds, parts, letters = _kinds(), [], False
@@ -66,16 +104,7 @@ def gram_counts(text: str, piece: int = _PIECE) -> tuple[np.ndarray, np.ndarray]
         before = np.concatenate([tail[-1:], symbols[:-1]])
         symbols = symbols[(symbols > 0) | (before > 0)]  # one space between words
         run = np.concatenate([tail, symbols])
-        new = len(tail)
-        one = run[new:]
-        two = run[new - 1 : -1] * _CODES + run[new:]
-        grams = [one[one > 0], two + _CODES**3]
-        if len(run) >= 3:
-            start = max(0, new - 2)
-            a, b, c = run[start:-2], run[start + 1 : -1], run[start + 2 :]
-            inside = b > 0
-            grams.append(((a * _CODES + b) * _CODES + c)[inside] + 2 * _CODES**3)
-        parts.append(_counted(np.concatenate(grams)))
+        parts.append(_run_counts(run, len(tail)))
         tail = run[-2:]
     return _merged(parts) if letters else None
 
@@ -121,21 +150,31 @@ def fit_profiles(docs: DataFrame, size: int = PROFILE) -> Profiles:
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: dict[str, list[str]] = {}
         held: dict[str, list] = {}
+
+        def add(lang: str) -> Iterator[pa.RecordBatch]:
+            if (counted := gram_counts("\n".join(waiting.pop(lang)))) is None:
+                return
+            merged = _merged([*held.pop(lang, []), counted])
+            if len(merged[0]) > _HELD:
+                yield _gram_rows(lang, *merged)
+            else:
+                held[lang] = [merged]
+
+        length: dict[str, int] = {}
         for batch in batches:
             texts, langs = batch.column(0), batch.column(1).to_pylist()
             for at, lang in enumerate(langs):
-                if (counted := gram_counts(texts[at].as_py())) is None:
-                    continue
-                mine = held.setdefault(lang, [])
-                mine.append(counted)
-                if sum(len(p[0]) for p in mine) > _HELD:
-                    mine[:] = [_merged(mine)]
-                    if len(mine[0][0]) > _HELD // 2:
-                        yield _gram_rows(lang, *mine.pop())
+                waiting.setdefault(lang, []).append(text := texts[at].as_py())
+                length[lang] = length.get(lang, 0) + len(text)
+                if length[lang] > _JOINED:
+                    yield from add(lang)
+                    length[lang] = 0
+        for lang in list(waiting):
+            yield from add(lang)
         for lang, mine in held.items():
-            if mine:
-                yield _gram_rows(lang, *_merged(mine))
+            yield _gram_rows(lang, *_merged(mine))
 
     rows = docs.filter("text IS NOT NULL AND lang IS NOT NULL").select("text", "lang")
     counts = rows.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))

@@ -61,3 +61,33 @@ def _mixing_sql() -> str:
 
 
 ORACLES["op1_mixing"] = _mixing_sql()
+
+ORACLES["op7_decontamination"] = r"""
+    WITH w AS (
+        SELECT 'd' AS kind, doc_id AS id,
+               regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                  '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+        FROM documents
+        UNION ALL
+        SELECT 'i', item_id,
+               regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                  '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')
+        FROM benchmark),
+    items AS (
+        SELECT id, span, array_to_string(words[p:p + span - 1], ' ') AS win
+        FROM (SELECT id, words, least(len(words), 10) AS span, unnest(range(1, len(words) - least(len(words), 10) + 2)) AS p
+              FROM w WHERE kind = 'i' AND len(words) > 0)),
+    docs AS (
+        SELECT id, span, p, array_to_string(words[p:p + span - 1], ' ') AS win
+        FROM (SELECT id, words, span, unnest(range(1, len(words) - span + 2)) AS p
+              FROM w, (SELECT DISTINCT span FROM items) WHERE kind = 'd' AND len(words) >= span)),
+    hits AS (SELECT d.id, d.p, d.span, i.id AS item FROM docs d JOIN items i USING (span, win)),
+    per_doc AS (
+        SELECT id, count(DISTINCT item) AS n_items, string_agg(DISTINCT item::VARCHAR, ',' ORDER BY item::VARCHAR) AS items
+        FROM hits GROUP BY id),
+    covered AS (
+        SELECT id, count(DISTINCT word) AS n_hit
+        FROM (SELECT id, unnest(range(p, p + span)) AS word FROM (SELECT DISTINCT id, p, span FROM hits)) GROUP BY id)
+    SELECT w.id AS doc_id, len(w.words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+           sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+    FROM w LEFT JOIN per_doc USING (id) LEFT JOIN covered USING (id) WHERE kind = 'd'"""

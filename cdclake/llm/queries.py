@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cdclake.llm import decontaminate, exact_dedup, language, mixing, quality, sharding
+from cdclake.llm import decontaminate, exact_dedup, language, lm, mixing, quality, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -88,3 +88,12 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+@query
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = lm.score(docs, lm.train(docs.filter(fold(7) != 2)), ["doc_id"])
+    return scored.select(
+        "doc_id", (fold(7) == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )

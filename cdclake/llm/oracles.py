@@ -91,3 +91,11 @@ ORACLES["op7_decontamination"] = r"""
     SELECT w.id AS doc_id, len(w.words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
            sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
     FROM w LEFT JOIN per_doc USING (id) LEFT JOIN covered USING (id) WHERE kind = 'd'"""
+
+ORACLES["op9_warc"] = """
+    WITH p AS (SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS n FROM pages),
+    f AS (SELECT *, min(page_id) OVER (PARTITION BY html) AS first FROM p)
+    SELECT page_id, n AS payload_bytes, sha256(html) AS payload_digest,
+           CASE WHEN n >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN n >= 100 AND page_id <> first THEN first END AS refers_to
+    FROM f"""

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cdclake.llm import decontaminate, exact_dedup, language, lm, mixing, quality, sharding
+from cdclake.llm import decontaminate, exact_dedup, html_text, language, lm, mixing, quality, sharding, warc
+from cdclake.session import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -97,3 +98,17 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(
         "doc_id", (fold(7) == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
     )
+
+
+@query
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = html_text.extract(table(spark, sf_dir, "pages"), ["page_id", "url"])
+    return texts.withColumn("n_chars", F.length("text").cast("long"))
+
+
+@query
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = warc.write_archives(table(spark, sf_dir, "pages"), scratch_dir(spark, "warc"))
+    return warc.read_archives(archives, payloads=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cdclake.llm import decontaminate, exact_dedup, html_text, language, lm, mixing, quality, sharding, warc
+from cdclake.llm import decontaminate, exact_dedup, html_text, language, lm, minhash, mixing, quality, sharding, warc
 from cdclake.session import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -112,3 +112,8 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(archives, payloads=False).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
+
+
+@query
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_classes(table(spark, sf_dir, "documents"))

@@ -16,9 +16,11 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cdclake.session import materialized
+
 #: Bounds of the labelled sample: rows of each label, and UTF-8 bytes of a row that may be in it.
 SAMPLE_ROWS = 3000
 SAMPLE_BYTES = 1 << 15
@@ -65,15 +67,15 @@ def _inputs(figures: np.ndarray) -> np.ndarray:
     )
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1e-2, steps: int = 50) -> np.ndarray:
-    """Weights by Newton's method; labels count alike, whatever their numbers."""
+def _logistic(x: np.ndarray, y: np.ndarray, counts: np.ndarray, penalty: float = 1e-2, steps: int = 50) -> np.ndarray:
+    """Weights by Newton's method; ``counts`` says how many rows each row stands for."""
     weights = np.zeros(x.shape[1])
     if len(y) == 0:
         return weights
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ weights, -30, 30)))
-        gradient = x.T @ (p - y) + penalty * weights
-        hessian = (x * (p * (1 - p))[:, None]).T @ x + penalty * np.eye(x.shape[1])
+        gradient = x.T @ (counts * (p - y)) + penalty * weights
+        hessian = (x * (counts * p * (1 - p))[:, None]).T @ x + penalty * np.eye(x.shape[1])
         step = np.linalg.solve(hessian, gradient)
         weights = weights - step
         if np.abs(step).max() < 1e-8:
@@ -101,8 +103,12 @@ def _dictionary(texts: list[bytes]) -> bytes:
     return b"\n".join(texts)[-DICTIONARY:]
 
 
-def fit(texts: list[str], labels: list[int]) -> QualityModel:
-    """A model from labelled texts: of each label, every second builds the dictionary, the rest fit the curve."""
+def fit(texts: list[str], labels: list[int], totals: dict[int, int] | None = None) -> QualityModel:
+    """A model from labelled texts: of each label, every second builds the dictionary, the rest fit the curve.
+
+    ``totals`` are the labels' numbers of rows where the texts are a sample of them:
+    the curve then gives probabilities among all rows, not in the sample.
+    """
     parts: dict[int, list[bytes]] = {0: [], 1: []}
     rest_texts, rest_labels = [], []
     for text, label in zip(texts, labels, strict=True):
@@ -114,7 +120,15 @@ def fit(texts: list[str], labels: list[int]) -> QualityModel:
     good, bad = _dictionary(parts[1]), _dictionary(parts[0])
     sizes = Sizes(good, bad)
     figures = np.array([sizes.figures(t) for t in rest_texts]).reshape(-1, 4)
-    return QualityModel(good, bad, _logistic(_inputs(figures), np.array(rest_labels, float)))
+    y = np.array(rest_labels, float)
+    sampled = {label: max(1, labels.count(label)) for label in (0, 1)}
+    counts = np.array([(totals or sampled).get(label, 1) / sampled[label] for label in rest_labels])
+    return QualityModel(good, bad, _logistic(_inputs(figures), y, counts * len(y) / max(counts.sum(), 1e-9)))
+
+
+def _place(column: str) -> Column:
+    """A place in [0, 1] that depends on the id alone."""
+    return F.pmod(F.xxhash64(column), F.lit(1 << 40)) / F.lit(float(1 << 40))
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> QualityModel:
@@ -132,20 +146,25 @@ def fit_quality(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) ->
         .drop("__most")
     )
     short = F.octet_length(F.coalesce("text", F.lit(""))) <= SAMPLE_BYTES
-    sizes = docs.filter(short & F.col("doc_id").isNotNull()).select("doc_id").distinct().join(marked, "doc_id")
-    first = Window.partitionBy("quality").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = sizes.withColumn("place", F.row_number().over(first)).filter(F.col("place") <= rows)
+    ids = docs.filter(short & F.col("doc_id").isNotNull()).select("doc_id").distinct()
+    able = materialized(ids.join(marked, "doc_id").withColumn("place", _place("doc_id")), "labelled")
+    totals = {r["quality"]: r["n"] for r in able.groupBy("quality").agg(F.count("*").alias("n")).collect()}
+    # Places are spread evenly, so a bound on them leaves about 1.2 times the rows wanted.
+    bound = F.lit(1.0)
+    for label, n in totals.items():
+        bound = F.when(F.col("quality") == label, F.lit(min(1.0, 1.2 * rows / n))).otherwise(bound)
     texts = (
         docs.filter(short)
-        .join(F.broadcast(chosen), "doc_id")  # twice ``rows`` at most
+        .join(F.broadcast(able.filter(F.col("place") <= bound)), "doc_id")
         .groupBy("doc_id", "quality", "place")
         .agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))
     )
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = [(r["place"], r["quality"], r["text"]) for b in batches for r in b.to_pylist()]
-        seen.sort(key=lambda r: r[:2])
-        model = fit([r[2] for r in seen], [r[1] for r in seen])
+        seen.sort(key=lambda r: (r[0], r[2]))
+        seen = [r for label in (0, 1) for r in [x for x in seen if x[1] == label][:rows]]
+        model = fit([r[2] for r in seen], [r[1] for r in seen], totals)
         yield pa.record_batch(
             [pa.array([model.good], pa.binary()), pa.array([model.bad], pa.binary()), pa.array([model.weights.tolist()], pa.list_(pa.float64()))],
             ["good", "bad", "weights"],

@@ -112,12 +112,12 @@ def _filter_of(marks: DataFrame) -> np.ndarray:
 
 
 def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """One row per document: ``doc_id, n_words, n_hit, items`` (ids as sorted strings).
+    """One row per document: ``doc_id, text_mark, n_words, n_hit, items`` (ids as sorted strings).
 
     A word is hit inside any run of ``SPAN`` words that an item has too, or inside an
     occurrence of a whole shorter item.  Null texts have no words; items without words
     never match; items without an id hit words but are not listed.  Rows that repeat
-    stay apart.  Only ``doc_id``, ``text`` and ``item_id``, ``text`` are read.
+    stay apart; ``text_mark`` is the text's ``xxhash64``.  Only ``doc_id``, ``text`` and ``item_id``, ``text`` are read.
     """
     marks = materialized(benchmark_fingerprints(items), "benchmark-fingerprints")
     spans = sorted(r["span"] for r in marks.filter("span > 0").select("span").distinct().collect())
@@ -130,10 +130,13 @@ def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
                 found: list[list[dict]] = [[] for _ in range(piece.num_rows)]
                 for doc, hit in _fingerprints(words, spans, allowed.value):
                     found[doc].append(hit)
-                yield pa.record_batch([piece.column(0), pa.array(words.counts), pa.array(found, _FOUND)], ["doc_id", "n_words", "found"])
+                yield pa.record_batch(
+                    [piece.column(0), piece.column(2), pa.array(words.counts), pa.array(found, _FOUND)],
+                    ["doc_id", "text_mark", "n_words", "found"],
+                )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    scanned = docs.select("doc_id", "text").mapInArrow(scan, f"doc_id {kind}, n_words long, found array<struct<{_struct()}>>")
+    scanned = docs.select("doc_id", "text", F.xxhash64("text")).mapInArrow(scan, f"doc_id {kind}, text_mark long, n_words long, found array<struct<{_struct()}>>")
     # Written once: the row's number stays the same however often the table is read.
     scanned = materialized(scanned.withColumn("row", F.monotonically_increasing_id()), "winnowed")
 
@@ -154,8 +157,8 @@ def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
         ),
     )["n"]
     hits = per_row.select("row", covered.cast("long").alias("n_hit"), "items")
-    return scanned.select("row", "doc_id", "n_words").join(hits, "row", "left").select(
-        "doc_id", "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
+    return scanned.select("row", "doc_id", "text_mark", "n_words").join(hits, "row", "left").select(
+        "doc_id", "text_mark", "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),
     )
 
@@ -192,3 +195,10 @@ def _shared(a: list[str], b: list[str]) -> int:
             break
         n += 1
     return n
+
+
+def uncontaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """The rows of ``docs``, unchanged, that share no run of words with an item."""
+    hit = contamination(docs, items).filter("n_hit > 0").select(F.col("doc_id").alias("__id"), F.col("text_mark").alias("__mark")).distinct()
+    hit = materialized(hit, "contaminated")
+    return docs.join(hit, docs["doc_id"].eqNullSafe(hit["__id"]) & (F.xxhash64(docs["text"]) == hit["__mark"]), "left_anti")

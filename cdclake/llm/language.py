@@ -18,7 +18,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 PROFILE = 300
@@ -193,14 +193,15 @@ def _gram_rows(lang: str, grams: np.ndarray, counts: np.ndarray) -> pa.RecordBat
 
 
 def identify(docs: DataFrame, profiles: Profiles, keep: list[str], text_col: str = "text") -> DataFrame:
-    """The columns ``keep`` with ``lang_pred`` and ``score``.
+    """The columns ``keep`` with ``lang_pred`` and ``score``, which replace columns of these names.
 
     ``und`` with score 0 where the text is null or has no letter, or no language
     was learned.  A score of 0 with a language says that no n-gram is in any
     profile; ties go to the first language by name.
     """
-    fields = docs.select(*keep).schema
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), "lang_pred string", "score double"])
+    keep = [c for c in keep if c not in ("lang_pred", "score")]
+    kinds = {f.name: f.dataType.simpleString() for f in docs.select(*keep).schema}
+    schema = ", ".join([*(f"`{c}` {t}" for c, t in kinds.items()), "lang_pred string", "score double"])
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -212,6 +213,13 @@ def identify(docs: DataFrame, profiles: Profiles, keep: list[str], text_col: str
     return docs.select(*keep, docs[text_col].alias("__text")).mapInArrow(predict, schema)
 
 
-def known(lang_pred: Column, score: Column) -> Column:
-    """Whether a document has a language: letters, and at least one n-gram of a profile."""
-    return (lang_pred != UNKNOWN) & (score > 0)
+def recognised(docs: DataFrame, profiles: Profiles, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, unchanged, whose text has a language: a letter, and an n-gram of a profile."""
+    at_text = docs.columns.index(text_col)
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = (profiles.closest(text.as_py()) for text in batch.column(at_text))
+            yield batch.filter(pa.array([lang != UNKNOWN and score > 0 for lang, score in found], pa.bool_()))
+
+    return docs.mapInArrow(choose, docs.schema)

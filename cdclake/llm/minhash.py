@@ -130,7 +130,7 @@ def near_classes(
     rows: int = ROWS,
     small: int = SMALL,
 ) -> DataFrame:
-    """One row per document: ``doc_id, class_id, class_size, n_links, kept``.
+    """One row per document: ``doc_id, text_mark, class_id, class_size, n_links, kept``.
 
     Texts are linked when their shingles' Jaccard similarity is 0.8 or more; with
     ``weights="count"`` a shingle weighs its multiplicity, with ``"set"`` one.
@@ -138,7 +138,9 @@ def near_classes(
     counts verified links between different shingle sets; within a class some
     links are implied by others and not compared.  Texts of equal sets are one.
     Texts without words, null ones too, are one class.  Ids may be null or repeat:
-    a null id stays only in a class without ids.  An empty table gives no rows.
+    a null id stays only in a class without ids, and rows that repeat an id and its
+    text (``text_mark``, its ``xxhash64``) stay or go together.  Other columns are
+    ignored; an empty table gives no rows.
     """
     rows_in = docs.select(
         F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.xxhash64(F.col(text_col)).alias("mark")
@@ -336,7 +338,25 @@ def _classes(signed: DataFrame, nodes: DataFrame, links: DataFrame, roots: DataF
         "digest", "class_id", "class_size", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")
     )
     return (
-        signed.select("doc_id", "digest")
+        signed.select("doc_id", "mark", "digest")
         .join(materialized(classes, "classes"), "digest")
-        .select("doc_id", "class_id", "class_size", "n_links", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"))
+        .select("doc_id", F.col("mark").alias("text_mark"), "class_id", "class_size", "n_links", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"))
     )
+
+
+def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, unchanged, without near-duplicates: one row of each class."""
+    verdicts = materialized(near_classes(docs, id_col, text_col), "verdicts")
+    by_row = verdicts.groupBy("doc_id", "text_mark").agg(F.count("*").alias("n"), F.first("kept").alias("kept"))
+
+    def these(rows: DataFrame, how: str) -> DataFrame:
+        rows = materialized(rows.select(F.col("doc_id").alias("__id"), F.col("text_mark").alias("__mark")), "rows")
+        same = docs[id_col].eqNullSafe(rows["__id"]) & (F.xxhash64(docs[text_col]) == rows["__mark"])
+        return docs.join(rows, same, how)
+
+    again = by_row.filter("kept AND n > 1")
+    if again.isEmpty():
+        return these(by_row.filter("NOT kept"), "left_anti")
+    once = these(by_row.filter("NOT kept OR n > 1"), "left_anti")
+    repeated = these(again, "left_semi").withColumn("__mark", F.xxhash64(text_col))
+    return once.unionByName(repeated.dropDuplicates([id_col, "__mark"]).drop("__mark"))

@@ -132,3 +132,9 @@ def mix(
         .drop(*(f"__{d}" for d in DIMENSIONS))
         .withColumn("sampled", chance_of(F.col("doc_id")) < F.col("probability"))
     )
+
+
+def sample(docs: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs``, unchanged, that :func:`mix` samples; takes its options."""
+    packed = docs.select("doc_id", "text", "source", "lang", F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("__document"))
+    return mix(packed, **options).filter("sampled").select("__document.*")

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from cdclake.llm import decontaminate, exact_dedup, html_text, language, lm, minhash, mixing, quality, sharding, warc
 from cdclake.session import scratch_dir
 
@@ -116,4 +117,9 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.near_classes(table(spark, sf_dir, "documents"))
+    return minhash.near_classes(table(spark, sf_dir, "documents")).drop("text_mark")
+
+
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)

@@ -55,7 +55,7 @@ def main() -> None:
     def rows(messages: DataFrame) -> DataFrame:
         return filter_changes(decode(messages), not_commit())
 
-    lake.write_changes(rows(events), f"{work}/lake", "ns")
+    lake.write_changes(rows(events), f"{work}/lake", "ns", load=1)
     stored = lake.read_changes(spark, f"{work}/lake", "ns")
     attempt = iter(range(1000))
 
@@ -66,7 +66,7 @@ def main() -> None:
     jobs: dict[str, Callable[[], None]] = {
         "decode_bulk": lambda: consume(decode(bulk)),
         "decode_events": lambda: consume(decode(events)),
-        "lake_write_bulk": lambda: lake.write_changes(rows(bulk), f"{work}/bulk-lake", "ns"),
+        "lake_write_bulk": lambda: lake.write_changes(rows(bulk), f"{work}/bulk-lake", "ns", load=1, replace=True),
         "day_pruned_read": lambda: consume(
             lake.read_changes(spark, f"{work}/lake", "ns", "2024-01-05", "2024-01-09").filter("operation = 'insert'")
         ),

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cdclake.functions.images import DEFAULT_TYPES, TypeRegistry, image, layout
 from cdclake.functions.positions import COMMIT_TABLE
-from cdclake.operators.scan import CHUNK_BITS, chunk_of
+from cdclake.operators.scan import CHUNK_BITS, Running, chunk_of, chunk_seeds
 from cdclake.schema import MESSAGE
 
 #: Message kinds that give one change row each, and the operation of that row.
@@ -48,38 +48,32 @@ def _seed_messages(kept: DataFrame, chunk_bits: int) -> DataFrame:
         F.max_by(begin_time, F.when(begin_time.isNotNull(), seq)).alias("last_begin"),
         F.max(F.when(begin_time.isNotNull(), seq)).alias("last_begin_seq"),
     )
-    before = (Window.unboundedPreceding, -1)
     chunk_start = (F.shiftleft(F.col(_CHUNK), chunk_bits) - 1).alias("seq")
 
-    per_slot = Window.partitionBy("slot").orderBy(_CHUNK).rowsBetween(*before)
+    per_slot = summary.groupBy("slot", _CHUNK).agg(F.max_by("last_begin", "last_begin_seq").alias("last_begin"))
     begins = (
-        summary.groupBy("slot", _CHUNK)
-        .agg(F.max_by("last_begin", "last_begin_seq").alias("last_begin"))
-        .withColumn("commit_time", F.last("last_begin", ignorenulls=True).over(per_slot))
-        .filter(F.col("commit_time").isNotNull())
-        .select("slot", _CHUNK, chunk_start, F.lit("B").alias("kind"), "commit_time")
+        chunk_seeds(per_slot, ["slot"], {"last_begin": Running("last", F.col("last_begin"))})
+        .filter(F.col("last_begin").isNotNull())
+        .select("slot", _CHUNK, chunk_start, F.lit("B").alias("kind"), F.col("last_begin").alias("commit_time"))
     )
 
-    per_relation = Window.partitionBy("slot", "session", "relation_id").orderBy(_CHUNK).rowsBetween(*before)
-    in_force = (
-        summary.filter(F.col("relation_id").isNotNull())
-        .withColumn("described_at", F.max("last_relation").over(per_relation))
-        .filter(F.col("described_at").isNotNull())
-        .select("slot", "session", "relation_id", _CHUNK, "described_at")
+    # A description joins the one chunk it is the last of, and goes on from there.
+    relation = ["slot", "session", "relation_id"]
+    of_relation = summary.filter(F.col("relation_id").isNotNull()).select(*relation, _CHUNK, "last_relation")
+    text = F.struct("namespace", "relation_name", "columns").alias("description")
+    described = kept.filter(kind == "R").select("slot", F.col("seq").alias("last_relation"), text)
+    with_text = (
+        of_relation.filter(F.col("last_relation").isNotNull())
+        .join(described, ["slot", "last_relation"])
+        .select(*relation, _CHUNK, "description")
+        .unionByName(
+            of_relation.filter(F.col("last_relation").isNull()).select(*relation, _CHUNK), allowMissingColumns=True
+        )
     )
-    described = kept.filter(kind == "R").select(
-        "slot", F.col("seq").alias("described_at"), "namespace", "relation_name", "columns"
-    )
-    relations = in_force.join(described, ["slot", "described_at"]).select(
-        "slot",
-        "session",
-        "relation_id",
-        _CHUNK,
-        chunk_start,
-        F.lit("R").alias("kind"),
-        "namespace",
-        "relation_name",
-        "columns",
+    relations = (
+        chunk_seeds(with_text, relation, {"description": Running("last", F.col("description"))})
+        .filter(F.col("description").isNotNull())
+        .select(*relation, _CHUNK, chunk_start, F.lit("R").alias("kind"), "description.*")
     )
     return begins.unionByName(relations, allowMissingColumns=True)
 
@@ -103,8 +97,8 @@ def decode(
     ``carry`` holds relation and begin messages that came before ``messages``.
 
     The messages are shuffled once, by slot and chunk of ``seq``; both scans, the
-    images and a following lake write run inside those partitions.  No task ever
-    sees more than one slot's chunk at a time, and nothing is broadcast.
+    images run inside those partitions.  What is in force where a chunk starts is found
+    from a row per chunk, itself scanned by blocks of chunks; nothing is broadcast.
     """
     kept = messages.select(*MESSAGE.fieldNames()).filter(F.col("kind").isin(*OPERATIONS, *STATE_KINDS))
     if carry is not None:

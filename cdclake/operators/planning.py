@@ -118,16 +118,20 @@ def file_manifest(
     Runs, decode times and positions count every event; ``rows`` counts those
     that pass the predicates.  A run with no row left has no file, so it gets no
     key and uses no sequence number.  Sequence numbers rise with the runs of a
-    slot, from 1.
+    slot; the slots of a namespace are numbered one after the other, from 1, so that
+    no key comes twice.  A namespace given as a column must be the same in all rows
+    of a slot.
 
     The runs (one row per file) are written to the scratch folder first, because
     numbering them reads them twice; the changes are gone through only once.
     """
     kept = reduce(Column.__and__, predicates, F.lit(True))
+    where = namespace if isinstance(namespace, Column) else F.lit(namespace)
     runs = (
         day_runs(changes, n, chunk_bits)
         .groupBy("slot", "segment", "run", "commit_date")
         .agg(
+            F.first(where).alias("__namespace"),
             F.min("idx").alias("start_idx"),
             F.count(F.lit(1)).alias("events"),
             F.count_if(kept).alias("rows"),
@@ -137,15 +141,19 @@ def file_manifest(
         )
     )
     has_file = F.col("rows") > 0
+    runs = materialized(runs.withColumn("namespace", F.col("__namespace")).drop("__namespace"), "runs")
+    files = runs.groupBy("slot", "namespace").agg(F.count_if(has_file).alias("n"))  # a row per slot
+    earlier = Window.partitionBy("namespace").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = files.select("slot", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("__earlier"))
     numbered = ordered_scan(
-        materialized(runs, "runs"),
+        runs,
         ["slot"],
         "start_idx",
         {"sequence": Running("sum", has_file.cast("bigint"))},
         # About as many runs per chunk as a chunk of changes has changes.
         chunk_bits=chunk_bits + max(n.bit_length() - 1, 0),
-    )
-    where = namespace if isinstance(namespace, Column) else F.lit(namespace)
+        constants=offsets,
+    ).withColumn("sequence", F.col("sequence") + F.col("__earlier"))
     return numbered.select(
         "slot",
         "segment",
@@ -158,5 +166,5 @@ def file_manifest(
         "last_lsn",
         "last_decoded",
         F.when(has_file, F.col("sequence")).alias("sequence"),
-        F.when(has_file, file_key(where, F.col("commit_date"), F.col("last_decoded"), F.col("sequence"))).alias("key"),
+        F.when(has_file, file_key(F.col("namespace"), F.col("commit_date"), F.col("last_decoded"), F.col("sequence"))).alias("key"),
     )

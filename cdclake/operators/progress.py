@@ -26,9 +26,11 @@ def contiguous_prefix(
 
     The prefix starts at ``read_idx`` (a number, or a column of ``segments`` that
     is the same in all rows of a slot) and ends before the first segment that is
-    unfinished or does not start where the one before ends.  Segments behind
-    ``read_idx`` were confirmed earlier.  A slot whose prefix is empty keeps its
-    ``read_idx`` and has a null position; one with no segment from there on has no
+    unfinished or does not start where the one before ends.  ``acked_lsn`` is the
+    position of its last segment and ``confirmed_lsn`` the highest in it: after a
+    replay the last position can be below one that is durable already.  Segments
+    behind ``read_idx`` were confirmed earlier.  A slot whose prefix is empty keeps its
+    ``read_idx`` and has null positions; one with no segment from there on has no
     row.
 
     Each chunk of the ledger is reduced to one row (where it starts and ends, and
@@ -56,6 +58,7 @@ def contiguous_prefix(
             F.max_by(end, start).alias("last_end"),
             F.max(unbroken_end).alias("unbroken_end"),
             F.max_by("last_lsn", unbroken_end).alias("unbroken_lsn"),
+            F.max(F.when(F.col("__broken") == 0, F.col("last_lsn"))).alias("highest_lsn"),
             (F.max("__broken") > 0).alias("has_break"),
         )
     )
@@ -70,6 +73,7 @@ def contiguous_prefix(
         .agg(
             F.coalesce(F.max(reached), F.max("read")).alias("read_idx"),
             F.max_by("unbroken_lsn", reached).alias("acked_lsn"),
+            F.max(F.when(reached.isNotNull(), F.col("highest_lsn"))).alias("confirmed_lsn"),
         )
     )
 
@@ -80,7 +84,7 @@ def acked_position(positions: DataFrame, value: str = "acked_lsn") -> DataFrame:
 
 
 def acked_history(
-    positions: DataFrame, value: str = "acked_lsn", order: str = "end_idx", chunk_bits: int = CHUNK_BITS
+    positions: DataFrame, value: str = "acked_lsn", order: str = "end_idx", chunk_bits: int = SEGMENT_CHUNK_BITS
 ) -> DataFrame:
     """``positions`` with ``confirmed_lsn``: the highest value up to each row.
 
@@ -121,37 +125,38 @@ def resume(
     spark: SparkSession,
     messages: DataFrame,
     ledger: str,
-    last_acked: int = 0,
+    last_acked: DataFrame | None = None,
     chunk_bits: int = CHUNK_BITS,
 ) -> DataFrame:
-    """Messages after the position the segment ledger confirms.
+    """Messages after the position that is confirmed for their slot.
 
-    The position is never lower than ``last_acked``, the last one this process
-    confirmed.  A ledger that cannot be read is an error: starting anywhere else
-    could skip changes.
+    A slot's position is the highest in the finished prefix of the segment ledger,
+    and never lower than its row of ``last_acked`` (``slot, acked_lsn``), what this
+    process confirmed last.  A slot in one of the two only is taken from there; one
+    in neither starts from the beginning.  A ledger that cannot be read is an error:
+    starting anywhere else could skip changes.
     """
-    prefix = contiguous_prefix(read_segments(spark, ledger))
-    acked = prefix.select(
-        "slot", F.greatest(F.coalesce("acked_lsn", F.lit(0)), F.lit(last_acked)).cast("bigint").alias("acked_lsn")
-    )
-    return safe_restart(messages, acked, chunk_bits)
+    confirmed = contiguous_prefix(read_segments(spark, ledger)).select("slot", F.col("confirmed_lsn").alias("acked_lsn"))
+    if last_acked is not None:
+        confirmed = acked_position(confirmed.unionByName(last_acked.select("slot", "acked_lsn")))
+    return safe_restart(messages, confirmed.select("slot", F.coalesce("acked_lsn", F.lit(0).cast("bigint")).alias("acked_lsn")), chunk_bits)
 
 
-def backlog(progress: DataFrame, concurrency: int = 4, batch_size: int = 1000) -> DataFrame:
-    """Per slot, the deepest backlog and the newest one, beside the capacity."""
+def backlog(progress: DataFrame) -> DataFrame:
+    """Per slot, the most events that waited to become durable, and how many wait now."""
     depth = F.col("write_idx") - F.col("read_idx")
-    return progress.groupBy("slot").agg(
-        F.max(depth).alias("max_backlog"),
-        F.max_by(depth, "at").alias("backlog"),
-        F.lit(2 * concurrency * batch_size).cast("bigint").alias("capacity"),
-    )
+    return progress.groupBy("slot").agg(F.max(depth).alias("max_backlog"), F.max_by(depth, "at").alias("backlog"))
+
+
+#: What :func:`stream_health` says of a slot.
+STOPPED, BLOCKED, READY = "stopped", "blocked", "ready"
 
 
 def stream_health(progress: DataFrame, now: Column) -> DataFrame:
     """Per slot, whether it is ready at ``now``, from its newest sample.
 
-    Not ready: no stream is running, or delivery has been blocked for more than
-    60 seconds.
+    Not ready: no stream is known to run, or delivery has been blocked for more
+    than 60 seconds.
     """
     newest = progress.groupBy("slot").agg(
         F.max_by(F.struct("at", "streaming", "blocked_since"), "at").alias("s"),
@@ -159,8 +164,8 @@ def stream_health(progress: DataFrame, now: Column) -> DataFrame:
     blocked = F.unix_micros(now) - F.unix_micros("s.blocked_since")
     limit = int(MAX_BLOCK.total_seconds() * 1_000_000)
     status = (
-        F.when(~F.col("s.streaming"), "replication stream is not running")
-        .when(blocked > limit, "event delivery is blocked")
-        .otherwise("ready")
+        F.when(~F.coalesce("s.streaming", F.lit(False)), STOPPED)
+        .when(blocked > limit, BLOCKED)
+        .otherwise(READY)
     )
-    return newest.select("slot", F.col("s.at").alias("at"), status.alias("status"), (status == "ready").alias("ready"))
+    return newest.select("slot", F.col("s.at").alias("at"), status.alias("status"), (status == READY).alias("ready"))

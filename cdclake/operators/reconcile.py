@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -11,29 +12,62 @@ from pyspark.sql import types as T
 from cdclake.functions.positions import commit_date
 from cdclake.operators.scan import CHUNK_BITS, Running, ordered_scan
 
+_BLOCK = 10_000
+
 #: Field type for numbers of any length: the digits as text, cut from the image.
 EXACT = "exact"
 
 
+_NUMBER = r'^"?(-?[0-9][-+.0-9eE]*|NaN|-?Infinity)"?$'
+_TOKEN = r'"[^"]*+"|[{}\[\],:]|[^"{}\[\],:\s]+'
+
+
+def _unescaped_quotes(text):
+    """Give escaped backslashes and quotes other characters, which cannot stand in JSON, so that a quote ends a string."""
+    pairs = (("\\\\", "\x01\x01"), ('\\"', "\x01\x02"))
+    for old, new in pairs:
+        text = text.replace(old, new) if isinstance(text, str) else F.replace(text, F.lit(old), F.lit(new))
+    return text
+
+
+def _member_text(image: Column, name: str) -> Column:
+    """The value of a member of the image itself, as it stands there; null for nested values."""
+    wanted = F.lit(_unescaped_quotes(json.dumps(name, ensure_ascii=False)))
+    tokens = F.regexp_extract_all(_unescaped_quotes(image), F.lit(_TOKEN), F.lit(0))
+    nothing = F.lit(None).cast("string")
+
+    def step(acc: Column, token: Column) -> Column:
+        depth, key, value = acc["depth"], acc["key"], acc["value"]
+        deeper = F.when(token.isin("{", "["), depth + 1).when(token.isin("}", "]"), depth - 1).otherwise(depth)
+        mark = token.isin("{", "[", "}", "]", ":")
+        here = (depth == 1) & ~mark
+        return F.struct(
+            deeper.alias("depth"),
+            F.when(here & (token == ","), nothing).when(here & key.isNull(), token).otherwise(key).alias("key"),
+            F.when(here & (token != ",") & (key == wanted) & value.isNull(), token).otherwise(value).alias("value"),
+        )
+
+    start = F.struct(F.lit(0).alias("depth"), nothing.alias("key"), nothing.alias("value"))
+    return F.aggregate(tokens, start, step)["value"]
+
+
 def expand_image(image: Column, fields: Mapping[str, T.DataType | str]) -> dict[str, Column]:
     """Typed columns of a row image, by field name.
 
     Use decimal types for NUMERIC: they keep up to 38 digits exact.  A number of
     any length can be read as ``EXACT`` text.  Spark's JSON string accessors round
-    numbers, so ``EXACT`` cuts the text out of the image instead.
+    numbers, so ``EXACT`` takes the text out of the image instead.  Only members of
+    the image itself are read, never those of JSON that is embedded in it.
     """
     typed = {n: t for n, t in fields.items() if t != EXACT}
     parsed = F.from_json(image, T.StructType([T.StructField(n, t) for n, t in typed.items()]))
     out = {}
     for name, kind in fields.items():
-        if kind != EXACT:
+        if kind == EXACT:
+            number = F.regexp_extract(_member_text(image, name), _NUMBER, 1)
+            out[name] = F.when(number != "", number)
+        else:
             out[name] = parsed[name]
-            continue
-        # A key follows an opening brace or a comma; inside a string its quotes
-        # would be escaped, so the pattern cannot match there.
-        escaped = "".join(c if c.isalnum() or c == "_" else "\\" + c for c in name)
-        number = F.regexp_extract(image, rf'[{{,]"{escaped}":"?(-?[0-9][^,"}}]*|NaN|-?Infinity)', 1)
-        out[name] = F.when(number != "", number)
     return out
 
 
@@ -61,15 +95,21 @@ def missing_changes(
     """Rows of ``expected`` (``operation``, ``key``, ``fields``) not in the lake.
 
     Inserts and updates must match in all fields of their after image; deletes
-    in their key.  Equal rows are counted before the join on either side, so that
+    in their key.  A stored value that its type cannot hold, as a number of too many
+    digits, is no null: it equals nothing.  Equal rows are counted before the join on either side, so that
     a change that comes many times is one row in it; the expected rows are
     restored afterwards, each as often as it was given.
     """
     values = [n for n in fields if n != key]
     after = expand_image(F.col("after"), {n: fields[n] for n in values})
+    text = F.from_json(F.col("after"), T.StructType([T.StructField(n, T.StringType()) for n in values]))
+    unreadable = F.lit(False)
+    for name in values:
+        unreadable |= after[name].isNull() & text[name].isNotNull()
     seen = (
         row_identity(lake, key, fields[key])
         .filter(F.col("operation").isin("insert", "update", "delete"))
+        .filter((F.col("operation") == "delete") | ~F.coalesce(unreadable, F.lit(False)))
         .select("operation", key, *_change_key(F.col("operation") == "delete", after))
         .distinct()
         .select(*[F.col(c).alias(f"__{c}") for c in ("operation", key, *values)])
@@ -80,16 +120,21 @@ def missing_changes(
         same &= F.when(~deleted, F.col(name)).eqNullSafe(F.col(f"__{name}"))
     counted = expected.groupBy(*expected.columns).agg(F.count(F.lit(1)).alias("__times"))
     missing = counted.join(seen, same, "left_anti")
-    return missing.select(*expected.columns, F.explode(F.sequence(F.lit(1), F.col("__times"))).alias("__n")).drop("__n")
+    # In two steps, so that no row holds an array as long as a change comes often.
+    blocks = missing.withColumn("__block", F.explode(F.sequence(F.lit(0), F.floor((F.col("__times") - 1) / _BLOCK))))
+    here = F.least(F.lit(_BLOCK), F.col("__times") - F.col("__block") * _BLOCK)
+    return blocks.select(*expected.columns, F.explode(F.sequence(F.lit(1).cast("bigint"), here)).alias("__n")).drop("__n")
 
 
-def rolled_back_leaks(lake: DataFrame, rolled_back_ids: DataFrame, key: str = "id") -> DataFrame:
+def rolled_back_leaks(
+    lake: DataFrame, rolled_back_ids: DataFrame, key: str = "id", kind: T.DataType | str = T.LongType()
+) -> DataFrame:
     """Lake rows whose key was only ever in a rolled-back transaction.
 
     The ids are joined as they are: a plain shuffle on both sides lets Spark split
     a key that holds many lake rows, which it cannot do behind a distinct.
     """
-    return row_identity(lake, key).join(rolled_back_ids.select(key), key, "left_semi")
+    return row_identity(lake, key, kind).join(rolled_back_ids.select(key), key, "left_semi")
 
 
 def misplaced_rows(lake: DataFrame) -> DataFrame:
@@ -156,16 +201,21 @@ def dedup_replays(changes: DataFrame, chunk_bits: int = CHUNK_BITS) -> DataFrame
     position, whether it is a commit, and its place among the rows of its session
     with that position.
 
+    The rows of one position stand together in their session, so a place is counted
+    from where the position last changed, by scans over chunks of the session.
     Which rows to keep is found from the positions alone, without the images; the
-    rows themselves are shuffled once, by their own identity.  Places come from a
-    chunked scan and first arrivals from a partial aggregate, so neither a bulk
-    load of any size nor a change replayed any number of times is gathered in one
-    task.
+    rows themselves are shuffled once, by their own identity.  First arrivals come
+    from a partial aggregate, so neither a bulk load of any size nor a change
+    replayed any number of times is gathered in one task.
     """
-    positions = changes.select("slot", "session", "lsn", (F.col("operation") == "commit").alias("commit"), "seq")
-    placed = ordered_scan(
-        positions, ["slot", "session", "lsn", "commit"], "seq",
-        {"place": Running("sum", F.lit(1).cast("bigint"))}, chunk_bits,
+    session = ["slot", "session", "commit"]
+    positions = changes.select("slot", "session", (F.col("operation") == "commit").alias("commit"), "lsn", "seq")
+    counted = ordered_scan(
+        positions, session, "seq",
+        {"before": Running("lag", F.col("lsn")), "idx": Running("sum", F.lit(1).cast("bigint"))}, chunk_bits,
     )
-    first = placed.groupBy("slot", "lsn", "commit", "place").agg(F.min("seq").alias("seq"))
+    begins = F.when(~F.col("lsn").eqNullSafe(F.col("before")), F.col("idx"))
+    placed = ordered_scan(counted, session, "seq", {"start": Running("max", begins)}, chunk_bits)
+    place = (F.col("idx") - F.col("start")).alias("place")
+    first = placed.groupBy("slot", "lsn", "commit", place).agg(F.min("seq").alias("seq"))
     return changes.join(first.select("slot", "seq"), ["slot", "seq"], "left_semi").select(*changes.columns)

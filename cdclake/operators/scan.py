@@ -2,15 +2,17 @@
 
 A slot is one long sequence of messages, so a window over it would run in a
 single task.  A scan here cuts the sequence into chunks of ``2 ** chunk_bits``
-positions, reduces every chunk to one row, scans those few rows, and finishes
-inside each chunk with the chunk's starting value.  The result is the same as
-that of the plain window; the largest task sees one chunk.
+positions, reduces every chunk to one row, scans those rows, and finishes inside
+each chunk with the chunk's starting value.  The rows of the chunks are scanned in
+the same way, by blocks of as many chunks.  The result is the same as that of the
+plain window; a task sees one chunk, one block, or a row per block.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,7 +20,10 @@ from pyspark.sql import functions as F
 #: Positions per chunk as a power of two.
 CHUNK_BITS = 14
 
-_CHUNK = "__chunk"
+#: Chunks per block as a power of two.
+BLOCK_BITS = 14
+
+_CHUNK, _BLOCK = "__chunk", "__block"
 
 
 @dataclass(frozen=True)
@@ -84,6 +89,44 @@ def _combine(scan: Running, local: Column, seed: Column, first: Column) -> Colum
     return F.coalesce(local + seed, local, seed)
 
 
+def chunk_seeds(
+    summary: DataFrame, keys: list[str], scans: Mapping[str, Running], block_bits: int = BLOCK_BITS
+) -> DataFrame:
+    """``keys``, the chunk, and what each scan has come to before the chunk starts.
+
+    ``summary`` has a row per ``keys`` and chunk with the value of each scan in the
+    chunk alone, under the scan's name.  Blocks of chunks are reduced to a row, these
+    are scanned, and each block goes on from what came before it.
+    """
+    own = {name: Running(scan.how, F.col(name)) for name, scan in scans.items()}
+    part = [*keys, _BLOCK]
+    blocked = summary.select(*keys, _CHUNK, F.shiftright(_CHUNK, block_bits).alias(_BLOCK), *scans)
+
+    blocks = blocked.groupBy(*part).agg(*[_per_chunk(scan, F.col(_CHUNK)).alias(f"{n}_of_block") for n, scan in own.items()])
+    along = Window.partitionBy(*keys)
+    before = blocks.select(
+        *part,
+        *[
+            _seed(scan, f"{n}_of_block", along.orderBy(_BLOCK), along.orderBy(F.desc(_BLOCK))).alias(f"{n}_before")
+            for n, scan in own.items()
+        ],
+    )
+    inside = Window.partitionBy(*part)
+    forward, backward = inside.orderBy(_CHUNK), inside.orderBy(F.desc(_CHUNK))
+    local = blocked.select(
+        *part,
+        _CHUNK,
+        *[_seed(scan, n, forward, backward).alias(f"{n}_local") for n, scan in own.items()],
+        (F.row_number().over(forward) == 1).alias("__first"),
+    )
+    same = [F.col(f"l.{k}").eqNullSafe(F.col(f"b.{k}")) for k in part]
+    joined = local.alias("l").join(before.alias("b"), reduce(Column.__and__, same), "left")
+    return joined.select(
+        *[F.col(f"l.{k}").alias(k) for k in (*keys, _CHUNK)],
+        *[_combine(scan, F.col(f"{n}_local"), F.col(f"{n}_before"), F.col("__first")).alias(n) for n, scan in own.items()],
+    )
+
+
 def ordered_scan(
     df: DataFrame,
     keys: list[str],
@@ -104,16 +147,9 @@ def ordered_scan(
     part = [*keys, _CHUNK]
 
     summary = chunked.groupBy(*part).agg(
-        *[_per_chunk(scan, position).alias(f"__{name}") for name, scan in scans.items()]
-    )
-    chunks = Window.partitionBy(*keys)
-    seeds = summary.select(
-        *part,
-        *[
-            _seed(scan, f"__{name}", chunks.orderBy(_CHUNK), chunks.orderBy(F.desc(_CHUNK))).alias(f"__{name}_seed")
-            for name, scan in scans.items()
-        ],
+        *[_per_chunk(scan, position).alias(f"__{name}_seed") for name, scan in scans.items()]
     )
+    seeds = chunk_seeds(summary, keys, {f"__{name}_seed": scan for name, scan in scans.items()})
 
     added = []
     if constants is not None:

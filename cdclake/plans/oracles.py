@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cdclake.plans.queries import CONFIRMED, CUTS, SEGMENT_SIZE
+from cdclake.plans.queries import CONFIRMED, CUTS, FINISHED, RERUN_UNTIL, SEGMENT_SIZE
 
 # One row per sent row change (`sent`), the changes of the slot (`changes`).
 _BASE = r"""
@@ -100,6 +100,10 @@ files AS (
 manifest AS (
   SELECT *, CASE WHEN rows > 0 THEN sum((rows > 0)::BIGINT) OVER (ORDER BY start_idx)::BIGINT END AS sequence
   FROM files
+),
+both_slots AS (
+  SELECT m.* EXCLUDE (sequence), s.slot, m.sequence + s.k * (SELECT max(sequence) FROM manifest) AS sequence
+  FROM manifest m, (VALUES ('main', 0), ('twin', 1)) s(slot, k)
 )
 """.replace("{n}", str(SEGMENT_SIZE))
 
@@ -171,9 +175,9 @@ SELECT 2 + l_orderkey * 8 + l_linenumber AS seq,
   || ',"tax":' || CASE WHEN l_tax = 0 THEN '"NaN"' ELSE l_tax::DECIMAL(18,2)::VARCHAR END || '}' AS after
 FROM lineitem""",
     "type_registry": _BASE
-    + """SELECT seq, CASE WHEN unknown THEN '{}'
-         ELSE head || note || replace(tail, to_json(props)::VARCHAR, props) END AS after
-         FROM sent WHERE operation = 'insert'""",
+    + """, j AS (SELECT *, replace(tail, to_json(props)::VARCHAR, props) AS json_tail FROM sent)
+         SELECT seq, operation, CASE WHEN before LIKE '%"note"%' THEN head || 'null' || json_tail ELSE before END AS before,
+         CASE WHEN after LIKE '%"note"%' THEN head || note || json_tail ELSE after END AS after FROM j""",
     "table_selection": _BASE
     + """SELECT "table", operation, count(*) AS events FROM changes
          WHERE "table" IN ('table_01', 'table_03', '_transaction') GROUP BY ALL""",
@@ -190,7 +194,16 @@ FROM lineitem""",
     "day_pruned_read": _BASE + _STORED + "AND day BETWEEN DATE '2024-01-05' AND DATE '2024-01-09'",
     "dated_export": _BASE
     + f"""SELECT "table", operation, epoch_us(decoded) AS timestamp_us, lsn, before, after, {_DAY} AS commit_date
-         FROM sent WHERE day BETWEEN DATE '2024-01-10' AND DATE '2024-01-12'""",
+         FROM sent""",
+    "batch_then_stream": _BASE + _STORED,
+    "rerun_batch": _BASE + _STORED + f"AND day <= DATE '{RERUN_UNTIL}'",
+    "empty_batch": _BASE
+    + """SELECT 'main' AS slot, count(*) AS read_idx, arg_max(lsn, idx) AS acked_lsn, max(lsn) AS confirmed_lsn,
+         0::BIGINT AS files FROM numbered""",
+    "order_breaks": _BASE
+    + """, written AS (SELECT *, epoch_us(decoded) AS us, seq + CASE WHEN seq % 50 = 0 THEN 6400 ELSE 0 END AS place FROM sent),
+         pairs AS (SELECT *, lag({'a': us, 'b': lsn, 'c': seq}) OVER (PARTITION BY day ORDER BY place) AS prior FROM written)
+         SELECT seq, lsn, us AS timestamp_us FROM pairs WHERE {'a': us, 'b': lsn, 'c': seq} < prior""",
     "file_stats": _BASE
     + f"""SELECT {_DAY} AS commit_date, count(*) AS rows,
          sum(coalesce(length(before), 0) + coalesce(length(after), 0))::BIGINT AS image_chars, true AS sized
@@ -207,35 +220,38 @@ FROM lineitem""",
          FROM ticks WINDOW w AS (ORDER BY tick)""",
     "day_runs": _BASE + f"SELECT seq, idx, segment, run, {_DAY} AS commit_date FROM runs",
     "file_manifest": _BASE
-    + f"""SELECT segment, run, {_DAY} AS commit_date, start_idx, events, rows, first_lsn, last_lsn, last_decoded_us,
+    + f"""SELECT slot, segment, run, {_DAY} AS commit_date, start_idx, events, rows, first_lsn, last_lsn, last_decoded_us,
          sequence, 'ns/' || strftime(day, '%Y/%m/%d') || '/' || last_decoded_us || '-' || sequence || '.ZSTD.parquet'
-         AS key FROM manifest""",
+         AS key FROM both_slots""",
     "contiguous_prefix": _LEDGER
     + """, marked AS (
       SELECT *, sum((NOT done OR start_idx <> coalesce(prev, 0))::INT) OVER (PARTITION BY slot ORDER BY start_idx) AS broken
       FROM (SELECT *, lag(end_idx) OVER (PARTITION BY slot ORDER BY start_idx) AS prev FROM ledger))
     SELECT slot, coalesce(max(end_idx) FILTER (broken = 0), 0) AS read_idx,
-           arg_max(last_lsn, end_idx) FILTER (broken = 0) AS acked_lsn
+           arg_max(last_lsn, end_idx) FILTER (broken = 0) AS acked_lsn,
+           max(last_lsn) FILTER (broken = 0) AS confirmed_lsn
     FROM marked GROUP BY slot""",
     "acked_position": _LEDGER + "SELECT slot, max(last_lsn) AS acked_lsn FROM ledger WHERE done GROUP BY slot",
     "acked_history": _LEDGER
     + """SELECT slot, end_idx, last_lsn, max(last_lsn) OVER (PARTITION BY slot ORDER BY end_idx) AS confirmed_lsn
          FROM ledger WHERE done""",
     "safe_restart": _BASE + _RESTART.format(CONFIRMED),
+    # What was published once stays: the highest position of the finished segments.
     "resume": _BASE
-    + """, ledger AS (SELECT segment, arg_max(lsn, idx) AS last_lsn FROM segmented GROUP BY segment),
-         finished AS (SELECT *, sum((last_lsn > {c})::INT) OVER (ORDER BY segment) AS broken FROM ledger),
-         acked AS (SELECT coalesce(arg_max(last_lsn, segment) FILTER (broken = 0), 0) AS lsn FROM finished)
-    """.replace("{c}", str(CONFIRMED))
-    + _RESTART.format("(SELECT lsn FROM acked)"),
+    + f""", done AS (SELECT segment, arg_max(lsn, idx) AS last_lsn, max(idx) + 1 AS end_idx FROM segmented GROUP BY segment),
+         position AS (SELECT 'main' AS slot, max(last_lsn) AS lsn FROM done WHERE end_idx <= {FINISHED}
+                      UNION ALL SELECT 'twin', {CONFIRMED})
+         SELECT p.slot, m.session, m.seq, m.kind
+         FROM position p, messages m JOIN commits c ON m.session = c.session AND m.txn = c.txn
+         WHERE c.lsn > p.lsn AND m.kind <> 'R'""",
     "backlog": _PROGRESS
-    + """SELECT slot, max(write_idx - read_idx) AS max_backlog, arg_max(write_idx - read_idx, at_us) AS backlog,
-         8000::BIGINT AS capacity FROM progress GROUP BY slot""",
+    + """SELECT slot, max(write_idx - read_idx) AS max_backlog, arg_max(write_idx - read_idx, at_us) AS backlog
+         FROM progress GROUP BY slot""",
     "stream_health": _PROGRESS
     + """, newest AS (SELECT slot, max(at_us) AS at_us, arg_max(streaming, at_us) AS streaming,
              arg_max({'b': blocked_us}, at_us).b AS blocked_us FROM progress GROUP BY slot),
-         judged AS (SELECT slot, at_us, CASE WHEN NOT streaming THEN 'replication stream is not running'
-           WHEN epoch_us(TIMESTAMP '2024-01-31 00:00:00') - blocked_us > 60000000 THEN 'event delivery is blocked'
+         judged AS (SELECT slot, at_us, CASE WHEN NOT streaming THEN 'stopped'
+           WHEN epoch_us(TIMESTAMP '2024-01-31 00:00:00') - blocked_us > 60000000 THEN 'blocked'
            ELSE 'ready' END AS status FROM newest)
          SELECT *, status = 'ready' AS ready FROM judged""",
     "position_regressions": _PROGRESS
@@ -243,8 +259,9 @@ FROM lineitem""",
            SELECT *, lag(acked_lsn) OVER (PARTITION BY slot ORDER BY at_us) AS previous_lsn FROM progress)
          WHERE acked_lsn < previous_lsn""",
     "missing_changes": _BASE
-    + """SELECT operation, event_id AS id, event_type, digits AS value FROM sent
-         WHERE NOT unknown AND event_id % 101 = 0 AND session = txn // 100""",
+    + """SELECT operation, event_id AS id, event_type, CASE WHEN event_id % 103 <> 0 THEN digits END AS value FROM sent
+         WHERE NOT unknown AND session = txn // 100
+           AND (event_id % 101 = 0 OR (event_id % 103 = 0 AND operation <> 'delete'))""",
     "rolled_back_leaks": _BASE
     + "SELECT seq, event_id AS id, operation FROM leaky WHERE txn % 97 = 13 AND NOT unknown",
     "misplaced_rows": _BASE
@@ -256,7 +273,7 @@ FROM lineitem""",
          FROM sent GROUP BY 1 HAVING min(day) <> max(day)""",
     "duplicate_keys": _BASE
     + """SELECT 'ns/' || strftime(day, '%Y/%m/%d') || '/' || sequence % 5 || '.ZSTD.parquet' AS key, count(*) AS count
-         FROM manifest WHERE sequence IS NOT NULL GROUP BY 1 HAVING count(*) > 1""",
+         FROM both_slots WHERE sequence IS NOT NULL GROUP BY 1 HAVING count(*) > 1""",
     "conservation": _BASE
     + """SELECT 'main' AS slot, session, seq, 1::BIGINT AS decoded,
          CASE WHEN seq % 41 = 0 THEN 0 ELSE 2 END::BIGINT AS stored
@@ -271,11 +288,15 @@ FROM lineitem""",
          CASE WHEN unknown OR event_id % 4 = 0 THEN NULL WHEN event_id % 4 = 1 THEN '<TOAST>'
               WHEN event_id % 4 = 2 THEN 'binary(' || event_id % 100 || ' bytes)'
               ELSE 'n"' || event_id || '\' END AS note,
-         CASE WHEN unknown THEN NULL ELSE digits END AS digits
+         CASE WHEN unknown THEN NULL ELSE digits END AS digits,
+         CASE WHEN unknown THEN NULL ELSE '1234567890123456789012345678901234567890' END AS long_digits,
+         CASE WHEN unknown THEN NULL ELSE seq::VARCHAR END AS quoted_name
          FROM sent WHERE operation <> 'delete'""",
     "row_identity": _BASE
     + "SELECT seq, operation, CASE WHEN unknown THEN NULL ELSE event_id END AS id FROM sent",
-    "dedup_replays": _BASE + "SELECT session, seq, lsn, operation FROM changes WHERE session = txn // 100",
+    "dedup_replays": _BASE
+    + """SELECT s.slot, session, seq, lsn, operation FROM changes, (VALUES ('main'), ('twin')) s(slot)
+         WHERE session = txn // 100""",
     "lsn_ranges": _BASE
     + f"""SELECT 'main' AS slot, {_DAY} AS commit_date, min(lsn) AS min_lsn, max(lsn) AS max_lsn, count(*) AS events,
          {_hex_text("min(lsn)")} AS first, {_hex_text("max(lsn)")} AS last FROM changes GROUP BY day""",

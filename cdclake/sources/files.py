@@ -2,28 +2,62 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
+from collections.abc import Callable
 
 from pyspark.sql import SparkSession
 
 
+def _at(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder exists on whatever file system ``path`` names."""
-    jvm = spark._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
-
-
-@contextmanager
-def session_settings(spark: SparkSession, **settings: str) -> Iterator[None]:
-    """Set session settings (dots written as ``__``) and put the old ones back."""
-    names = {name.replace("__", "."): value for name, value in settings.items()}
-    old = {name: spark.conf.get(name, None) for name in names}
-    try:
-        for name, value in names.items():
-            spark.conf.set(name, value)
-        yield
-    finally:
-        for name, value in old.items():
-            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+    system, target = _at(spark, path)
+    return system.exists(target)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder, if it is there."""
+    system, target = _at(spark, path)
+    system.delete(target, True)
+
+
+def folders(spark: SparkSession, pattern: str) -> dict[str, set[str]]:
+    """The folders that match a glob, with the names of the files in each."""
+    system, target = _at(spark, pattern)
+    found = system.globStatus(target)
+    return {
+        str(folder.getPath()): {file.getPath().getName() for file in system.listStatus(folder.getPath())}
+        for folder in found or ()
+        if folder.isDirectory()
+    }
+
+
+def replace_folders(spark: SparkSession, pattern: str, write: Callable[[], None]) -> None:
+    """Run ``write``, then remove the folders matching ``pattern`` that it left as they were.
+
+    Spark gives every file it writes a new name, so a folder whose files are all old
+    holds what an earlier run of the same batch wrote and this one did not.
+    """
+    before = folders(spark, pattern)
+    write()
+    for folder, names in folders(spark, pattern).items():
+        if folder in before and names <= before[folder]:
+            delete(spark, folder)
+
+
+def require_setting(spark: SparkSession, name: str, value: str) -> None:
+    """Give the session a setting that the jobs rely on; it stays set.
+
+    Putting an old value back after each job would change it under another job of
+    the session that runs at the same time.
+    """
+    if spark.conf.get(name, None) != value:
+        spark.conf.set(name, value)
+
+
+def micros_in_files(spark: SparkSession) -> None:
+    """Have Parquet files hold timestamps as microseconds, as every reader of the lake expects."""
+    require_setting(spark, "spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")

@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cdclake.functions.positions import commit_date, unset_time
-from cdclake.operators.scan import CHUNK_BITS, chunk_of
 from cdclake.schema import CHANGE, FILE_COLUMNS, PARTITIONS
-from cdclake.sources.files import exists, session_settings
+from cdclake.sources.files import exists, folders, micros_in_files, replace_folders
 
 #: Row order inside a file.
 FILE_ORDER = ("timestamp", "lsn", "seq")
@@ -48,25 +48,52 @@ def write_changes(
     changes: DataFrame,
     root: str,
     namespace: str = DEFAULT_NAMESPACE,
-    batch_id: int = 0,
+    *,
+    load: int,
+    replace: bool = False,
     max_records_per_file: int = MAX_RECORDS_PER_FILE,
-    cluster: bool = False,
 ) -> None:
-    """Write one batch under ``root/namespace/commit_date=.../batch_id=...``.
+    """Write a batch load under ``root/namespace/commit_date=.../batch_id=...``.
+
+    Loads are numbered from 1 by the caller and kept apart from the batches of a
+    stream, so that either may follow the other into one lake.  A load that is
+    there already is an error; with ``replace`` it is written anew, and days that
+    it no longer has are removed.  A load without rows writes no file.
+    """
+    if load < 1:
+        raise ValueError("loads are numbered from 1")
+    if not replace and folders(changes.sparkSession, _folders_of(root, namespace, -load)):
+        raise ValueError(f"load {load} is in {root}/{namespace} already; take another number, or replace it")
+    write_batch(changes, root, namespace, -load, max_records_per_file)
+
+
+def _folders_of(root: str, namespace: str, batch: int | str) -> str:
+    return f"{root}/{namespace}/commit_date=*/batch_id={batch}"
+
+
+def stored_files(spark: SparkSession, root: str, namespace: str = DEFAULT_NAMESPACE) -> int:
+    """Number of data files of the lake."""
+    return sum(n.endswith(".parquet") for names in folders(spark, _folders_of(root, namespace, "*")).values() for n in names)
 
-    Writing a batch again replaces its own folders and leaves all others alone,
-    so a repeated batch adds no duplicates.  A batch without rows writes no file.
 
-    Decoded changes arrive clustered by slot and chunk, which are close in time,
-    so each task holds few days and no further shuffle is needed.  For input in
-    no such order, ``cluster`` shuffles by day and chunk first: a hot day is then
-    spread over as many tasks as it has chunks.
+def has_stream_batches(spark: SparkSession, root: str, namespace: str) -> bool:
+    """Whether a stream has written to the lake."""
+    return bool(folders(spark, _folders_of(root, namespace, "[0-9]*")))
+
+
+def write_batch(
+    changes: DataFrame, root: str, namespace: str, batch_id: int, max_records_per_file: int = MAX_RECORDS_PER_FILE
+) -> None:
+    """Write a batch under its id (negative for loads, else a stream's), in place of what it had.
+
+    Rows are rebalanced by day: adaptive execution gives a hot day many tasks and
+    puts small days together, so that the number of files follows the amount of
+    data and the number of days, not the number of tasks times that of days.
     """
+    spark = changes.sparkSession
     rows = to_lake_rows(changes).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-    if cluster:
-        rows = rows.repartition("commit_date", "slot", chunk_of(F.col("seq"), CHUNK_BITS))
     # Partition columns first: the writer then needs no sort of its own.
-    ordered = rows.sortWithinPartitions(*PARTITIONS.fieldNames(), *FILE_ORDER)
+    ordered = rows.hint("rebalance", "commit_date").sortWithinPartitions(*PARTITIONS.fieldNames(), *FILE_ORDER)
     writer = (
         ordered.write.mode("overwrite")
         .partitionBy(*PARTITIONS.fieldNames())
@@ -74,8 +101,8 @@ def write_changes(
         .option("maxRecordsPerFile", max_records_per_file)
         .options(**WRITER_OPTIONS)
     )
-    with session_settings(changes.sparkSession, spark__sql__parquet__outputTimestampType="TIMESTAMP_MICROS"):
-        writer.parquet(f"{root}/{namespace}")
+    micros_in_files(spark)
+    replace_folders(spark, _folders_of(root, namespace, batch_id), lambda: writer.parquet(f"{root}/{namespace}"))
 
 
 def _day(value: str | dt.date) -> dt.date:
@@ -132,29 +159,32 @@ def export_dated(
     first_day: str | dt.date | None = None,
     last_day: str | dt.date | None = None,
     max_records_per_file: int = MAX_RECORDS_PER_FILE,
+    at_once: int = 8,
 ) -> list[str]:
     """Copy days of the lake to ``target/namespace/YYYY/MM/DD/`` folders.
 
     The files hold the seven file columns only, for readers that expect dated
-    folders.  Each day is one job over that day's partitions; an exported day is
-    replaced.  Returns the folders written.
+    folders.  Each day is a job over that day's partitions, and ``at_once`` of them
+    run side by side; an exported day is replaced.  Returns the folders written.
     """
     days = read_changes(spark, root, namespace, first_day, last_day).select("commit_date").distinct()
-    written = []
-    for (day,) in sorted(days.collect()):  # one row per day
+    micros_in_files(spark)
+
+    def export(day: dt.date) -> str:
         folder = f"{target}/{namespace}/{day:%Y/%m/%d}"
-        rows = read_changes(spark, root, namespace, day, day)
-        with session_settings(spark, spark__sql__parquet__outputTimestampType="TIMESTAMP_MICROS"):
-            (
-                rows.sortWithinPartitions(*FILE_ORDER)
-                .select(*FILE_COLUMNS.fieldNames())
-                .write.mode("overwrite")
-                .option("maxRecordsPerFile", max_records_per_file)
-                .options(**WRITER_OPTIONS)
-                .parquet(folder)
-            )
-        written.append(folder)
-    return written
+        (
+            read_changes(spark, root, namespace, day, day)
+            .sortWithinPartitions(*FILE_ORDER)
+            .select(*FILE_COLUMNS.fieldNames())
+            .write.mode("overwrite")
+            .option("maxRecordsPerFile", max_records_per_file)
+            .options(**WRITER_OPTIONS)
+            .parquet(folder)
+        )
+        return folder
+
+    with ThreadPoolExecutor(at_once) as pool:
+        return list(pool.map(export, sorted(day for (day,) in days.collect())))  # one row per day
 
 
 def read_dated(

@@ -7,20 +7,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cdclake.schema import PROGRESS, SEGMENT
-from cdclake.sources.files import session_settings
+from cdclake.sources.files import micros_in_files, replace_folders
 
 _BATCH = T.StructField("batch_id", T.LongType())
 
 
 def _write(rows: DataFrame, schema: T.StructType, path: str, batch_id: int) -> None:
-    with session_settings(rows.sparkSession, spark__sql__parquet__outputTimestampType="TIMESTAMP_MICROS"):
-        (
-            rows.select(*schema.fieldNames(), F.lit(batch_id).cast("bigint").alias(_BATCH.name))
-            .write.mode("overwrite")
-            .partitionBy(_BATCH.name)
-            .option("partitionOverwriteMode", "dynamic")
-            .parquet(path)
-        )
+    spark = rows.sparkSession
+    micros_in_files(spark)
+    writer = (
+        rows.select(*schema.fieldNames(), F.lit(batch_id).cast("bigint").alias(_BATCH.name))
+        .write.mode("overwrite")
+        .partitionBy(_BATCH.name)
+        .option("partitionOverwriteMode", "dynamic")
+    )
+    replace_folders(spark, f"{path}/{_BATCH.name}={batch_id}", lambda: writer.parquet(path))
 
 
 def write_segments(segments: DataFrame, ledger: str, batch_id: int) -> None:

@@ -27,8 +27,8 @@ from cdclake.operators.decode import decode, event_lsn, is_event
 from cdclake.operators.filters import filter_changes, not_commit
 from cdclake.operators.scan import CHUNK_BITS
 from cdclake.schema import MESSAGE, PROGRESS
-from cdclake.sources.files import exists
-from cdclake.sources.lake import DEFAULT_NAMESPACE, MAX_RECORDS_PER_FILE, write_changes
+from cdclake.sources.files import delete, exists
+from cdclake.sources.lake import DEFAULT_NAMESPACE, MAX_RECORDS_PER_FILE, has_stream_batches, write_batch
 from cdclake.sources.ledger import read_progress, write_progress, write_segments
 
 FLUSH_INTERVAL = "30 seconds"
@@ -44,6 +44,7 @@ CARRY = T.StructType(
         T.StructField("start_idx", T.LongType()),  # events before the batch
         T.StructField("end_idx", T.LongType()),  # events after the batch
         T.StructField("last_lsn", T.LongType()),  # of the batch
+        T.StructField("old_acked", T.LongType()),  # confirmed before the batch
     ]
 )
 
@@ -87,6 +88,7 @@ def _counters(batch: DataFrame, carry: DataFrame) -> DataFrame:
         start.alias("start_idx"),
         (start + F.coalesce("n", F.lit(0))).alias("end_idx"),
         "last_lsn",
+        "old_acked",
     )
 
 
@@ -137,14 +139,14 @@ def stream_changes(
     chosen = (not_commit(),) if predicates is None else tuple(predicates)
 
     def to_lake(changes: DataFrame, batch_id: int) -> None:
-        write_changes(changes, root, namespace, batch_id, max_records_per_file)
+        write_batch(changes, root, namespace, batch_id, max_records_per_file)
 
     def run(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         if batch_id > 0:
             carry = session.read.schema(CARRY).parquet(f"{carries}/batch={batch_id - 1}")
         else:
-            _refuse_foreign_lake(session, ledger, f"{carries}/batch=0")
+            _refuse_foreign_lake(session, root, namespace, f"{carries}/batch=0")
             carry = session.createDataFrame([], CARRY)
         # Written first and read back, so that the counters are computed once.
         _next_carry(batch, carry).write.mode("overwrite").parquet(f"{carries}/batch={batch_id}")
@@ -156,11 +158,27 @@ def stream_changes(
                 f"but seq {late[0].old_seq} was already taken in"
             )
 
+        def sample(at: Column, read_idx: str, blocked_since: Column) -> DataFrame:
+            return counters.select(
+                "slot",
+                at.alias("at"),
+                F.lit(True).alias("streaming"),
+                blocked_since.cast("timestamp").alias("blocked_since"),
+                F.col("end_idx").alias("write_idx"),
+                F.col(read_idx).alias("read_idx"),
+                (F.col("wal_start") if read_idx == "end_idx" else F.col("old_acked")).alias("acked_lsn"),
+            )
+
+        # What has arrived waits from here on; if the batch fails, this is what stays recorded.
+        began = F.lit(dt.datetime.now(dt.timezone.utc))
+        waiting = sample(began, "start_idx", began)
+        write_progress(waiting, ledger, batch_id)
+
         known = carry.filter("kind IN ('R', 'B')")
         changes = filter_changes(decode(batch, registry, known, chunk_bits), *chosen)
         (sink or to_lake)(changes, batch_id)
 
-        recorded = F.current_timestamp()
+        recorded = F.lit(dt.datetime.now(dt.timezone.utc))
         segments = counters.filter(F.col("end_idx") > F.col("start_idx")).select(
             "slot",
             "start_idx",
@@ -171,16 +189,9 @@ def stream_changes(
             recorded.alias("done_at"),
         )
         write_segments(segments, ledger, batch_id)
-        progress = counters.select(
-            "slot",
-            recorded.alias("at"),
-            F.lit(True).alias("streaming"),
-            F.lit(None).cast("timestamp").alias("blocked_since"),
-            F.col("end_idx").alias("write_idx"),
-            F.col("end_idx").alias("read_idx"),
-            F.col("wal_start").alias("acked_lsn"),
-        )
-        write_progress(progress, ledger, batch_id)
+        write_progress(waiting.unionByName(sample(recorded, "end_idx", F.lit(None))), ledger, batch_id)
+        # This batch starts from the carry before it; older ones are never read again.
+        delete(session, f"{carries}/batch={batch_id - 2}")
 
     writer = messages.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     if flush_interval is None:
@@ -193,14 +204,16 @@ def drain(messages: DataFrame, root: str, checkpoint: str, namespace: str = DEFA
     stream_changes(messages, root, checkpoint, namespace, flush_interval=None, **options).awaitTermination()
 
 
-def _refuse_foreign_lake(spark: SparkSession, ledger: str, own_carry: str) -> None:
+def _refuse_foreign_lake(spark: SparkSession, root: str, namespace: str, own_carry: str) -> None:
     """A first batch must not replace the batches of another checkpoint.
 
     The carry is written before anything else, so a first batch that is run again
-    has one; a lake that has a ledger without it was filled from elsewhere.
+    has one; a lake or a ledger with stream batches and without it was filled from
+    elsewhere.  Batch loads do not matter: they are numbered apart.
     """
-    if exists(spark, f"{ledger}/segments") and not exists(spark, own_carry):
-        raise ValueError(f"{ledger} records batches already; go on with the checkpoint they were written with")
+    filled = has_stream_batches(spark, root, namespace) or exists(spark, f"{ledger_path(root, namespace)}/segments")
+    if filled and not exists(spark, own_carry):
+        raise ValueError(f"{root}/{namespace} has batches of a stream already; go on with the checkpoint they were written with")
 
 
 def query_progress(query: StreamingQuery, spark: SparkSession, ledger: str) -> DataFrame:

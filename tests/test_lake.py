@@ -44,7 +44,7 @@ def files(root):
 
 def test_round_trip(spark, tmp_path):
     changes = mixed_changes(spark, 1000, days=3)
-    lake.write_changes(changes, str(tmp_path), "ns")
+    lake.write_changes(changes, str(tmp_path), "ns", load=1)
     back = lake.read_changes(spark, str(tmp_path), "ns")
     stored = changes.withColumn("commit_time", F.coalesce("commit_time", F.timestamp_micros(F.lit(-62135596800000000))))
     assert rows_of(back) == rows_of(stored)
@@ -59,7 +59,7 @@ def test_round_trip(spark, tmp_path):
 
 
 def test_file_format(spark, tmp_path):
-    lake.write_changes(mixed_changes(spark, 3000).coalesce(1), str(tmp_path), "ns", max_records_per_file=1000)
+    lake.write_changes(mixed_changes(spark, 3000).coalesce(1), str(tmp_path), "ns", load=1, max_records_per_file=1000)
     written = files(tmp_path)
     assert len(written) == 3 and all(".zstd.parquet" in f for f in written)
     meta = pq.ParquetFile(written[0]).metadata
@@ -77,20 +77,20 @@ def test_file_format(spark, tmp_path):
 
 def test_writing_a_batch_again_replaces_only_that_batch(spark, tmp_path):
     first, second = mixed_changes(spark, 30), mixed_changes(spark, 60).filter("seq >= 30")
-    lake.write_changes(first, str(tmp_path), "ns", 0)
-    lake.write_changes(second, str(tmp_path), "ns", 1)
-    lake.write_changes(second, str(tmp_path), "ns", 1)
+    lake.write_changes(first, str(tmp_path), "ns", load=1)
+    lake.write_changes(second, str(tmp_path), "ns", load=2)
+    lake.write_changes(second, str(tmp_path), "ns", load=2, replace=True)
     back = lake.read_changes(spark, str(tmp_path), "ns")
     assert sorted(r.seq for r in back.select("seq").collect()) == list(range(60))
 
 
 def test_nothing_to_write_gives_no_file(spark, tmp_path):
-    lake.write_changes(mixed_changes(spark, 10).filter("seq < 0"), str(tmp_path), "ns")
+    lake.write_changes(mixed_changes(spark, 10).filter("seq < 0"), str(tmp_path), "ns", load=1)
     assert files(tmp_path) == []
 
 
 def test_unset_commit_time_is_filed_by_decode_day(spark, tmp_path):
-    lake.write_changes(mixed_changes(spark, 1), str(tmp_path), "ns")
+    lake.write_changes(mixed_changes(spark, 1), str(tmp_path), "ns", load=1)
     (row,) = lake.read_changes(spark, str(tmp_path), "ns").withColumn(
         "us", F.unix_micros("commit_time")
     ).drop("commit_time").collect()
@@ -99,7 +99,7 @@ def test_unset_commit_time_is_filed_by_decode_day(spark, tmp_path):
 
 
 def test_day_range_reads_only_its_folders(spark, tmp_path):
-    lake.write_changes(mixed_changes(spark, 300, days=3), str(tmp_path), "ns")
+    lake.write_changes(mixed_changes(spark, 300, days=3), str(tmp_path), "ns", load=1)
     middle = lake.read_changes(spark, str(tmp_path), "ns", "2026-05-10", "2026-05-10")
     assert {str(r[0]) for r in middle.select("commit_date").distinct().collect()} == {"2026-05-10"}
     assert all("commit_date=2026-05-10" in f for f in middle.inputFiles())
@@ -113,24 +113,51 @@ def test_day_range_reads_only_its_folders(spark, tmp_path):
 
 
 def test_row_filters_reach_the_files(spark, tmp_path):
-    lake.write_changes(mixed_changes(spark, 30), str(tmp_path), "ns")
+    lake.write_changes(mixed_changes(spark, 30), str(tmp_path), "ns", load=1)
     df = lake.read_changes(spark, str(tmp_path), "ns").filter("`table` = 'table_01' AND lsn > 5").select("lsn")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(table,table_01)" in plan and "GreaterThan(lsn,5)" in plan
     assert "ReadSchema: struct<table:string,lsn:bigint>" in plan
 
 
-@pytest.mark.parametrize("cluster", [False, True])
-def test_clustered_write_keeps_rows(spark, tmp_path, cluster):
-    changes = mixed_changes(spark, 500, days=4).repartition(4)
-    lake.write_changes(changes, str(tmp_path), "ns", cluster=cluster)
-    assert lake.read_changes(spark, str(tmp_path), "ns").count() == 500
-    if cluster:
-        assert len(files(tmp_path)) == 4
+def test_a_load_is_never_replaced_by_chance(spark, tmp_path):
+    lake.write_changes(mixed_changes(spark, 30), str(tmp_path), "ns", load=1)
+    with pytest.raises(ValueError, match="already"):
+        lake.write_changes(mixed_changes(spark, 5), str(tmp_path), "ns", load=1)
+    with pytest.raises(ValueError, match="from 1"):
+        lake.write_changes(mixed_changes(spark, 5), str(tmp_path), "ns", load=0)
+    lake.write_changes(mixed_changes(spark, 30), str(tmp_path), "other", load=1)
+    assert lake.read_changes(spark, str(tmp_path), "ns").count() == 30
+
+
+def test_a_load_with_fewer_days_leaves_no_old_day(spark, tmp_path):
+    lake.write_changes(mixed_changes(spark, 300, days=3), str(tmp_path), "ns", load=1)
+    lake.write_changes(mixed_changes(spark, 90, days=3), str(tmp_path), "ns", load=2)
+    lake.write_changes(mixed_changes(spark, 300, days=3).filter("seq < 50"), str(tmp_path), "ns", load=1, replace=True)
+    assert lake.read_changes(spark, str(tmp_path), "ns").filter("batch_id = -1").count() == 50
+    lake.write_changes(mixed_changes(spark, 1).filter("seq < 0"), str(tmp_path), "ns", load=1, replace=True)
+    back = lake.read_changes(spark, str(tmp_path), "ns")
+    assert [r.batch_id for r in back.select("batch_id").distinct().collect()] == [-2] and back.count() == 90
+
+
+def test_the_number_of_files_follows_days_and_amount(spark, tmp_path):
+    # Rows in no order of time, in many partitions: still about a file per day.
+    lake.write_changes(mixed_changes(spark, 600, days=6).repartition(16), str(tmp_path / "a"), "ns", load=1)
+    assert 6 <= len(files(tmp_path / "a")) <= 12
+    # A day that is far larger than a task's share is written by many tasks.
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        hot = mixed_changes(spark, 20_000).repartition(16)
+        lake.write_changes(hot, str(tmp_path / "b"), "ns", load=1)
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    assert len(files(tmp_path / "b")) >= 4
+    assert lake.read_changes(spark, str(tmp_path / "b"), "ns").count() == 20_000
 
 
 def test_dated_folders(spark, tmp_path):
-    lake.write_changes(mixed_changes(spark, 300, days=3), str(tmp_path / "lake"), "ns")
+    lake.write_changes(mixed_changes(spark, 300, days=3), str(tmp_path / "lake"), "ns", load=1)
     for _ in range(2):
         folders = lake.export_dated(spark, str(tmp_path / "lake"), str(tmp_path / "out"), "ns")
     assert [f.split("/ns/")[1] for f in folders] == ["2026/05/09", "2026/05/10", "2026/05/11"]
@@ -156,7 +183,7 @@ def test_checks_find_planted_faults(spark, tmp_path):
 def test_decoded_history_survives_the_lake(spark, tmp_path):
     messages = history.random_history(5)
     changes = filter_changes(decode(history.frame(spark, messages), chunk_bits=4), not_commit())
-    lake.write_changes(changes, str(tmp_path), "ns")
+    lake.write_changes(changes, str(tmp_path), "ns", load=1)
     back = lake.read_changes(spark, str(tmp_path), "ns").withColumn(
         "commit_time", F.nullif("commit_time", F.timestamp_micros(F.lit(-62135596800000000)))
     )

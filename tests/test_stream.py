@@ -74,7 +74,7 @@ def test_failed_batch_is_run_again_without_duplicates(spark, work):
     work.land(messages[30:])
 
     def fail_after_writing(changes, batch_id):
-        lake.write_changes(changes, work.root, "ns", batch_id)
+        lake.write_batch(changes, work.root, "ns", batch_id)
         raise RuntimeError("store is down")
 
     with pytest.raises(Exception, match="store is down"):
@@ -100,16 +100,70 @@ def test_another_checkpoint_cannot_replace_the_lake(work, tmp_path):
     work.land(messages)
     work.drain()
     work.checkpoint = str(tmp_path / "fresh")
-    with pytest.raises(Exception, match="records batches already"):
+    with pytest.raises(Exception, match="has batches of a stream already"):
         work.drain()
 
 
+def test_a_stream_goes_on_after_a_batch_load(spark, work):
+    early, late = history.random_history(21, txns=8), history.random_history(22, txns=8)
+    loaded = filter_changes(decode(history.frame(spark, early)), not_commit())
+    lake.write_changes(loaded, work.root, "ns", load=1)
+    work.land(late)
+    work.drain()
+    streamed = filter_changes(decode(history.frame(spark, late)), not_commit())
+    assert reconcile.conservation(streamed, work.lake().filter("batch_id >= 0")).count() == 0
+    assert reconcile.conservation(loaded, work.lake().filter("batch_id < 0")).count() == 0
+    # and a load may follow the stream
+    lake.write_changes(loaded, work.root, "ns", load=2)
+    assert work.lake().count() == streamed.count() + 2 * loaded.count()
+
+
+def test_lake_without_a_ledger_is_refused_too(spark, work, tmp_path):
+    messages = history.random_history(23, txns=4)
+    lake.write_batch(filter_changes(decode(history.frame(spark, messages)), not_commit()), work.root, "ns", 0)
+    work.land(messages)
+    with pytest.raises(Exception, match="has batches of a stream already"):
+        work.drain()
+
+
+def test_progress_shows_what_waits(spark, work):
+    messages = sorted(history.random_history(24, txns=12), key=lambda m: m[SEQ])
+    work.land(messages)
+
+    def fail(changes, batch_id):
+        raise RuntimeError("store is down")
+
+    with pytest.raises(Exception, match="store is down"):
+        work.drain(sink=fail)
+    samples = read_progress(spark, ledger_path(work.root, "ns"))
+    (waiting,) = progress.backlog(samples).collect()
+    events = decode(history.frame(spark, messages)).count()
+    assert (waiting.backlog, waiting.max_backlog) == (events, events)
+    later = F.current_timestamp() + F.expr("INTERVAL 2 MINUTES")
+    assert progress.stream_health(samples, later).first().status == "blocked"
+    work.drain()
+    samples = read_progress(spark, ledger_path(work.root, "ns"))
+    (done,) = progress.backlog(samples).collect()
+    assert (done.backlog, done.max_backlog) == (0, events)
+    assert progress.stream_health(samples, later).first().status == "ready"
+
+
+def test_old_carries_are_removed(work):
+    messages = sorted(history.random_history(25, txns=16), key=lambda m: m[SEQ])
+    for k in range(4):
+        work.land(messages[k * len(messages) // 4 : (k + 1) * len(messages) // 4])
+        work.drain()
+    import os
+
+    assert sorted(os.listdir(f"{work.checkpoint}/carry")) == ["batch=2", "batch=3"]
+
+
 def test_failed_first_batch_is_run_again(spark, work):
     messages = history.random_history(12, txns=6)
     work.land(messages)
 
     def fail_after_writing(changes, batch_id):
-        lake.write_changes(changes, work.root, "ns", batch_id)
+        lake.write_batch(changes, work.root, "ns", batch_id)
         raise RuntimeError("store is down")
 
     with pytest.raises(Exception, match="store is down"):
@@ -147,7 +201,7 @@ def test_running_query_reports_health(spark, work):
     finally:
         query.stop()
     (r,) = progress.stream_health(query_progress(query, spark, ledger), now).collect()
-    assert (r.ready, r.status) == (False, "replication stream is not running")
+    assert (r.ready, r.status) == (False, "stopped")
 
 
 def test_bad_interval_is_an_error(spark, work):

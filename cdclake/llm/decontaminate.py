@@ -199,6 +199,6 @@ def _shared(a: list[str], b: list[str]) -> int:
 
 def uncontaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``docs``, unchanged, that share no run of words with an item."""
-    hit = contamination(docs, items).filter("n_hit > 0").select(F.col("doc_id").alias("__id"), F.col("text_mark").alias("__mark")).distinct()
+    hit = contamination(docs, items).filter("n_hit > 0").select(F.col("doc_id").alias("__hit_doc_id"), F.col("text_mark").alias("__hit_text_mark")).distinct()
     hit = materialized(hit, "contaminated")
-    return docs.join(hit, docs["doc_id"].eqNullSafe(hit["__id"]) & (F.xxhash64(docs["text"]) == hit["__mark"]), "left_anti")
+    return docs.join(hit, docs["doc_id"].eqNullSafe(hit["__hit_doc_id"]) & (F.xxhash64(docs["text"]) == hit["__hit_text_mark"]), "left_anti")

@@ -42,6 +42,8 @@ AROUND_NAMES = frozenset(
     "overlay pager pagination popup promo related reply replies respond search share sharing sidebar signup skip social "
     "sponsor sponsored subscribe tags toolbar widget".split()
 )
+#: Of these, an article inside is one of theirs.
+AROUND_ARTICLES = frozenset("comment comments disqus related replies reply respond".split())
 MAIN_NAMES = frozenset("article articlebody entry main post story".split())
 
 #: A small labelled table: words, link density, the same of the block before and after, the nearest
@@ -63,6 +65,12 @@ LABELLED = """
  70 0.10   2 1.00   8 0.20  0 0 1
  30 0.00   7 0.00  45 0.00  0 0 1
  28 0.00  35 0.00   5 0.00  0 0 1
+ 20 0.00   2 1.00  20 0.00  0 0 1
+ 19 0.00  20 0.00   1 1.00  0 0 1
+ 17 0.00  18 0.00  19 0.00  0 0 1
+ 16 0.00  30 0.00   4 0.00  0 0 1
+ 18 0.05   3 1.00  25 0.00  0 0 1
+ 14 0.00  40 0.00  35 0.00  0 0 1
   3 0.00  40 0.00   2 1.00  0 1 0
   4 0.00   3 1.00   2 1.00  0 1 0
   1 1.00   1 1.00   1 1.00  0 0 0
@@ -102,6 +110,24 @@ LABELLED = """
  26 0.00   8 0.00   1 0.00  1 0 1
   9 0.30   2 0.00   7 0.00  1 0 1
  11 0.00   2 0.00  60 0.00  1 0 1
+  2 0.00   8 0.00   9 0.00  1 0 1
+  1 0.00   2 0.00   9 0.00  1 0 1
+ 10 0.00   4 0.00   2 0.00  1 0 1
+  8 0.00  60 0.00   2 0.00  1 0 1
+ 12 0.00  70 0.00   2 0.00  1 0 1
+  6 0.00   3 1.00   2 0.00  1 0 1
+ 20 0.00   3 1.00   2 0.00  1 0 1
+ 13 0.00  12 0.00   2 0.00  1 0 1
+  5 0.00  15 0.00   1 1.00  1 0 1
+ 11 0.00   9 0.00   0 0.00  1 0 1
+  3 0.00   5 0.00  12 0.00  1 0 1
+  9 0.00  20 0.00  11 0.00  1 0 1
+  4 0.00  90 0.00  10 0.00  1 0 1
+  2 0.00  70 0.00  60 0.00  1 0 1
+  7 0.00   7 0.00  70 0.00  1 0 1
+  1 0.00   1 0.00   1 0.00  1 0 1
+ 30 0.20   1 0.00   1 0.00  1 0 1
+  8 0.00   0 0.00   6 0.00  1 0 1
   2 1.00  90 0.00   3 1.00  1 0 0
   6 1.00   5 1.00   4 1.00  1 0 0
  90 0.00  70 0.00  60 0.00 -1 0 0
@@ -152,11 +178,16 @@ def decide(tree: tuple, features: tuple) -> bool:
 
 
 def _role(tag: str, attributes: str, inside: int) -> int | None:
-    """1 for an element that holds the article, -1 for one that holds something else, None if it doesn't say."""
+    """1 for an element that holds the article, -1 for one that holds something else, -2 if
+    whatever it holds is no article, None if it doesn't say."""
+    if inside == -2:
+        return None
     names: set[str] = set()
     if attributes:
         for m in _ATTRIBUTE.finditer(attributes):
             names.update(_LETTERS.findall((m[2] or m[3] or m[4] or "").lower()))
+    if names & AROUND_ARTICLES:
+        return -2
     if names & AROUND_NAMES or tag in AROUND and not (tag == "header" and inside == 1):
         return -1
     if tag in MAIN or names & MAIN_NAMES:
@@ -176,7 +207,7 @@ def blocks(html: str) -> list[tuple[str, int, int, int, int]]:
         if parts:
             words = unescape("".join(parts)).split()
             if words:
-                found.append((" ".join(words), len(words), len(unescape("".join(linked)).split()), inside, heading))
+                found.append((" ".join(words), len(words), len(unescape("".join(linked)).split()), max(inside, -1), heading))
             parts.clear()
         linked.clear()
 

@@ -39,6 +39,7 @@ SMALL = 8
 
 _POISSON = np.cumsum([1 / (e * factorial(j)) for j in range(18)])
 _UNIT = 2.0**-64
+_ID, _MARK = "__verdict_doc_id", "__verdict_text_mark"
 
 
 def shingle_sets(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -350,13 +351,13 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     by_row = verdicts.groupBy("doc_id", "text_mark").agg(F.count("*").alias("n"), F.first("kept").alias("kept"))
 
     def these(rows: DataFrame, how: str) -> DataFrame:
-        rows = materialized(rows.select(F.col("doc_id").alias("__id"), F.col("text_mark").alias("__mark")), "rows")
-        same = docs[id_col].eqNullSafe(rows["__id"]) & (F.xxhash64(docs[text_col]) == rows["__mark"])
+        rows = materialized(rows.select(F.col("doc_id").alias(_ID), F.col("text_mark").alias(_MARK)), "rows")
+        same = docs[id_col].eqNullSafe(rows[_ID]) & (F.xxhash64(docs[text_col]) == rows[_MARK])
         return docs.join(rows, same, how)
 
     again = by_row.filter("kept AND n > 1")
     if again.isEmpty():
         return these(by_row.filter("NOT kept"), "left_anti")
     once = these(by_row.filter("NOT kept OR n > 1"), "left_anti")
-    repeated = these(again, "left_semi").withColumn("__mark", F.xxhash64(text_col))
-    return once.unionByName(repeated.dropDuplicates([id_col, "__mark"]).drop("__mark"))
+    repeated = these(again, "left_semi").withColumn(_MARK, F.xxhash64(text_col))
+    return once.unionByName(repeated.dropDuplicates([id_col, _MARK]).drop(_MARK))

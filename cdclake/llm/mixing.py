@@ -87,14 +87,14 @@ def calibrated(cells: DataFrame, keep: float = KEEP) -> DataFrame:
     """Raked cells with ``probability``: ``min(1, c * weight / tokens)``, with c such that
     the expected tokens are ``keep`` of all, or all that have weight, if these are fewer."""
     everything = Window.partitionBy()
-    ratio = F.col("weight") * F.sum("tokens").over(everything) / F.sum("weight").over(everything) / F.col("tokens")
-    cells = cells.withColumn("ratio", ratio)
+    ratio = F.try_divide(F.col("weight") * F.sum("tokens").over(everything), F.sum("weight").over(everything)) / F.col("tokens")
+    cells = cells.withColumn("ratio", F.coalesce(ratio, F.lit(0.0)))
     dims = [c for c in cells.columns if c not in ("tokens", "weight", "ratio")]
     above = Window.orderBy(F.col("ratio").desc(), *dims).rowsBetween(Window.unboundedPreceding, -1)
     capped = F.coalesce(F.sum("tokens").over(above), F.lit(0))
     fitted = F.col("tokens") * F.col("ratio")
     rest = F.sum(fitted).over(everything) - F.coalesce(F.sum(fitted).over(above), F.lit(0.0))
-    factor = (F.lit(keep) * F.sum("tokens").over(everything) - capped) / rest
+    factor = F.try_divide(F.lit(keep) * F.sum("tokens").over(everything) - capped, rest)
     cells = cells.withColumns({"factor": factor, "rank": F.row_number().over(Window.orderBy(F.col("ratio").desc(), *dims))})
     fits = F.when((F.col("ratio") > 0) & (F.col("factor") * F.col("ratio") <= 1), F.struct("rank", "factor"))
     factor = F.min(fits).over(everything)["factor"]

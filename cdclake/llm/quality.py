@@ -138,6 +138,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) ->
     of their id, of at most ``SAMPLE_BYTES`` each.  A document with both labels is
     left out, repeated labels count once.  Without labels every score is 0.5.
     """
+    docs = docs.select("doc_id", "text")
     marked = (
         labels.filter("quality IN (0, 1) AND doc_id IS NOT NULL")
         .groupBy("doc_id")

@@ -33,10 +33,10 @@ def shard_rows(
     df = df.drop("position", "shard", "slot")
     mark = F.xxhash64(*identity)
     numbered = number_rows(df, mark, identity, buckets)
-    place = permuted(F.col("__row"), F.col("__rows"), seed)
+    place = permuted(F.col("__feistel_row"), F.col("__feistel_rows"), seed)
     return (
         numbered.withColumn("position", place)
-        .drop("__row", "__rows")
+        .drop("__feistel_row", "__feistel_rows")
         .withColumns(
             {
                 "shard": F.pmod(F.col("position"), F.lit(shards)).cast("int"),
@@ -47,29 +47,29 @@ def shard_rows(
 
 
 def number_rows(df: DataFrame, mark: Column, identity: list[str], buckets: int = BUCKETS) -> DataFrame:
-    """``df`` with ``__row``, its number from 0, and ``__rows``, the number of rows.
+    """``df`` with ``__feistel_row``, its number from 0, and ``__feistel_rows``, the number of rows.
 
     Only the counts per hash range meet in one task: ``buckets`` rows at most,
     which is also the proven size of what is broadcast.
     """
     bucket = F.pmod(mark, F.lit(buckets))
-    before = Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.orderBy("__feistel_bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
-        df.groupBy(bucket.alias("__bucket"))
+        df.groupBy(bucket.alias("__feistel_bucket"))
         .agg(F.count("*").alias("n"))
         .select(
-            "__bucket",
-            F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__start"),
-            F.sum("n").over(Window.partitionBy()).alias("__rows"),
+            "__feistel_bucket",
+            F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__feistel_start"),
+            F.sum("n").over(Window.partitionBy()).alias("__feistel_rows"),
         )
     )
-    within = Window.partitionBy("__bucket").orderBy("__mark", *identity)
-    tagged = df.withColumns({"__bucket": bucket, "__mark": mark})
+    within = Window.partitionBy("__feistel_bucket").orderBy("__feistel_mark", *identity)
+    tagged = df.withColumns({"__feistel_bucket": bucket, "__feistel_mark": mark})
     return (
-        tagged.withColumn("__within", F.row_number().over(within))
-        .join(F.broadcast(starts), "__bucket")
-        .withColumn("__row", F.col("__start") + F.col("__within") - 1)
-        .drop("__bucket", "__mark", "__within", "__start")
+        tagged.withColumn("__feistel_within", F.row_number().over(within))
+        .join(F.broadcast(starts), "__feistel_bucket")
+        .withColumn("__feistel_row", F.col("__feistel_start") + F.col("__feistel_within") - 1)
+        .drop("__feistel_bucket", "__feistel_mark", "__feistel_within", "__feistel_start")
     )
 
 

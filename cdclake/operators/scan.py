@@ -90,13 +90,18 @@ def _combine(scan: Running, local: Column, seed: Column, first: Column) -> Colum
 
 
 def chunk_seeds(
-    summary: DataFrame, keys: list[str], scans: Mapping[str, Running], block_bits: int = BLOCK_BITS
+    summary: DataFrame,
+    keys: list[str],
+    scans: Mapping[str, Running],
+    constants: DataFrame | None = None,
+    block_bits: int = BLOCK_BITS,
 ) -> DataFrame:
     """``keys``, the chunk, and what each scan has come to before the chunk starts.
 
     ``summary`` has a row per ``keys`` and chunk with the value of each scan in the
     chunk alone, under the scan's name.  Blocks of chunks are reduced to a row, these
-    are scanned, and each block goes on from what came before it.
+    are scanned, and each block goes on from what came before it.  ``constants``
+    (see :func:`ordered_scan`) join the rows of the blocks and come along.
     """
     own = {name: Running(scan.how, F.col(name)) for name, scan in scans.items()}
     part = [*keys, _BLOCK]
@@ -111,6 +116,11 @@ def chunk_seeds(
             for n, scan in own.items()
         ],
     )
+    added = []
+    if constants is not None:
+        by = [k for k in keys if k in constants.columns]
+        added = [c for c in constants.columns if c not in by]
+        before = before.join(constants, by, "left")
     inside = Window.partitionBy(*part)
     forward, backward = inside.orderBy(_CHUNK), inside.orderBy(F.desc(_CHUNK))
     local = blocked.select(
@@ -123,6 +133,7 @@ def chunk_seeds(
     joined = local.alias("l").join(before.alias("b"), reduce(Column.__and__, same), "left")
     return joined.select(
         *[F.col(f"l.{k}").alias(k) for k in (*keys, _CHUNK)],
+        *[F.col(f"b.{c}").alias(c) for c in added],
         *[_combine(scan, F.col(f"{n}_local"), F.col(f"{n}_before"), F.col("__first")).alias(n) for n, scan in own.items()],
     )
 
@@ -139,8 +150,8 @@ def ordered_scan(
 
     ``keys`` must not be null, and ``order`` must be a bigint that is unique
     within them.  ``constants`` holds further columns by some of the keys, one row
-    each; they reach the rows through the chunks, because a join on the key alone
-    would gather a whole key in one task.
+    each; they reach the rows through the blocks and chunks, because a join on the
+    key alone would gather a whole key in one task.
     """
     position = F.col(order)
     chunked = df.withColumn(_CHUNK, chunk_of(position, chunk_bits))
@@ -149,13 +160,8 @@ def ordered_scan(
     summary = chunked.groupBy(*part).agg(
         *[_per_chunk(scan, position).alias(f"__{name}_seed") for name, scan in scans.items()]
     )
-    seeds = chunk_seeds(summary, keys, {f"__{name}_seed": scan for name, scan in scans.items()})
-
-    added = []
-    if constants is not None:
-        by = [k for k in keys if k in constants.columns]
-        added = [c for c in constants.columns if c not in by]
-        seeds = seeds.join(constants, by, "left")
+    seeds = chunk_seeds(summary, keys, {f"__{name}_seed": scan for name, scan in scans.items()}, constants)
+    added = [] if constants is None else [c for c in constants.columns if c not in keys]
 
     inside = Window.partitionBy(*part)
     forward, backward = inside.orderBy(order), inside.orderBy(F.desc(order))

@@ -51,18 +51,54 @@ def test_kind_filter_reaches_the_files(spark, messages):
     assert "PushedFilters: [In(kind" in plan(decode(messages))
 
 
-def test_no_operator_scans_a_slot_in_one_task(spark, messages):
-    changes = decode(messages)
-    ledger = spark.createDataFrame([], SEGMENT)
-    for df in (
-        planning.file_manifest(changes, "ns", 100),
-        planning.segments_by_interval(changes),
-        progress.safe_restart(messages, 5),
-        progress.contiguous_prefix(ledger),
-        progress.acked_history(ledger, "last_lsn"),
-    ):
-        text = plan(df)
-        assert "SinglePartition" not in text and "Python" not in text
+#: Keys that may hold any share of the rows.
+COARSE = {"slot", "session", "relation_id", "commit", "file", "namespace"}
+
+
+def coarse(line):
+    """Whether a plan's line is a shuffle by coarse keys alone."""
+    m = re.search(r"Exchange hashpartitioning\((.*?), \d+\)", line)
+    return bool(m) and {re.sub(r"#\d+L?$", "", k.strip()) for k in m[1].split(",")} <= COARSE
+
+
+def gathered(text):
+    """What feeds each shuffle by coarse keys: the first scan, aggregation or finer shuffle below it."""
+    lines = text.splitlines()
+    source = re.compile(r"Aggregate\(keys|Scan|Exchange")
+    return [
+        next(x for x in lines[i + 1 :] if source.search(x) and not coarse(x)) for i, line in enumerate(lines) if coarse(line)
+    ]
+
+
+@pytest.mark.parametrize("name", ["decode", "manifest", "runs", "ticks", "restart", "restart_per_slot", "prefix", "history", "replays", "order"])
+def test_only_rows_of_blocks_are_gathered_by_slot(spark, messages, joins_shuffle, name):
+    changes, ledger = decode(messages), spark.createDataFrame([], SEGMENT)
+    acked = spark.createDataFrame([("s", 1)], "slot string, acked_lsn bigint")
+    df = {
+        "decode": lambda: changes,
+        "manifest": lambda: planning.file_manifest(changes, "ns", 100),
+        "runs": lambda: planning.day_runs(changes, 100),
+        "ticks": lambda: planning.segments_by_interval(changes),
+        "restart": lambda: progress.safe_restart(messages, 5),
+        "restart_per_slot": lambda: progress.safe_restart(messages, acked),
+        "prefix": lambda: progress.contiguous_prefix(ledger),
+        "history": lambda: progress.acked_history(ledger, "last_lsn"),
+        "replays": lambda: reconcile.dedup_replays(changes),
+        "order": lambda: reconcile.order_breaks(messages.withColumn("timestamp", messages.received_at).withColumn("lsn", messages.wal_start)),
+    }[name]()
+    text = plan(df)
+    assert "SinglePartition" not in text and "Python" not in text
+    for feeding in gathered(text):
+        # The constants of a slot are a table of one row per slot.
+        assert "__block" in feeding or "__chunk" in feeding or "LocalTableScan" in feeding or "ExistingRDD" in feeding or "keys=[slot" in feeding, feeding
+
+
+def test_a_description_joins_the_chunk_it_stands_in(spark, messages, joins_shuffle):
+    # No join is keyed on a description that many chunks share: the key is its own position.
+    text = plan(decode(messages))
+    joins = re.findall(r"(?:SortMergeJoin|ShuffledHashJoin) \[(.*?)\], \[", text)
+    assert joins and all("described_at" not in keys for keys in joins)
+    assert any("last_relation" in keys for keys in joins)
 
 
 def wide_shuffles(df, column):

@@ -72,6 +72,15 @@ def main() -> None:
         ),
         "event_counts": lambda: consume(metrics.event_counts(rows(events))),
         "file_manifest": lambda: consume(planning.file_manifest(decode(events), "ns", 1000, not_commit())),
+        "segments_by_count": lambda: consume(planning.segments_by_count(decode(events))),
+        "day_runs": lambda: consume(planning.day_runs(decode(events)).select("seq", "segment", "run", "commit_date")),
+        "acked_history": lambda: consume(progress.acked_history(synth.segment_ledger(spark, SF_DIR), "last_lsn")),
+        "expand_image": lambda: consume(
+            stored.select(*[c.alias(n) for n, c in reconcile.expand_image(F.col("after"), KEY_FIELDS | {"score": reconcile.EXACT}).items()])
+        ),
+        "image_widths": lambda: consume(metrics.image_widths(stored)),
+        "file_stats": lambda: consume(metrics.file_stats(stored)),
+        "export_dated": lambda: lake.export_dated(spark, f"{work}/lake", f"{work}/dated", "ns"),
         "contiguous_prefix": lambda: consume(progress.contiguous_prefix(synth.segment_ledger(spark, SF_DIR))),
         "safe_restart": lambda: consume(progress.safe_restart(events, 16777216 + 60 * 600)),
         "missing_changes": lambda: consume(

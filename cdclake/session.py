@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cdclake.sources.files import delete
+
 
 def local_session(cores: int | str = 8, memory: str = "8g", **settings: str) -> SparkSession:
     """A session for tests and the local benchmark; a cluster brings its own."""
@@ -24,9 +28,15 @@ def local_session(cores: int | str = 8, memory: str = "8g", **settings: str) ->
     return builder.getOrCreate()
 
 
+#: Folders that this process has named for intermediate tables.
+_NAMED: list[str] = []
+
+
 @cache
 def _local_root() -> str:
-    return tempfile.mkdtemp(prefix="cdclake-")
+    root = tempfile.mkdtemp(prefix="cdclake-")
+    atexit.register(shutil.rmtree, root, ignore_errors=True)
+    return root
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
@@ -43,7 +53,19 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
         if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = _local_root()
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _NAMED.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove the intermediate tables of all jobs of this process so far.
+
+    Results that are not computed or written yet may read them: call it when the
+    work is done.
+    """
+    while _NAMED:
+        delete(spark, _NAMED.pop())
 
 
 def materialized(df: DataFrame, name: str) -> DataFrame:

@@ -82,3 +82,31 @@ def test_position_text_both_ways(spark):
         unsigned = r.lsn % 2**64
         assert r.t == f"{unsigned >> 32:X}/{unsigned & 0xFFFFFFFF:X}"
         assert r.back == r.lsn
+
+
+def test_scratch_is_cleared(spark, monkeypatch):
+    from cdclake import session
+    from cdclake.session import clear_scratch, materialized, scratch_dir
+    from cdclake.sources.files import exists
+
+    monkeypatch.setattr(session, "_NAMED", [])  # not what other tests go on using
+    kept = materialized(spark.range(3), "numbers")
+    folder = scratch_dir(spark, "numbers").rsplit("/", 1)[0]
+    (path,) = {f.rsplit("/", 1)[0] for f in kept.inputFiles()}
+    assert path.removeprefix("file://").startswith(folder.removeprefix("file://")) and exists(spark, path)
+    clear_scratch(spark)
+    assert not exists(spark, path)
+
+
+def test_no_local_scratch_on_a_cluster(spark, monkeypatch):
+    from cdclake import session
+
+    class Conf:
+        def get(self, name, default=None):
+            return {"spark.master": "spark://host:7077"}.get(name, default)
+
+    class Cluster:
+        conf = Conf()
+
+    with pytest.raises(ValueError, match="share"):
+        session.scratch_dir(Cluster(), "x")

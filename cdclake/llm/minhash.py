@@ -39,6 +39,8 @@ SMALL = 8
 
 _POISSON = np.cumsum([1 / (e * factorial(j)) for j in range(18)])
 _UNIT = 2.0**-64
+#: Texts that are signed together: however short a text, some thousand cells are looked at.
+_SIGNED_ROWS = 512
 _ID, _MARK = "__verdict_doc_id", "__verdict_text_mark"
 
 
@@ -176,7 +178,7 @@ def _signed(rows_in: DataFrame, weights: str, bands: int, rows: int) -> DataFram
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in pieces(batch, 1):
+            for piece in pieces(batch, 1, rows=_SIGNED_ROWS):
                 doc, shingle, count = shingle_sets(Words(piece.column(1), ALPHANUMERIC))
                 weight = count.astype(float) if weights == "count" else np.ones(len(doc))
                 keys = band_keys(dart_signatures(doc, shingle, weight, piece.num_rows, k), bands, rows)
@@ -224,7 +226,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, weights: str) -> DataFrame:
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in pieces(batch, 2):
+            for piece in pieces(batch, 2, 3):
                 sides = [_by_text(piece.column(c), piece.num_rows, weights) for c in (2, 3)]
                 similar = []
                 for (x, n), (y, m) in zip(*sides, strict=True):

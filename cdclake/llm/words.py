@@ -31,13 +31,14 @@ ALPHANUMERIC = byte_table(bytes(b for b in range(128) if not chr(b).isalnum()))
 SPACED = byte_table(b"\t\n\x0b\x0c\r ")
 
 
-def pieces(batch: pa.RecordBatch, column: int, limit: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
-    """``batch`` in slices of whole rows with at most ``limit`` bytes of text, or one row."""
-    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
+def pieces(batch: pa.RecordBatch, *columns: int, limit: int = PIECE_BYTES, rows: int = 1 << 16) -> Iterator[pa.RecordBatch]:
+    """``batch`` in slices of at most ``rows`` whole rows with at most ``limit`` bytes of text in the columns, or one row."""
+    sizes = [pc.fill_null(pc.binary_length(batch.column(c)), 0).to_numpy(zero_copy_only=False) for c in columns]
+    ends = np.cumsum(np.sum(sizes, axis=0, dtype=np.int64))
     at = 0
     while at < len(ends):
         done = ends[at - 1] if at else 0
-        stop = max(at + 1, int(np.searchsorted(ends, done + limit, side="right")))
+        stop = min(max(at + 1, int(np.searchsorted(ends, done + limit, side="right"))), at + rows)
         yield batch.slice(at, stop - at)
         at = stop
 

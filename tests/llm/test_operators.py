@@ -504,4 +504,6 @@ def test_words_of_batches():
         assert marks.setdefault(w.text(k, k + 1), h) == h
     assert len(set(marks.values())) == len(marks)
     batch = pa.record_batch([pa.array(texts)], ["t"])
-    assert sum(p.num_rows for p in words.pieces(batch, 0, 10)) == len(texts)
+    assert sum(p.num_rows for p in words.pieces(batch, 0, limit=10)) == len(texts)
+    assert [p.num_rows for p in words.pieces(batch, 0, 0, rows=3)] == [3, 3, 2]
+    assert list(words.pieces(batch.slice(0, 0), 0)) == []

@@ -27,7 +27,7 @@ from cdclake.operators.reconcile import (
     rolled_back_leaks,
     row_identity,
 )
-from cdclake.sources.lake import export_dated, read_changes, read_dated, write_changes
+from cdclake.sources.lake import compact_days, export_dated, read_changes, read_dated, write_changes
 from cdclake.sources.messages import read_messages, stream_messages
 from cdclake.streaming.stream import drain, stream_changes
 
@@ -38,6 +38,7 @@ __all__ = [
     "acked_position",
     "backlog",
     "commit_date",
+    "compact_days",
     "conservation",
     "contiguous_prefix",
     "day_runs",

@@ -196,6 +196,7 @@ FROM lineitem""",
     + f"""SELECT "table", operation, epoch_us(decoded) AS timestamp_us, lsn, before, after, {_DAY} AS commit_date
          FROM sent""",
     "batch_then_stream": _BASE + _STORED,
+    "compacted_days": _BASE + _STORED,
     "rerun_batch": _BASE + _STORED + f"AND day <= DATE '{RERUN_UNTIL}'",
     "empty_batch": _BASE
     + """SELECT 'main' AS slot, count(*) AS read_idx, arg_max(lsn, idx) AS acked_lsn, max(lsn) AS confirmed_lsn,

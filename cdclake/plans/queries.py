@@ -255,6 +255,19 @@ def rerun_batch(spark, sf_dir):
     return stored(lake.read_changes(spark, root, NAMESPACE))
 
 
+@query
+def compacted_days(spark, sf_dir):
+    # Two loads, of which the second holds part of the first again, are made one.
+    root = scratch_dir(spark, "compacted")
+    rows = rows_of(spark, sf_dir)
+    lake.write_changes(rows.filter("seq % 3 < 2"), root, NAMESPACE, load=1)
+    lake.write_changes(rows.filter("seq % 3 > 0"), root, NAMESPACE, load=2)
+    days = lake.read_changes(spark, root, NAMESPACE).agg(F.min("commit_date"), F.max("commit_date")).first()
+    lake.compact_days(spark, root, NAMESPACE, *days, load=3)
+    back = lake.read_changes(spark, root, NAMESPACE)
+    return stored(back.filter("batch_id = -3")).unionByName(stored(back.filter("batch_id <> -3")))
+
+
 @query
 def empty_batch(spark, sf_dir):
     # Nothing passes the filters: no row is stored, and the position advances over all.

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from cdclake.functions.positions import commit_date, unset_time
 from cdclake.schema import CHANGE, FILE_COLUMNS, PARTITIONS
-from cdclake.sources.files import exists, folders, micros_in_files, replace_folders
+from cdclake.sources.files import delete, exists, folders, micros_in_files, replace_folders
 
 #: Row order inside a file.
 FILE_ORDER = ("timestamp", "lsn", "seq")
@@ -105,6 +105,31 @@ def write_batch(
     replace_folders(spark, _folders_of(root, namespace, batch_id), lambda: writer.parquet(f"{root}/{namespace}"))
 
 
+def compact_days(
+    spark: SparkSession,
+    root: str,
+    namespace: str,
+    first_day: str | dt.date,
+    last_day: str | dt.date,
+    *,
+    load: int,
+    max_records_per_file: int = MAX_RECORDS_PER_FILE,
+) -> None:
+    """Put all batches of some days together into one load of a new number.
+
+    The rows are written first and the old folders removed after.  If that is cut
+    short, events are there twice and none is lost; compacting the days again, under
+    another number, keeps one of each.  Take days that no batch is being written to.
+    """
+    first, last = _day(first_day), _day(last_day)
+    days = {f"commit_date={d}" for d in _day_range(first, last)}
+    old = [f for f in folders(spark, _folders_of(root, namespace, "*")) if f.rsplit("/", 2)[1] in days]
+    rows = read_changes(spark, root, namespace, first, last).dropDuplicates(["slot", "session", "seq"])
+    write_changes(rows, root, namespace, load=load, max_records_per_file=max_records_per_file)
+    for folder in old:
+        delete(spark, folder)
+
+
 def _day(value: str | dt.date) -> dt.date:
     return value if isinstance(value, dt.date) else dt.date.fromisoformat(value)
 

@@ -140,6 +140,19 @@ def test_a_load_with_fewer_days_leaves_no_old_day(spark, tmp_path):
     assert [r.batch_id for r in back.select("batch_id").distinct().collect()] == [-2] and back.count() == 90
 
 
+def test_compacted_days_are_one_load(spark, tmp_path):
+    changes = mixed_changes(spark, 300, days=3)
+    for load in range(1, 5):
+        lake.write_changes(changes.filter(f"seq % 4 = {load - 1} OR seq < 20"), str(tmp_path), "ns", load=load)
+    lake.compact_days(spark, str(tmp_path), "ns", "2026-05-09", "2026-05-10", load=9)
+    back = lake.read_changes(spark, str(tmp_path), "ns")
+    early = back.filter("commit_date <= '2026-05-10'")
+    assert {r.batch_id for r in early.select("batch_id").distinct().collect()} == {-9}
+    assert early.count() == 200 and early.select("seq").distinct().count() == 200
+    late = back.filter("commit_date > '2026-05-10'")
+    assert {r.batch_id for r in late.select("batch_id").distinct().collect()} == {-1, -2, -3, -4} and late.count() == 100
+
+
 def test_the_number_of_files_follows_days_and_amount(spark, tmp_path):
     # Rows in no order of time, in many partitions: still about a file per day.
     lake.write_changes(mixed_changes(spark, 600, days=6).repartition(16), str(tmp_path / "a"), "ns", load=1)

@@ -355,7 +355,8 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def these(rows: DataFrame, how: str) -> DataFrame:
         rows = materialized(rows.select(F.col("doc_id").alias(_ID), F.col("text_mark").alias(_MARK)), "rows")
         same = docs[id_col].eqNullSafe(rows[_ID]) & (F.xxhash64(docs[text_col]) == rows[_MARK])
-        return docs.join(rows, same, how)
+        # The rows grow with the documents; a broadcast that only small tables get would help none.
+        return docs.join(rows.hint("merge"), same, how)
 
     again = by_row.filter("kept AND n > 1")
     if again.isEmpty():

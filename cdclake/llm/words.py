@@ -79,15 +79,25 @@ class Words:
         self.counts = np.bincount(self.doc, minlength=len(texts))
         self._inside = inside
 
-    def hashes(self) -> np.ndarray:
-        """A 64-bit hash of every word's bytes."""
+    def hashes(self, limit: int = 2 * PIECE_BYTES) -> np.ndarray:
+        """A 64-bit hash of every word's bytes; about ``limit`` bytes are worked on at once."""
         lengths = self.end - self.start
+        result = np.zeros(len(lengths), np.uint64)
         if not len(lengths):
-            return np.zeros(0, np.uint64)
-        first = np.cumsum(lengths) - lengths
-        at = np.arange(int(lengths.sum())) - np.repeat(first, lengths)
+            return result
+        marks, content, ends = _byte_marks(), self.data[self._inside], np.cumsum(lengths)
         powers = np.cumprod(np.full(int(lengths.max()), np.uint64(_BASE)))
-        return mixed(np.add.reduceat(_byte_marks()[self.data[self._inside]] * powers[at], first))
+        at = 0
+        while at < len(lengths):
+            done = int(ends[at - 1]) if at else 0
+            stop = max(at + 1, int(np.searchsorted(ends, done + limit, side="right")))
+            here = lengths[at:stop]
+            first = np.cumsum(here) - here
+            place = np.arange(int(here.sum())) - np.repeat(first, here)
+            part = content[done : int(ends[stop - 1])]
+            result[at:stop] = mixed(np.add.reduceat(marks[part] * powers[place], first))
+            at = stop
+        return result
 
     def text(self, first: int, last: int) -> str:
         """Words ``first`` to ``last - 1``, which lie in one text, with single spaces."""

@@ -503,6 +503,7 @@ def test_words_of_batches():
     for h, k in zip(w.hashes().tolist(), range(len(w.doc)), strict=True):
         assert marks.setdefault(w.text(k, k + 1), h) == h
     assert len(set(marks.values())) == len(marks)
+    assert (w.hashes(limit=3) == w.hashes()).all()
     batch = pa.record_batch([pa.array(texts)], ["t"])
     assert sum(p.num_rows for p in words.pieces(batch, 0, limit=10)) == len(texts)
     assert [p.num_rows for p in words.pieces(batch, 0, 0, rows=3)] == [3, 3, 2]

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 import os
+import sys
 import tempfile
 import time
 from collections.abc import Callable
@@ -80,7 +81,6 @@ def main() -> None:
         ),
         "image_widths": lambda: consume(metrics.image_widths(stored)),
         "file_stats": lambda: consume(metrics.file_stats(stored)),
-        "export_dated": lambda: lake.export_dated(spark, f"{work}/lake", f"{work}/dated", "ns"),
         "contiguous_prefix": lambda: consume(progress.contiguous_prefix(synth.segment_ledger(spark, SF_DIR))),
         "safe_restart": lambda: consume(progress.safe_restart(events, 16777216 + 60 * 600)),
         "missing_changes": lambda: consume(
@@ -98,6 +98,7 @@ def main() -> None:
             job()
             took = time.perf_counter() - start
             best = took if best is None else min(best, took)
+            print(f"{name}: {took:.2f} s", file=sys.stderr)
         times[name] = round(best, 3)
 
     print(

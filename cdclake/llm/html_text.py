@@ -10,6 +10,7 @@ blocks of the article.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import cache
 from html import unescape
@@ -26,7 +27,9 @@ _UNFINISHED = re.compile(r"<[a-zA-Z/!?][^<>]*\Z")
 _LETTERS = re.compile(r"[a-z]+")
 
 # Elements by how they are laid out, and names that tell what an element holds.
-UNSEEN = frozenset("script style template noscript title textarea svg iframe object select option canvas audio video math".split())
+UNSEEN = frozenset("script style template noscript title textarea svg iframe object select datalist option canvas audio video math".split())
+#: Of these, nothing but their own end tag is markup inside.
+RAW = frozenset("script style title textarea iframe".split())
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol p pre section summary table tbody tfoot thead tr ul".split()
@@ -177,6 +180,11 @@ def decide(tree: tuple, features: tuple) -> bool:
     return tree[0]
 
 
+@cache
+def _raw_end(tag: str) -> re.Pattern:
+    return re.compile(rf"</{tag}(?:[\s/][^>]*)?>", re.IGNORECASE)
+
+
 def _role(tag: str, attributes: str, inside: int) -> int | None:
     """1 for an element that holds the article, -1 for one that holds something else, -2 if
     whatever it holds is no article, None if it doesn't say."""
@@ -201,7 +209,8 @@ def blocks(html: str) -> list[tuple[str, int, int, int, int]]:
     parts: list[str] = []
     linked: list[str] = []
     stack: list[tuple[str, int]] = []
-    inside, heading, in_link, unseen, at = 0, 0, False, "", 0
+    inside, heading, in_link, at, pos = 0, 0, False, 0, 0
+    unseen, opened, within = "", Counter(), Counter()  # the hidden element, tags open around it and inside it
 
     def close() -> None:
         if parts:
@@ -217,21 +226,40 @@ def blocks(html: str) -> list[tuple[str, int, int, int, int]]:
             if in_link:
                 linked.append(html[at:upto])
 
-    for m in _TOKEN.finditer(html):
+    while m := _TOKEN.search(html, pos):
+        pos = m.end()
         tag = m[2].lower() if m[2] else ""
-        if unseen:
-            if m[1] and tag == unseen:
-                unseen, at = "", m.end()
+        ends = bool(m[1])
+        starts = tag != "" and not ends and not m[3].endswith("/")
+        if starts and tag in RAW:
+            text(m.start())
+            end = _raw_end(tag).search(html, pos)
+            at = pos = end.end() if end else len(html)
             continue
+        if unseen:
+            if starts and not (tag == unseen == "option"):
+                within[tag] += 1
+            elif ends and within[tag]:
+                within[tag] -= 1
+            elif ends and (tag == unseen or opened[tag]):
+                at = pos if tag == unseen else m.start()
+                unseen = ""
+                within.clear()
+            if unseen or at == pos:
+                continue
         text(m.start())
-        at = m.end()
+        at = pos
         if not tag:
             continue
-        ends = bool(m[1])
         if tag in UNSEEN:
-            if not ends and not m[3].endswith("/"):
+            if starts:
                 unseen = tag
-        elif tag == "a":
+            continue
+        if not ends:
+            opened[tag] += 1
+        elif opened[tag]:
+            opened[tag] -= 1
+        if tag == "a":
             in_link = not ends
             linked.append(" ")
         elif tag in SPACES:

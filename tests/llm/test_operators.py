@@ -403,6 +403,20 @@ def test_text_without_markup_hints_is_kept_by_length():
     assert html_text.main_text(page) == f"{long}\n\n{long}"
 
 
+@pytest.mark.parametrize(
+    "hidden",
+    [
+        """<script>var s="<!--";</script>""", "<style>/* <!-- */</style >", "<title>a <!-- b</title>", "<SCRIPT>'<p'</Script\n>",
+        "<datalist id=d><option value=a><option value=b></datalist>", "<div><option>a<option>b</div>", "<select><option>a<option>b</select>",
+        "<div><video src=v><p>No video</div>", "<object><object><p>x</object>y</object>", "<template><script>'</template>'</script>y</template>",
+        "<svg><title>t</title><path d=''/></svg>", "<p><select><option>a</p>",
+    ],
+)
+def test_text_after_hidden_elements_stays(hidden):
+    long = "This paragraph says a good deal about one thing and goes on about it for a while, as texts do."
+    assert html_text.main_text(f"<body>{hidden}<article><p>{long}</p></article><!-- end --></body>") == long
+
+
 def test_extract_keeps_rows(spark):
     pages = spark.createDataFrame([(1, "u", "<article><p>a b</p></article>", "t"), (1, None, None, "t"), (None, "u", "", None)], "page_id long, url string, html string, text string")
     got = html_text.extract(pages, ["page_id", "url"]).collect()

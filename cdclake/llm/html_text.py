@@ -24,7 +24,7 @@ _TOKEN = re.compile(
 )
 _ATTRIBUTE = re.compile(r"(?<![\w-])(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
 _UNFINISHED = re.compile(r"<[a-zA-Z/!?][^<>]*\Z")
-_LETTERS = re.compile(r"[a-z]+")
+_PARTS = re.compile(r"[a-z]+|[^a-z\s_-]+")
 
 # Elements by how they are laid out, and names that tell what an element holds.
 UNSEEN = frozenset("script style template noscript title textarea svg iframe object select datalist option canvas audio video math".split())
@@ -48,9 +48,18 @@ AROUND_NAMES = frozenset(
 #: Of these, an article inside is one of theirs.
 AROUND_ARTICLES = frozenset("comment comments disqus related replies reply respond".split())
 MAIN_NAMES = frozenset("article articlebody entry main post story".split())
+#: Words of a class or id that say nothing of what is held; with others than these and the names, as in
+#: ``has-sidebar`` or ``comments-open``, a class tells of something else and gives no hint.
+NEUTRAL = frozenset(
+    "area bar block body bottom box container content first global group home inner item items last link links list outer page "
+    "panel posts articles primary row secondary section site text title top unit wrap wrapper".split()
+)
+#: What a class or id says of a ``div`` is weaker than what an element or an ARIA role says.
+WEAK = -0.5
 
 #: A small labelled table: words, link density, the same of the block before and after, the nearest
-#: telling element (1 article, -1 something around it, 0 none), heading, and whether it is main text.
+#: telling element (1 article, -1 something around it, -0.5 that by its class or id only, 0 none), heading,
+#: and whether it is main text.
 LABELLED = """
 120 0.00  80 0.00  90 0.00  0 0 1
  60 0.05  90 0.00  40 0.10  0 0 1
@@ -144,6 +153,21 @@ LABELLED = """
   8 0.00   1 1.00   9 0.00 -1 0 0
   6 0.00   5 1.00  80 0.00 -1 1 0
   3 0.00  70 0.00  60 0.00 -1 1 0
+120 0.00  80 0.00  90 0.00 -0.5 0 1
+100 0.00   3 1.00   5 0.00 -0.5 0 1
+ 70 0.05  90 0.00  20 0.00 -0.5 0 1
+ 65 0.00   0 0.00   0 0.00 -0.5 0 1
+ 55 0.00   1 1.00  80 0.00 -0.5 0 0
+ 40 0.00  10 0.00  30 0.00 -0.5 0 0
+ 23 0.00  60 0.00  80 0.00 -0.5 0 0
+ 12 0.00  60 0.00  80 0.00 -0.5 0 0
+  9 0.00   1 1.00  10 0.00 -0.5 0 0
+  8 0.00   1 1.00   9 0.00 -0.5 0 0
+  1 1.00   1 1.00   1 1.00 -0.5 0 0
+ 80 0.70  20 0.90  25 0.90 -0.5 0 0
+ 90 0.60  70 0.00  60 0.00 -0.5 0 0
+  6 0.00   5 1.00  80 0.00 -0.5 1 0
+  3 0.00  70 0.00  60 0.00 -0.5 1 0
 """
 
 DEPTH = 7
@@ -185,30 +209,46 @@ def _raw_end(tag: str) -> re.Pattern:
     return re.compile(rf"</{tag}(?:[\s/][^>]*)?>", re.IGNORECASE)
 
 
-def _role(tag: str, attributes: str, inside: int) -> int | None:
-    """1 for an element that holds the article, -1 for one that holds something else, -2 if
-    whatever it holds is no article, None if it doesn't say."""
+def _names(value: str) -> set[str]:
+    """Names in a class, id or role of which the whole token says what is held."""
+    names: set[str] = set()
+    for token in value.lower().split():
+        parts = set(_PARTS.findall(token))
+        known = parts & (AROUND_NAMES | MAIN_NAMES)
+        if all(x in known or x in NEUTRAL or x.isdigit() for x in parts):
+            names |= known
+    return names
+
+
+def _role(tag: str, attributes: str, inside: float) -> float | None:
+    """1 for an element that holds the article, -1 for one that holds something else, ``WEAK`` if only
+    a class or id says so, -2 if whatever it holds is no article, None if it doesn't say."""
+    if tag == "main":
+        return 1
     if inside == -2:
         return None
-    names: set[str] = set()
+    named: set[str] = set()
+    aria: set[str] = set()
     if attributes:
         for m in _ATTRIBUTE.finditer(attributes):
-            names.update(_LETTERS.findall((m[2] or m[3] or m[4] or "").lower()))
-    if names & AROUND_ARTICLES:
+            (aria if m[1].lower() == "role" else named).update(_names(m[2] or m[3] or m[4] or ""))
+    if named & AROUND_ARTICLES:
         return -2
-    if names & AROUND_NAMES or tag in AROUND and not (tag == "header" and inside == 1):
-        return -1
-    if tag in MAIN or names & MAIN_NAMES:
+    if tag == "article":
         return 1
-    return None
+    if aria & AROUND_NAMES or tag in AROUND and not (tag == "header" and inside == 1):
+        return -1
+    if named & AROUND_NAMES:
+        return None if inside == -1 else WEAK
+    return 1 if (named | aria) & MAIN_NAMES else None
 
 
-def blocks(html: str) -> list[tuple[str, int, int, int, int]]:
+def blocks(html: str) -> list[tuple[str, int, int, float, int]]:
     """Text blocks in page order: text, words, words in links, nearest telling element, heading."""
-    found: list[tuple[str, int, int, int, int]] = []
+    found: list[tuple[str, int, int, float, int]] = []
     parts: list[str] = []
     linked: list[str] = []
-    stack: list[tuple[str, int]] = []
+    stack: list[tuple[str, float]] = []
     inside, heading, in_link, at, pos = 0, 0, False, 0, 0
     unseen, opened, within = "", Counter(), Counter()  # the hidden element, tags open around it and inside it
 

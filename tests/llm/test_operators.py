@@ -417,6 +417,30 @@ def test_text_after_hidden_elements_stays(hidden):
     assert html_text.main_text(f"<body>{hidden}<article><p>{long}</p></article><!-- end --></body>") == long
 
 
+@pytest.mark.parametrize(
+    "wrapper",
+    [
+        "div class='content has-sidebar'", "div class='page with-header'", "article class='post category-ads'",
+        "div class='post hentry comments-open'", "article class='post share'", "div id=no-comments", "main class=comments",
+        "div class=widget",
+    ],
+)
+def test_classes_of_wrappers_do_not_drop_the_article(wrapper):
+    long = " ".join(["This paragraph says a good deal about one thing and goes on about it for a while, as texts do."] * 5)
+    page = f"<body><nav><a href=a>x</a></nav><{wrapper}><p>{long}</p><p>{long}</p></{wrapper.split()[0]}></body>"
+    assert html_text.main_text(page) == f"{long}\n\n{long}"
+
+
+def test_an_article_in_a_page_open_for_comments():
+    assert html_text.main_text("<div class='hentry comments-open'><article><p>Few words.</p></article></div>") == "Few words."
+
+
+@pytest.mark.parametrize("wrapper", ["nav", "div role=navigation", "div class='comment-list'", "footer", "aside class=post"])
+def test_text_around_stays_out(wrapper):
+    long = " ".join(["This paragraph says a good deal about one thing and goes on about it for a while, as texts do."] * 5)
+    assert html_text.main_text(f"<{wrapper}><p>{long}</p></{wrapper.split()[0]}>") == ""
+
+
 def test_extract_keeps_rows(spark):
     pages = spark.createDataFrame([(1, "u", "<article><p>a b</p></article>", "t"), (1, None, None, "t"), (None, "u", "", None)], "page_id long, url string, html string, text string")
     got = html_text.extract(pages, ["page_id", "url"]).collect()

@@ -10,7 +10,9 @@ whole and the rest is raised to make up for them (solved exactly, by sorting).
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import warnings
+from collections.abc import Callable, Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,7 +22,10 @@ from cdclake.session import materialized
 DIMENSIONS = ("source", "lang", "topic")
 #: Target shares are the observed ones to this power: below 1 raises what is rare.
 TEMPER = {"source": 0.5, "lang": 0.7, "topic": 0.8}
+#: Sweeps between two looks at the marginals.
 SWEEPS = 8
+#: Raking ends when no marginal is further from its target than this share of it.
+TOLERANCE = 1e-4
 KEEP = 0.5
 
 #: Topics by tell-tale strings, the first that occurs; ``prose`` where none does.
@@ -58,8 +63,44 @@ def rake(
     """``cells`` (dimensions and ``tokens``) with ``weight``, the fitted share of tokens.
 
     A dimension in ``targets`` has the given shares (others get 0), the rest are
-    tempered.  Null is a category like any other.
+    tempered.  Null is a category like any other.  After every ``sweeps`` sweeps the
+    marginals are looked at; raking goes on until they fit, and warns where they
+    no longer come nearer, as with targets that contradict each other.
     """
+    cells, goals = _with_goals(cells, temper, targets)
+
+    def sweep(cells: DataFrame) -> DataFrame:
+        for dim, goal in goals.items():
+            now = F.sum("weight").over(Window.partitionBy(dim))
+            cells = cells.withColumn("weight", F.when(now > 0, F.col("weight") * goal / now).otherwise(F.lit(0.0)))
+        return cells
+
+    return _fitted(cells, goals, sweep, F.col("weight"), sweeps).drop(*(f"__{dim}" for dim in goals))
+
+
+def _fitted(cells: DataFrame, goals: dict[str, Column], sweep: Callable, weight: Column, sweeps: int) -> DataFrame:
+    """``cells`` after as many sweeps as the marginals of ``weight`` need."""
+    before = None
+    while True:
+        for _ in range(sweeps):
+            cells = sweep(cells)
+        cells = materialized(cells, "swept")
+        off = [
+            cells.groupBy(dim).agg(F.sum(weight).alias("now"), F.max(goal).alias("goal")).filter("goal > 0")
+            .agg(F.max(F.abs(F.col("now") / F.col("goal") - 1)).alias("off"))
+            for dim, goal in goals.items()
+        ]
+        error = reduce(DataFrame.union, off).agg(F.max("off")).first()[0]
+        if error is None or error <= TOLERANCE:
+            return cells
+        if before is not None and error > 0.98 * before:
+            warnings.warn(f"raking: a marginal stays off its target by {error:.2%}; the targets contradict each other", stacklevel=3)
+            return cells
+        before = error
+
+
+def _with_goals(cells: DataFrame, temper: Mapping, targets: Mapping | None) -> tuple[DataFrame, dict[str, Column]]:
+    """``cells`` with ``weight``, their share of tokens, and the target share of each dimension's value."""
     everything = Window.partitionBy()
     total = F.sum("tokens").over(everything).cast("double")
     cells = cells.withColumn("weight", F.col("tokens") / total)
@@ -76,11 +117,7 @@ def rake(
                 f"__{dim}", F.col(f"__{dim}") / F.sum(F.col(f"__{dim}") * F.col("tokens") / of_dim).over(everything)
             )
         goals[dim] = F.col(f"__{dim}")
-    for _ in range(sweeps):
-        for dim, goal in goals.items():
-            now = F.sum("weight").over(Window.partitionBy(dim))
-            cells = cells.withColumn("weight", F.when(now > 0, F.col("weight") * goal / now).otherwise(F.lit(0.0)))
-    return cells.drop(*(f"__{dim}" for dim in goals))
+    return cells, goals
 
 
 def calibrated(cells: DataFrame, keep: float = KEEP) -> DataFrame:

@@ -48,6 +48,35 @@ def test_raking_meets_the_targets(spark):
             assert got[k] == pytest.approx(share, abs=1e-3)
 
 
+def marginals(rows, dim, value):
+    got = Counter()
+    for r in rows:
+        got[r[dim]] += value(r)
+    return got
+
+
+def tempered(rows, dim):
+    powers = {k: v ** mixing.TEMPER[dim] for k, v in marginals(rows, dim, lambda r: r.tokens).items()}
+    return {k: v / sum(powers.values()) for k, v in powers.items()}
+
+
+def test_raking_goes_on_until_nearly_monolingual_sources_fit(spark):
+    langs = ("x", "y", "z", "w")
+    rows = [(f"s{k}", lg, "p", (200_000 if k == 0 else 10_000) if lg == langs[k % 4] else 3 + k) for k in range(20) for lg in langs]
+    cells = spark.createDataFrame(rows, "source string, lang string, topic string, tokens long")
+    fitted = mixing.rake(cells).collect()
+    for dim in mixing.DIMENSIONS:
+        got = marginals(fitted, dim, lambda r: r.weight)
+        for k, share in tempered(fitted, dim).items():
+            assert got[k] == pytest.approx(share, rel=1e-3)
+
+
+def test_raking_tells_of_targets_that_contradict_each_other(spark):
+    cells = spark.createDataFrame([("a", "x", "p", 10), ("b", "y", "p", 10)], "source string, lang string, topic string, tokens long")
+    with pytest.warns(UserWarning, match="contradict"):
+        mixing.rake(cells, targets={"source": {"a": 0.9, "b": 0.1}}).collect()
+
+
 def test_probabilities_meet_the_budget_and_stay_below_one(spark):
     rows = [("a", None, "p", 10, 0.5), ("b", None, "p", 1000, 0.4), ("c", None, "p", 5000, 0.1), ("d", None, "p", 70, 0.0)]
     cells = spark.createDataFrame(rows, "source string, lang string, topic string, tokens long, weight double")

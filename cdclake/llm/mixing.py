@@ -5,7 +5,8 @@ weights are raked to the target share of every source, language and topic in tur
 until they fit, and each cell gets the probability with which its documents are
 sampled, so that the expected tokens of the sample follow the fitted weights and
 meet the budget.  A probability cannot pass 1: cells that are too scarce are kept
-whole and the rest is raised to make up for them (solved exactly, by sorting).
+whole, and the others of the same source, language and topic make up for them
+(``bounded``), or all others by one factor (``calibrated``).
 """
 
 from __future__ import annotations
@@ -139,18 +140,82 @@ def calibrated(cells: DataFrame, keep: float = KEEP) -> DataFrame:
     return cells.withColumn("probability", F.round(probability, 6)).drop("factor", "rank", "ratio")
 
 
+def bounded(
+    cells: DataFrame,
+    keep: float = KEEP,
+    temper: Mapping[str, float] = TEMPER,
+    sweeps: int = SWEEPS,
+    targets: Mapping[str, Mapping[str, float]] | None = None,
+) -> DataFrame:
+    """Raked cells with ``probability``, so that the expected tokens have the target marginals.
+
+    A cell's expected share of the budget is at most its cap, all of its tokens.  A
+    target above the caps of its cells is out of reach: these are kept whole, a
+    warning says so, and the dimension's other targets rise in proportion.  Raking
+    with the caps then solves every marginal exactly in turn, until all fit.
+    """
+    dims = list(temper)
+    fitted = cells.withColumnRenamed("weight", "__weight")
+    cells, goals = _with_goals(fitted, temper, targets)
+    live = reduce(lambda a, b: a & b, [goal > 0 for goal in goals.values()])
+    everything = Window.partitionBy()
+    cap = F.col("tokens") / (F.lit(float(keep)) * F.sum("tokens").over(everything))
+    cells = cells.withColumn("__cap", cap).withColumn("__free", F.when(live, F.col("weight")).otherwise(F.lit(0.0)))
+    cells = materialized(cells, "capped")
+    for dim in dims:
+        shares = cells.groupBy(dim).agg(
+            F.max(f"__{dim}").alias("wanted"), F.sum(F.when(F.col("__free") > 0, F.col("__cap")).otherwise(F.lit(0.0))).alias("most")
+        )
+        shares = shares.withColumn("wanted", F.when(F.col("most") > 0, F.col("wanted")).otherwise(F.lit(0.0)))
+        shares = shares.filter("most > 0").withColumn("all", F.least(F.lit(1.0), F.sum("most").over(everything)))
+        shares = materialized(_filled(shares, "wanted", "most", F.col("all")), f"targets-{dim}")
+        out = shares.filter("most < wanted * 0.999999").select(F.col(dim), "wanted", "most").limit(10).collect()
+        for r in out:
+            warnings.warn(f"mixing: {dim} {r[0]} can have {r['most']:.4f} of the sample at most, not {r['wanted']:.4f}", stacklevel=2)
+        reached = shares.select(F.col(dim).alias("__value"), F.least("most", F.col("wanted") * F.col("f")).alias("__reached"))
+        cells = cells.join(reached, F.col(dim).eqNullSafe(F.col("__value")), "left").drop("__value", f"__{dim}")
+        cells = cells.withColumnRenamed("__reached", f"__{dim}").fillna(0.0, [f"__{dim}"])
+    cells = materialized(cells, "reachable")
+
+    def sweep(cells: DataFrame) -> DataFrame:
+        for dim, goal in goals.items():
+            cells = _filled(cells, "__free", "__cap", goal, dim).withColumn("__free", F.col("__free") * F.col("f")).drop("f")
+        return cells
+
+    taken = F.least("__free", "__cap")
+    cells = _fitted(cells, goals, sweep, taken, sweeps)
+    return cells.select(
+        *fitted.drop("__weight").columns, F.col("__weight").alias("weight"), F.round(taken / F.col("__cap"), 6).alias("probability")
+    )
+
+
+def _filled(rows: DataFrame, start: str, cap: str, goal: Column, dim: str | None = None) -> DataFrame:
+    """``rows`` with ``f``: of the rows of each value of ``dim``, ``sum(min(cap, f * start))`` is ``goal``, or
+    all come to their caps if these are fewer."""
+    group = Window.partitionBy(*([dim] if dim else []))
+    ratio = F.col(start) / F.col(cap)
+    upto = group.orderBy(ratio)  # the rows below their caps; rows of equal ratio count together
+    capped = F.sum(cap).over(group) - F.sum(cap).over(upto)
+    rows = rows.withColumn("f", F.try_divide(goal - capped, F.sum(start).over(upto)))
+    fits = F.max(F.when(F.col("f") * ratio <= 1 + 1e-12, F.col("f"))).over(group)
+    most = F.max(F.when(ratio > 0, 1 / ratio)).over(group)
+    return rows.withColumn("f", F.greatest(F.lit(0.0), F.coalesce(fits, most, F.lit(0.0))))
+
+
 def mix(
     docs: DataFrame,
     keep: float = KEEP,
     temper: Mapping[str, float] = TEMPER,
     sweeps: int = SWEEPS,
     targets: Mapping[str, Mapping[str, float]] | None = None,
+    within: bool = True,
 ) -> DataFrame:
     """``docs`` with ``topic``, ``tokens``, ``weight``, ``probability`` and ``sampled``.
 
     Columns of these names are replaced; ``doc_id``, ``text``, ``source`` and
     ``lang`` are read and may be null.  Repeated ids share their chance, so that
-    equal rows are sampled together.  An empty table gives no rows.
+    equal rows are sampled together.  An empty table gives no rows.  Without ``within``
+    one factor makes up for scarce cells, and the sample misses its target marginals.
 
     The table of cells holds one row per combination that occurs; Spark broadcasts
     it only if its files are below ``spark.sql.autoBroadcastJoinThreshold`` and
@@ -161,7 +226,8 @@ def mix(
     )
     cells = docs.groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("tokens"))
     # The sums are kept before they are raked: every sweep reads them again.
-    cells = materialized(calibrated(rake(materialized(cells, "cells"), temper, sweeps, targets), keep), "raked")
+    cells = rake(materialized(cells, "cells"), temper, sweeps, targets)
+    cells = materialized(bounded(cells, keep, temper, sweeps, targets) if within else calibrated(cells, keep), "raked")
     cells = cells.select(*(F.col(d).alias(f"__{d}") for d in DIMENSIONS), "weight", "probability")
     same = [F.col(d).eqNullSafe(F.col(f"__{d}")) for d in DIMENSIONS]
     return (

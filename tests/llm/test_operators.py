@@ -89,6 +89,26 @@ def test_probabilities_meet_the_budget_and_stay_below_one(spark):
         assert max(free.values(), default=1) == pytest.approx(min(free.values(), default=1), rel=1e-3)
 
 
+def test_expected_tokens_of_the_sample_have_the_target_marginals(spark):
+    rng = random.Random(3)
+    rows = [(f"s{k}", lg, t, rng.randrange(50, 500) * n) for k in range(6) for lg in ("x", "y", None) for t, n in (("p", 100), ("q", 5), ("r", 1))]
+    docs = spark.createDataFrame(
+        [(i, " ".join(["w"] * 8) + (" | " if t == "q" else " @ " if t == "r" else ""), lg, s) for s, lg, t, n in rows for i in range(n // 50 + 1)],
+        "doc_id long, text string, lang string, source string",
+    )
+    with pytest.warns(UserWarning, match="topic contact can have"):
+        got = mixing.mix(docs).collect()
+    assert any(r.probability == 1 for r in got) and all(0 <= r.probability <= 1 for r in got)
+    total = sum(r.tokens for r in got)
+    for dim in mixing.DIMENSIONS:
+        seen, wanted = marginals(got, dim, lambda r: r.tokens), tempered(got, dim)
+        most = {k: n / (mixing.KEEP * total) for k, n in seen.items()}
+        whole = {k for k in seen if wanted[k] >= most[k]}
+        factor = (1 - sum(most[k] for k in whole)) / sum(wanted[k] for k in seen if k not in whole)
+        for k, n in marginals(got, dim, lambda r: r.tokens * r.probability).items():
+            assert n / (mixing.KEEP * total) == pytest.approx(most[k] if k in whole else factor * wanted[k], rel=1e-3)
+
+
 def test_mixing_keeps_every_row_and_column(spark):
     rows = [(1, "a b | c", "x", "s"), (2, None, None, None), (None, "", "x", "s"), (2, "mail me @ home", "x", None), (2, "mail me @ home", "x", None)]
     docs = documents(spark, rows, ["topic", "tokens", "n", "ratio"])

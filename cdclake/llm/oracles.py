@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cdclake.llm import mixing
+from cdclake.llm import centroids, mixing
 
 ORACLES: dict[str, str] = {
     "op2_exact_dedup": r"""
@@ -99,3 +99,42 @@ ORACLES["op9_warc"] = """
            CASE WHEN n >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
            CASE WHEN n >= 100 AND page_id <> first THEN first END AS refers_to
     FROM f"""
+
+
+def _centroids_sql(clusters: int = centroids.CLUSTERS, rounds: int = centroids.ROUNDS) -> str:
+    """The rounds unrolled: every kept vector against the centroids, a stated set of 16 rows."""
+    parts = [
+        f"""v AS (
+        SELECT vec_id, list_transform(embedding, lambda c: floor({centroids.SCALE} * c::DOUBLE)::BIGINT) AS y
+        FROM embeddings
+        WHERE len(embedding) = {centroids.DIMS}
+          AND len(list_filter(embedding, lambda c: c IS NOT NULL AND isfinite(c))) = {centroids.DIMS})""",
+        f"""c0 AS (
+        SELECT row_number() OVER (ORDER BY mark, y) - 1 AS cluster, y AS c
+        FROM (SELECT sha256('1:' || vec_id::VARCHAR) AS mark, y FROM v WHERE vec_id IS NOT NULL ORDER BY mark, y LIMIT {clusters}))""",
+    ]
+    for k in range(rounds + 1):
+        parts.append(f"""a{k} AS (
+        SELECT id, any_value(vec_id) AS vec_id, any_value(y) AS y, min((distance, cluster)) AS best
+        FROM (SELECT id, vec_id, y, cluster,
+                     list_sum(list_transform(list_zip(y, c), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT AS distance
+              FROM (SELECT row_number() OVER () AS id, * FROM v) CROSS JOIN c{k})
+        GROUP BY id)""")
+        if k < rounds:
+            parts.append(f"""c{k + 1} AS (
+        SELECT c{k}.cluster, coalesce(m.c, c{k}.c) AS c
+        FROM c{k} LEFT JOIN (
+            SELECT cluster, list(((total - ((total % n) + n) % n) // n)::BIGINT ORDER BY place) AS c
+            FROM (SELECT best[2] AS cluster, place, sum(y[place]) AS total, count(*) AS n
+                  FROM a{k}, (SELECT unnest(range(1, {centroids.DIMS + 1})) AS place) GROUP BY ALL)
+            GROUP BY cluster) m USING (cluster))""")
+    return f"""
+    WITH {", ".join(parts)}
+    SELECT vec_id, best[2]::INT AS cluster, best[1] AS distance,
+           (sum(best[1]) OVER (PARTITION BY best[2]))::BIGINT AS cluster_inertia,
+           (sum(best[1]) OVER ())::BIGINT AS inertia,
+           sha256(array_to_string(c, ',')) AS centroid_sha256
+    FROM a{rounds} JOIN c{rounds} ON best[2] = cluster"""
+
+
+ORACLES["op12_centroids"] = _centroids_sql()

@@ -8,7 +8,21 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from cdclake.llm import decontaminate, exact_dedup, html_text, language, lm, minhash, mixing, quality, sharding, warc
+from cdclake.llm import (
+    centroids,
+    decontaminate,
+    exact_dedup,
+    html_text,
+    language,
+    lm,
+    minhash,
+    mixing,
+    quality,
+    sharding,
+    toxicity,
+    warc,
+    whitening,
+)
 from cdclake.session import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -121,6 +135,42 @@ def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_classes(table(spark, sf_dir, "documents")).drop("text_mark")
 
 
+@query
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    model = whitening.fit(vectors)
+    error = whitening.identity_error(vectors, model) if model else 0.0
+    rows = whitening.whiten(vectors, model, ["vec_id"])
+    return rows.select(
+        "vec_id",
+        "component",
+        F.lit(model.n if model else 0).cast("long").alias("n"),
+        F.col("deviation").try_cast("long").alias("deviation"),
+        "whitened",
+        "explained",
+        F.lit(error).alias("identity_error"),
+        F.col("deviation").alias("deviation_exact"),
+    )
+
+
+@query
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = centroids.cluster(table(spark, sf_dir, "embeddings"))
+    whole = ("distance", "cluster_inertia", "inertia")
+    return found.select("vec_id", "cluster", *(F.col(c).try_cast("long").alias(c) for c in whole), "centroid_sha256")
+
+
+@query
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    model = toxicity.fit_toxicity(docs.filter(fold(4) != 2), labels)
+    scored = toxicity.score(docs, model, ["doc_id"])
+    return scored.select(
+        "doc_id", (fold(4) == 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)

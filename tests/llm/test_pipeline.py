@@ -12,7 +12,7 @@ DATA = "/root/testdata/sf0.001"
 
 def test_stages_and_contract(spark):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "near_dedup", "decontamination", "mix_sources", "shard"]
-    assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in queries.QUERIES if q.startswith("op")}
+    assert {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in queries.QUERIES if q.startswith("op")}
 
 
 def test_pipeline_against_plain_stages(spark, tmp_path):

@@ -1,0 +1,190 @@
+"""Whitening and clustering of vectors against plain exact versions."""
+
+import hashlib
+import math
+import random
+from fractions import Fraction
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from cdclake.llm import centroids, queries, whitening
+
+NAN, INF = float("nan"), float("inf")
+
+
+def vectors(spark, rows, extra=()):
+    df = spark.createDataFrame([(i, v, 0) for i, v in rows], "vec_id long, embedding array<double>, label int")
+    for name in extra:
+        df = df.selectExpr("*", f"'theirs' AS `{name}`")
+    return df
+
+
+# ------------------------------------------------------------- 11 whitening
+
+
+def plain_whitening(rows):
+    x = [[math.floor(1024 * c) + 100_000 for c in v] for _, v in rows]
+    n, sums = len(x), [sum(c) for c in zip(*x, strict=True)]
+    centred = np.array([[float(Fraction(n * c - s, n)) for c, s in zip(v, sums, strict=True)] for v in x])
+    values, eigen = np.linalg.eigh(centred.T @ centred / n)
+    return n, sums, x, centred, values[::-1], eigen.T[::-1]
+
+
+def draw(seed, n, d, scale=1.0):
+    rng = np.random.default_rng(seed)
+    return [(i, (rng.normal(size=d) * np.linspace(1, 3, d) * scale + 0.3).tolist()) for i in range(n)]
+
+
+def test_whitening_against_plain_eigenvectors(spark):
+    rows = draw(3, 300, 12)
+    bad = [(900, None), (901, [1.0] * 11 + [None]), (902, [NAN] * 12), (903, [INF] + [0.0] * 11)]
+    table = vectors(spark, rows + bad, ["component", "whitened", "n", "__vec"]).repartition(5)
+    model = whitening.fit(table)
+    n, sums, x, centred, values, eigen = plain_whitening(rows)
+    assert model.n == n
+    got = whitening.whiten(table, model, ["vec_id"]).collect()
+    assert sorted((r.vec_id, r.component) for r in got) == [(i, c) for i in range(300) for c in range(1, 9)]
+    for c in range(8):
+        assert model.explained[c] == pytest.approx(values[c] / values.sum(), rel=1e-12)
+        mine = centred @ eigen[c] / math.sqrt(values[c])
+        sign = np.sign(model.vectors[c] @ eigen[c])
+        for r in got:
+            if r.component == c + 1:
+                assert r.whitened == pytest.approx(sign * mine[r.vec_id], abs=1e-9)
+    for r in got:
+        assert int(r.deviation) == sum((n * a - s) ** 2 for a, s in zip(x[r.vec_id], sums, strict=True))
+    assert whitening.identity_error(table, model) < 1e-12
+
+
+def test_equal_eigenvalues_and_lower_rank(spark):
+    # Two equal greatest eigenvalues, two equal smaller ones, and an entry that never moves.
+    rows, at = [], 0
+    for axis, size in ((0, 2.0), (1, 2.0), (2, 1.0), (3, 1.0)):
+        for sign in (1, -1):
+            v = [0.0] * 5
+            v[axis] = sign * size
+            rows.append((at, v))
+            at += 1
+    model = whitening.fit(vectors(spark, rows))
+    assert len(model.eigenvalues) == 4
+    assert model.eigenvalues[0] == model.eigenvalues[1] > model.eigenvalues[2] == model.eigenvalues[3]
+    assert np.allclose(model.vectors @ model.vectors.T, np.eye(4), atol=1e-14)
+    assert whitening.identity_error(vectors(spark, rows), model) < 1e-14
+
+
+def test_whitening_of_nothing_and_of_equal_rows(spark):
+    empty = vectors(spark, [(1, None)])
+    assert whitening.fit(empty) is None
+    assert whitening.whiten(empty, None, ["vec_id"]).collect() == []
+    same = vectors(spark, [(1, [0.5, 1.0]), (1, [0.5, 1.0]), (None, [0.5, 1.0])])
+    model = whitening.fit(same)
+    assert whitening.whiten(same, model, ["vec_id"]).collect() == []
+    assert whitening.identity_error(same, model) == 0
+
+
+def test_whitening_with_repeated_rows_null_ids_short_and_huge_vectors(spark):
+    rows = [(1, [0.5, 1.0, 0.0]), (1, [0.5, 1.0, 0.0]), (None, [1e12, -3.0, 2.0]), (4, [0.25]), (5, [1e300, 7.0, 1.0]), (6, [])]
+    table = vectors(spark, rows)
+    model = whitening.fit(table)
+    got = whitening.whiten(table, model, ["vec_id"]).collect()
+    assert len(got) == 6 * len(model.eigenvalues)
+    y = [[min(max(math.floor(1024 * c), -(2**53)), 2**53) for c in v] + [0] * (3 - len(v)) for _, v in rows]
+    sums = [sum(c) for c in zip(*y, strict=True)]
+    wanted = sorted(sum((6 * a - s) ** 2 for a, s in zip(v, sums, strict=True)) for v in y)
+    assert sorted(int(r.deviation) for r in got if r.component == 1) == wanted
+    assert whitening.identity_error(table, model) < 1e-4
+
+
+def test_polynomial_is_exact(spark):
+    rng = random.Random(5)
+    a = [[rng.randrange(-9, 9) for _ in range(7)] for _ in range(9)]
+    m = [[sum(r[i] * r[j] for r in a) * 10**15 for j in range(7)] for i in range(7)]
+    got = whitening.characteristic_polynomial(spark, m)
+    # Faddeev-LeVerrier in exact fractions
+    wanted, power = [1], [[int(i == j) for j in range(7)] for i in range(7)]
+    for k in range(1, 8):
+        product = [[sum(m[i][t] * power[t][j] for t in range(7)) for j in range(7)] for i in range(7)]
+        c = -sum(product[i][i] for i in range(7)) // k
+        wanted.append(c)
+        power = [[product[i][j] + (c if i == j else 0) for j in range(7)] for i in range(7)]
+    assert got == wanted[::-1]
+
+
+def test_products_of_large_entries_are_exact():
+    rng = random.Random(6)
+    y = [[rng.randrange(-(2**53), 2**53) for _ in range(3)] for _ in range(50)]
+    got = whitening.products(np.array(y, np.int64))
+    assert got.tolist() == [[sum(r[i] * r[j] for r in y) for j in range(3)] for i in range(3)]
+
+
+def test_whitening_query_has_its_columns(spark):
+    df = queries.QUERIES["op11_whitening"](spark, "/root/testdata/sf0.001")
+    types = dict(df.dtypes)
+    assert {k: types[k] for k in ("vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error")} == {
+        "vec_id": "bigint", "component": "int", "n": "bigint", "deviation": "bigint", "whitened": "double", "explained": "double", "identity_error": "double"
+    }
+    rows = df.collect()
+    assert len(rows) == 8 * spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet").count()
+    assert rows[0].identity_error < 1e-10
+
+
+# ------------------------------------------------------------- 12 centroids
+
+
+def plain_clusters(rows, rounds=3):
+    kept = [(i, [math.floor(64 * c) for c in v]) for i, v in rows if v is not None and len(v) == 64 and all(c is not None and math.isfinite(c) for c in v)]
+    starts = sorted((hashlib.sha256(f"1:{i}".encode()).hexdigest(), v) for i, v in kept if i is not None)[:16]
+    found = [v for _, v in starts]
+
+    def assign():
+        return [min((sum((a - b) ** 2 for a, b in zip(v, c, strict=True)), k) for k, c in enumerate(found)) for _, v in kept]
+
+    for _ in range(rounds):
+        best = assign()
+        for k in range(len(found)):
+            mine = [v for (_, v), b in zip(kept, best, strict=True) if b[1] == k]
+            if mine:
+                found[k] = [sum(c) // len(mine) for c in zip(*mine, strict=True)]
+    best = assign()
+    mark = [hashlib.sha256(",".join(map(str, c)).encode()).hexdigest() for c in found]
+    total = sum(b[0] for b in best)
+    return sorted(
+        ((i, b[1], b[0], sum(x[0] for x in best if x[1] == b[1]), total, mark[b[1]]) for (i, _), b in zip(kept, best, strict=True)), key=repr
+    )
+
+
+def got_clusters(df):
+    return sorted(((r[0], r[1], int(r[2]), int(r[3]), int(r[4]), r[5]) for r in centroids.cluster(df).collect()), key=repr)
+
+
+def test_clusters_against_plain(spark):
+    rng = np.random.default_rng(12)
+    centres = rng.normal(size=(5, 64))
+    rows = [(i, (centres[i % 5] + rng.normal(size=64) * 0.3).tolist()) for i in range(150)]
+    rows += [(i, rows[i][1]) for i in (3, 3, 7)] + [(None, rows[9][1]), (500, None), (501, [0.1] * 63), (502, [0.1] * 65), (503, []), (504, [NAN] * 64), (505, [0.0] * 63 + [None]), (506, [INF] * 64)]
+    table = vectors(spark, rows, ["cluster", "distance", "__vec"]).repartition(3)
+    assert got_clusters(table) == plain_clusters(rows)
+
+
+def test_ties_go_to_the_smaller_number_and_few_vectors_make_few_clusters(spark):
+    rows = [(i, [float(i % 2)] * 64) for i in range(6)] + [(9, [0.5] * 64)]
+    assert got_clusters(vectors(spark, rows)) == plain_clusters(rows)
+    assert centroids.cluster(vectors(spark, [(1, None), (2, [1.0])])).collect() == []
+
+
+def test_search_is_exact_for_huge_components(spark):
+    rng = random.Random(8)
+    rows = [(i, [rng.uniform(-1, 1) * 10.0 ** rng.randrange(0, 8) for _ in range(64)]) for i in range(40)]
+    assert got_clusters(vectors(spark, rows)) == plain_clusters(rows)
+
+
+def test_transform_keeps_distances():
+    rng = np.random.default_rng(2)
+    a, b = rng.integers(-500, 500, (2, 30, 64))
+    assert ((centroids.transformed(a) - centroids.transformed(b)) ** 2).sum(1).tolist() == (64 * ((a - b) ** 2).sum(1)).tolist()
+    best, distance = centroids.nearest(a, np.vstack([b[:4], b[:4]]))
+    full = ((a[:, None] - b[None, :4]) ** 2).sum(2)
+    assert best.tolist() == full.argmin(1).tolist() and distance.tolist() == full.min(1).tolist()
+    assert len(centroids.whole_rows(pa.array([[0.5] * 64], pa.list_(pa.float64())))) == 1

@@ -9,20 +9,28 @@ Jaccard similarity.  The work is proportional to the text, not to text times
 coordinates.
 
 Texts that agree in all coordinates of a band meet in a bucket.  In a small bucket
-every two are compared; in a large one all are compared with one leader, and where
-that leaves members apart, these are joined exactly by prefix filtering.  Every
-link is verified on the whole shingle sets, and linked texts form classes.
+every two are compared; in a large one all are compared with one leader, the most central.  Every link
+is verified on the whole shingle sets, and linked texts form classes.  The first bands
+link most copies; later ones compare only texts that are in different classes by then.
+
+Where a large bucket's texts stay in different classes (a family of texts that share
+much, but less than is asked for), it is deepened: its texts are dealt by more and more
+coordinates, in many orders of them, until they share small buckets.  A pair of
+similarity s stays together down to depth d in an order with a chance of about s ** d;
+with the number of orders that follows from that the pairs to compare grow with the
+texts, not with their square.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 from math import e, factorial, log
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cdclake.llm.words import ALPHANUMERIC, Words, gram_hashes, mixed, pieces
@@ -34,8 +42,14 @@ SIMILAR = (4, 5)
 #: With 30 bands of 5, a pair of similarity 0.8 shares no bucket with a chance of 7e-6.
 BANDS = 30
 ROWS = 5
-#: Buckets up to this size have all their pairs compared.
+#: Bands that are compared before texts are put into classes for the first time.
+FIRST_BANDS = 6
+#: Buckets up to this size have all their pairs compared; deepened ones up to the second.
 SMALL = 8
+DEEP_SMALL = 8
+#: Orders of the coordinates in which large buckets are deepened, and the depths that are looked at.
+ORDERS = 96
+DEPTHS = (8, 10, 12, 15, 19, 24, 32, 40)
 
 _POISSON = np.cumsum([1 / (e * factorial(j)) for j in range(18)])
 _UNIT = 2.0**-64
@@ -133,13 +147,11 @@ def near_classes(
     rows: int = ROWS,
     small: int = SMALL,
 ) -> DataFrame:
-    """One row per document: ``doc_id, text_mark, class_id, class_size, n_links, kept``.
+    """One row per document: ``doc_id, text_mark, class_id, class_size, kept``.
 
     Texts are linked when their shingles' Jaccard similarity is 0.8 or more; with
     ``weights="count"`` a shingle weighs its multiplicity, with ``"set"`` one.
-    ``class_id`` is the smallest id of the linked texts, which stays.  ``n_links``
-    counts verified links between different shingle sets; within a class some
-    links are implied by others and not compared.  Texts of equal sets are one.
+    ``class_id`` is the smallest id of the linked texts, which stays.  Texts of equal sets are one.
     Texts without words, null ones too, are one class.  Ids may be null or repeat:
     a null id stays only in a class without ids, and rows that repeat an id and its
     text (``text_mark``, its ``xxhash64``) stay or go together.  Other columns are
@@ -150,103 +162,158 @@ def near_classes(
     )
     signed = materialized(_signed(rows_in, weights, bands, rows), "signed")
     nodes = signed.groupBy("digest").agg(
-        F.min("row").alias("node"), F.min("doc_id").alias("min_id"), F.count("*").alias("n_docs"),
+        F.min("row").alias("node"), F.min("doc_id").alias("min_id"), F.count("*").alias("n_docs"), F.first("size").alias("size"),
         F.min(F.struct("doc_id", "mark")).alias("sample"), F.first("bands").alias("bands"),
     )
     nodes = materialized(nodes, "nodes")
 
-    entries = nodes.select("node", F.explode("bands").alias("key"))
-    pairs, large = _meetings(entries, small)
-    members = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    texts = materialized(_texts(nodes.join(members, "node"), rows_in), "texts")
-    links = materialized(_verified(pairs, texts, weights), "links")
-    roots = components(links)
-
-    apart = _apart(large, roots)
+    met = _met(nodes)
+    sets = materialized(_sets(nodes.join(met.select("node").distinct(), "node"), rows_in, weights), "sets")
+    links, roots = None, None
+    for chosen in (F.col("band") < FIRST_BANDS, F.col("band") >= FIRST_BANDS):
+        links, roots = _linked(_meetings(met.filter(chosen), roots, small), sets, links)
+    apart = _apart(met.filter(F.col("n") > small), roots)
     if not apart.isEmpty():
-        rest = _prefix_pairs(apart, texts, roots, weights)
-        more = materialized(_verified(rest, texts, weights), "more-links")
-        links = links.unionByName(more).distinct()
-        roots = components(links)
-
-    return _classes(signed, nodes, links, roots)
+        deep = deep_pairs(sets.join(apart, "node"), bands * rows)
+        links, roots = _linked(deep, sets, links)
+    return _classes(signed, nodes, roots)
 
 
 def _signed(rows_in: DataFrame, weights: str, bands: int, rows: int) -> DataFrame:
-    """``doc_id, mark`` with a row number, the digest of the shingle set and the bands' keys."""
+    """``doc_id, mark`` with a row number, the digest and size of the shingle set and the bands' keys."""
     k = bands * rows
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in pieces(batch, 1, rows=_SIGNED_ROWS):
                 doc, shingle, count = shingle_sets(Words(piece.column(1), ALPHANUMERIC))
-                weight = count.astype(float) if weights == "count" else np.ones(len(doc))
-                keys = band_keys(dart_signatures(doc, shingle, weight, piece.num_rows, k), bands, rows)
-                ends = np.searchsorted(doc, np.arange(piece.num_rows + 1))
                 counted = count if weights == "count" else np.ones(len(doc), np.int64)
+                keys = band_keys(dart_signatures(doc, shingle, counted.astype(float), piece.num_rows, k), bands, rows)
+                ends = np.searchsorted(doc, np.arange(piece.num_rows + 1))
                 digests = [
                     hashlib.blake2b(shingle[a:b].tobytes() + counted[a:b].tobytes(), digest_size=16).digest()
                     for a, b in zip(ends[:-1], ends[1:], strict=True)
                 ]
+                size = np.bincount(doc, counted, piece.num_rows).astype(np.int64)
                 full = np.diff(ends) > 0
                 offsets = np.concatenate([[0], np.cumsum(full * bands)]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys[full].ravel()))
-                yield pa.record_batch([piece.column(0), piece.column(2), pa.array(digests, pa.binary()), lists], ["doc_id", "mark", "digest", "bands"])
+                yield pa.record_batch(
+                    [piece.column(0), piece.column(2), pa.array(digests, pa.binary()), pa.array(size), lists], ["doc_id", "mark", "digest", "size", "bands"]
+                )
 
     kind = rows_in.schema["doc_id"].dataType.simpleString()
-    made = rows_in.mapInArrow(sign, f"doc_id {kind}, mark long, digest binary, bands array<long>")
+    made = rows_in.mapInArrow(sign, f"doc_id {kind}, mark long, digest binary, size long, bands array<long>")
     return made.withColumn("row", F.monotonically_increasing_id())
 
 
-def _meetings(entries: DataFrame, small: int) -> tuple[DataFrame, DataFrame]:
-    """Pairs to compare, each once, and the entries of large buckets with their leaders.
+def _met(nodes: DataFrame) -> DataFrame:
+    """The entries of shared buckets: ``key, band, node, size``, the bucket's number ``n`` and its ``leader``.
 
-    Buckets are counted first, so that only entries of shared ones are dealt out
-    again; a large bucket gives one pair per member.
+    The leader is the node that meets the most others over all bands.  In a family of
+    texts that come from one, each with changes of its own, that one agrees with more of
+    them than they with each other, so the star around it has the links.
     """
-    shared = materialized(entries.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("leader")).filter("n > 1"), "buckets")
+    entries = nodes.select("node", "size", F.posexplode("bands").alias("band", "key"))
+    shared = materialized(entries.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "buckets")
     met = materialized(entries.join(shared, "key"), "entries")
-    few = met.filter(F.col("n") <= small)
-    both = few.select("key", F.col("node").alias("a")).join(few.select("key", F.col("node").alias("b")), "key").filter("a < b")
-    large = met.filter(F.col("n") > small)
-    stars = large.filter("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b"))
-    return materialized(both.select("a", "b").union(stars).distinct(), "pairs"), large
+    central = met.groupBy("node").agg(F.sum("n").alias("meets"))
+    leaders = met.join(central, "node").groupBy("key").agg(F.max(F.struct("meets", "node", "size")).alias("leader"))
+    return materialized(met.join(leaders.select("key", F.struct("leader.node", "leader.size").alias("leader")), "key"), "led-entries")
 
 
-def _texts(nodes: DataFrame, rows_in: DataFrame) -> DataFrame:
-    """One text of each node."""
-    wanted = nodes.select("node", F.col("sample.doc_id").alias("sample_id"), F.col("sample.mark").alias("mark"))
+def _possible(a: Column, b: Column) -> Column:
+    """Whether sets of these sizes can be similar."""
+    up, down = SIMILAR
+    return (a * down >= b * up) & (b * down >= a * up)
+
+
+def _meetings(met: DataFrame, roots: DataFrame | None, small: int) -> DataFrame:
+    """Pairs ``a, b`` to compare, each once, of nodes in different classes: all of a small bucket, one per member of a large one."""
+    root = F.col("node")
+    if roots is not None:
+        met = met.join(_root_of("node", roots, "root"), "node", "left")
+        root = F.coalesce("root", "node")
+    met = met.withColumn("root", root)
+    few = met.filter(F.col("n") <= small)
+    a, b = (few.select("key", *(F.col(c).alias(f"{side}_{c}") for c in ("node", "size", "root"))) for side in "ab")
+    both = a.join(b, "key").filter("a_node < b_node AND a_root <> b_root").filter(_possible(F.col("a_size"), F.col("b_size")))
+    stars = met.filter(F.col("n") > small).select(
+        F.col("leader.node").alias("a_node"), F.col("leader.size").alias("a_size"),
+        F.col("node").alias("b_node"), F.col("size").alias("b_size"), F.col("root").alias("b_root"),
+    ).filter("a_node <> b_node").filter(_possible(F.col("a_size"), F.col("b_size")))
+    if roots is not None:
+        leaders = _root_of("a_node", roots, "a_root")
+        stars = stars.join(leaders, "a_node", "left").filter(F.coalesce("a_root", "a_node") != F.col("b_root"))
+    pairs = both.select("a_node", "b_node").union(stars.select("a_node", "b_node")).distinct()
+    return pairs.select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
+
+
+def _linked(pairs: DataFrame, sets: DataFrame, links: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """The links with those among ``pairs``, and the classes by them."""
+    found = materialized(_verified(materialized(pairs, "pairs"), sets), "links")
+    if links is not None:
+        found = links.unionByName(found)
+    return found, components(found)
+
+
+def _sets(nodes: DataFrame, rows_in: DataFrame, weights: str) -> DataFrame:
+    """``node, size`` and the sorted shingles of each node; the n-th of a shingle's occurrences is one of its own by ``count``."""
+    wanted = nodes.select("node", "size", F.col("sample.doc_id").alias("sample_id"), F.col("sample.mark").alias("mark"))
     found = rows_in.join(wanted, "mark").filter(F.col("doc_id").eqNullSafe(F.col("sample_id")))
-    return found.groupBy("node").agg(F.min("text").alias("text"))
+    texts = found.groupBy("node", "size").agg(F.min("text").alias("text"))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in pieces(batch, 2):
+                doc, shingle, count = shingle_sets(Words(piece.column(2), ALPHANUMERIC))
+                if weights == "count":
+                    nth = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
+                    doc, shingle = np.repeat(doc, count), np.repeat(shingle, count)
+                    shingle = np.where(nth > 0, mixed(shingle + nth.astype(np.uint64)), shingle)
+                    order = np.lexsort((shingle, doc))
+                    doc, shingle = doc[order], shingle[order]
+                offsets = np.searchsorted(doc, np.arange(piece.num_rows + 1)).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(shingle.view(np.int64)))
+                yield pa.record_batch([*piece.columns[:2], lists], ["node", "size", "shingles"])
+
+    return texts.mapInArrow(cut, "node long, size long, shingles array<long>")
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, weights: str) -> DataFrame:
+def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs ``a, b`` that are similar, by their whole shingle sets."""
     up, down = SIMILAR
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in pieces(batch, 2, 3):
-                sides = [_by_text(piece.column(c), piece.num_rows, weights) for c in (2, 3)]
-                similar = []
-                for (x, n), (y, m) in zip(*sides, strict=True):
-                    _, i, j = np.intersect1d(x, y, assume_unique=True, return_indices=True)
-                    both = int(np.minimum(n[i], m[j]).sum())
-                    similar.append(down * both >= up * (int(n.sum()) + int(m.sum()) - both))
-                yield pa.record_batch(piece.columns[:2], ["a", "b"]).filter(pa.array(similar, pa.bool_()))
-
-    of_a = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
-    of_b = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
-    joined = pairs.join(of_a, "a").join(of_b, "b").select("a", "b", "text_a", "text_b")
+            x, y = (_lists(batch.column(c)) for c in (2, 3))
+            similar = []
+            for i in range(batch.num_rows):
+                one, other = x[0][x[1][i] : x[1][i + 1]], y[0][y[1][i] : y[1][i + 1]]
+                both = len(np.intersect1d(one, other, assume_unique=True))
+                similar.append(down * both >= up * (len(one) + len(other) - both))
+            yield pa.record_batch(batch.columns[:2], ["a", "b"]).filter(pa.array(similar, pa.bool_()))
+
+    of_a = sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a"))
+    of_b = sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b"))
+    joined = pairs.join(of_a, "a").join(of_b, "b").select("a", "b", "set_a", "set_b")
     return joined.mapInArrow(compare, "a long, b long")
 
 
-def _by_text(texts: pa.Array, n: int, weights: str) -> list[tuple[np.ndarray, np.ndarray]]:
-    doc, shingle, count = shingle_sets(Words(texts, ALPHANUMERIC))
-    if weights != "count":
-        count = np.ones(len(doc), np.int64)
-    ends = np.searchsorted(doc, np.arange(n + 1))
-    return [(shingle[a:b], count[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
+def _parts(batch: pa.RecordBatch, column: int, limit: int = 1 << 17) -> Iterator[pa.RecordBatch]:
+    """``batch`` in slices of at most ``_SIGNED_ROWS`` rows and ``limit`` shingles, or one row."""
+    ends = np.cumsum(np.diff(batch.column(column).offsets.to_numpy()))
+    at = 0
+    while at < batch.num_rows:
+        done = ends[at - 1] if at else 0
+        stop = min(max(at + 1, int(np.searchsorted(ends, done + limit, side="right"))), at + _SIGNED_ROWS)
+        yield batch.slice(at, stop - at)
+        at = stop
+
+
+def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    offsets = column.offsets.to_numpy()
+    return column.flatten().to_numpy(zero_copy_only=False), offsets - offsets[0]
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -276,74 +343,75 @@ def _root_of(column: str, roots: DataFrame, name: str) -> DataFrame:
 
 
 def _apart(large: DataFrame, roots: DataFrame) -> DataFrame:
-    """Nodes of large buckets whose members are not all in one class yet."""
-    rooted = large.join(_root_of("node", roots, "root"), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    """``node, root`` of large buckets whose members are not all in one class yet."""
+    rooted = large.select("key", "node").join(_root_of("node", roots, "root"), "node", "left").withColumn("root", F.coalesce("root", "node"))
     rooted = materialized(rooted.select("key", "node", "root"), "rooted")
     split = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
-    return materialized(rooted.join(materialized(split.select("key"), "split"), "key").select("node").distinct(), "apart")
+    return materialized(rooted.join(materialized(split.select("key"), "split"), "key").select("node", "root").distinct(), "apart")
 
 
-def _prefix_pairs(apart: DataFrame, texts: DataFrame, roots: DataFrame, weights: str) -> DataFrame:
-    """All pairs among ``apart`` that can be similar and are of different classes so far.
+def deep_pairs(sets: DataFrame, k: int, small: int = DEEP_SMALL) -> DataFrame:
+    """Pairs ``a, b`` of ``node, root, size, shingles`` that share a small enough bucket in some order of the coordinates.
 
-    Two sets of similarity t share a shingle among the first ``n - ceil(t n) + 1`` of
-    each, in any one order; rare shingles first, what many texts share comes last.
-    The place of a shared shingle bounds the overlap, so the condition of the join
-    lets few pairs through.  Shingles whose texts are of one class join nothing.
+    Each text goes down a tree per order: at each depth it meets the texts that agree
+    in as many coordinates.  Buckets of one class, and of one text, end there, small
+    ones give their pairs, larger ones go deeper.  What still agrees at the last depth
+    is compared with one leader.
     """
-    up, down = SIMILAR
+    depths = [d for d in DEPTHS if d <= k] or [k]
+    orders = np.argsort(np.random.default_rng(64).random((ORDERS, k)), axis=1)[:, : depths[-1]]
 
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in pieces(batch, 1):
-                doc, shingle, count = shingle_sets(Words(piece.column(1), ALPHANUMERIC))
-                if weights == "count":  # the n-th of a shingle's occurrences is an element of its own
-                    nth = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
-                    doc, shingle = np.repeat(doc, count), mixed(np.repeat(shingle, count) + nth.astype(np.uint64))
-                size = np.bincount(doc, minlength=piece.num_rows)
-                yield pa.record_batch(
-                    [piece.column(0).take(pa.array(doc)), pa.array(size[doc]), pa.array(shingle.view(np.int64))], ["node", "size", "shingle"]
-                )
-
-    elements = texts.join(apart, "node").select("node", "text").mapInArrow(spread, "node long, size long, shingle long")
-    elements = materialized(elements, "elements")
-    often = elements.groupBy("shingle").agg(F.count("*").alias("often"))
-    ranked = elements.join(often, "shingle").filter("often > 1 OR size = 1")
-    # Shingles of one text alone stand first in every order; they need no row of their own.
-    here = ranked.groupBy("node").agg(F.count("*").alias("here"))
-    place = F.row_number().over(Window.partitionBy("node").orderBy("often", "shingle")) + F.col("size") - F.col("here")
-    prefix = (
-        ranked.join(here, "node")
-        .withColumn("place", place)
-        .filter(F.col("place") <= F.col("size") - F.ceil(F.col("size") * up / down) + 1)
-        .join(_root_of("node", roots, "root"), "node", "left")
-        .select("shingle", "node", "size", "place", F.coalesce("root", "node").alias("root"))
-    )
-    prefix = materialized(prefix, "prefix")
-    mixed_up = prefix.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
-    prefix = materialized(prefix.join(mixed_up.select("shingle"), "shingle"), "prefix-shared")
-    a, b = prefix.alias("a"), prefix.alias("b")
-    needed = F.ceil((F.col("a.size") + F.col("b.size")) * up / (up + down))
-    possible = F.lit(1) + F.least(F.col("a.size") - F.col("a.place"), F.col("b.size") - F.col("b.place"))
-    joined = a.join(
-        b,
-        (F.col("a.shingle") == F.col("b.shingle")) & (F.col("a.node") < F.col("b.node")) & (F.col("a.root") != F.col("b.root")) & (possible >= needed),
-    )
-    return materialized(joined.select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct(), "prefix-pairs")
-
-
-def _classes(signed: DataFrame, nodes: DataFrame, links: DataFrame, roots: DataFrame) -> DataFrame:
-    ends = links.select(F.col("a").alias("node")).union(links.select("b")).groupBy("node").agg(F.count("*").alias("n_links"))
-    rooted = nodes.select("digest", "node", "min_id", "n_docs").join(roots, "node", "left").join(ends, "node", "left")
+            for part in _parts(batch, 3):
+                values, offsets = _lists(part.column(3))
+                doc = np.repeat(np.arange(part.num_rows), np.diff(offsets))
+                signature = dart_signatures(doc, values.view(np.uint64), np.ones(len(doc)), part.num_rows, k)
+                keys = np.empty((part.num_rows, ORDERS, len(depths)), np.uint64)
+                for o in range(ORDERS):
+                    key, done = np.full(part.num_rows, o + 1, np.uint64), 0
+                    for level, depth in enumerate(depths):
+                        for c in orders[o, done:depth]:
+                            key = mixed(key ^ signature[:, c]) + np.uint64(o + 1)
+                        keys[:, o, level], done = key, depth
+                rows = keys.reshape(-1, len(depths)).view(np.int64)
+                ends = pa.array(np.arange(0, rows.size + 1, len(depths), dtype=np.int32))
+                owner = pa.array(np.repeat(np.arange(part.num_rows), ORDERS))
+                yield pa.record_batch([*(part.column(c).take(owner) for c in range(3)), pa.ListArray.from_arrays(ends, pa.array(rows.ravel()))], ["node", "root", "size", "path"])
+
+    paths = sets.select("node", "root", "size", "shingles").mapInArrow(sign, "node long, root long, size long, path array<long>")
+    alive = materialized(paths, "paths")
+    found = []
+    for level in range(len(depths)):
+        here = alive.withColumn("key", F.col("path")[level])
+        buckets = here.groupBy("key").agg(
+            F.count("*").alias("n"), F.min(F.struct("node", "size", "root")).alias("leader"), F.min("root").alias("low"), F.max("root").alias("high")
+        )
+        met = materialized(here.join(buckets.filter("n > 1 AND low <> high").select("key", "n", "leader"), "key"), "deep")
+        few = met.filter(F.col("n") <= small)
+        a, b = (few.select("key", *(F.col(c).alias(f"{side}_{c}") for c in ("node", "size", "root"))) for side in "ab")
+        found.append(a.join(b, "key").filter("a_node < b_node AND a_root <> b_root").filter(_possible(F.col("a_size"), F.col("b_size"))).select("a_node", "b_node"))
+        alive = met.filter(F.col("n") > small).select("node", "root", "size", "path", "leader")
+        if alive.isEmpty():
+            break
+        if level < len(depths) - 1:
+            alive = alive.drop("leader")
+        else:
+            stars = alive.filter("leader.root <> root").filter(_possible(F.col("leader.size"), F.col("size")))
+            found.append(stars.select(F.col("leader.node").alias("a_node"), F.col("node").alias("b_node")))
+    pairs = reduce(DataFrame.union, found).distinct()
+    return pairs.select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
+
+
+def _classes(signed: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFrame:
+    rooted = nodes.select("digest", "node", "min_id", "n_docs").join(roots, "node", "left")
     rooted = materialized(rooted.withColumn("root", F.coalesce("root", "node")), "rooted-nodes")
     of_root = rooted.groupBy("root").agg(F.min("min_id").alias("class_id"), F.sum("n_docs").alias("class_size"))
-    classes = rooted.join(materialized(of_root, "root-classes"), "root").select(
-        "digest", "class_id", "class_size", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")
-    )
+    classes = rooted.join(materialized(of_root, "root-classes"), "root").select("digest", "class_id", "class_size")
     return (
         signed.select("doc_id", "mark", "digest")
         .join(materialized(classes, "classes"), "digest")
-        .select("doc_id", F.col("mark").alias("text_mark"), "class_id", "class_size", "n_links", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"))
+        .select("doc_id", F.col("mark").alias("text_mark"), "class_id", "class_size", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"))
     )
 
 

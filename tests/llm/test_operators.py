@@ -346,6 +346,95 @@ def test_near_classes(spark, small):
     assert all(r.class_size == sizes[r.class_id] and r.kept == (r.doc_id == r.class_id) for r in got)
 
 
+def family(rng, n, changes, words=200):
+    base = sentence(rng, words, 10**6)
+    return [edited(rng, base, changes) for _ in range(n)]
+
+
+def compared(monkeypatch):
+    """A list that gets the number of pairs of every comparison."""
+    counts, verified = [], minhash._verified
+
+    def counting(pairs, sets):
+        counts.append(pairs.count())
+        return verified(pairs, sets)
+
+    monkeypatch.setattr(minhash, "_verified", counting)
+    return counts
+
+
+def similar_pairs(texts):
+    sets = [plain.shingles(t) for t in texts]
+    for i, a in enumerate(sets):
+        for k in range(i):
+            both = len(a & sets[k])
+            if 5 * both >= 4 * (len(a) + len(sets[k]) - both):
+                yield k, i
+
+
+def test_families_below_the_bound_are_not_compared_in_all_pairs(spark, monkeypatch):
+    counts, totals = compared(monkeypatch), {}
+    for n in (500, 1000):
+        rng = random.Random(40)
+        texts = family(rng, n, 4)
+        counts.clear()
+        got = {r.doc_id: r.class_id for r in minhash.near_classes(documents(spark, list(enumerate(texts)))).collect()}
+        totals[n] = sum(counts)
+        links = list(similar_pairs(texts)) if n == 500 else []
+        # The few links there are lie just above 0.8, among texts that are all 0.66 alike.
+        assert sum(got[a] == got[b] for a, b in links) >= 0.9 * len(links)
+    assert totals[1000] <= 2.2 * totals[500]
+    assert totals[1000] < 1000 * 999 / 2 / 8
+
+
+def test_copies_inside_a_family_are_found(spark):
+    """Recall of links just above 0.8 and above 0.9 among many texts that are all about 0.66 alike."""
+    rng = random.Random(41)
+    texts = family(rng, 500, 4)
+    rows = list(enumerate(texts + [edited(rng, t, 1 if i % 2 else 4) for i, t in enumerate(texts[:200])]))
+    got = {r.doc_id: r.class_id for r in minhash.near_classes(documents(spark, rows)).collect()}
+    found, wanted = Counter(), Counter()
+    for i in range(200):
+        a, b = plain.shingles(rows[i][1]), plain.shingles(rows[500 + i][1])
+        similarity = len(a & b) / len(a | b)
+        if similarity >= 0.8:
+            wanted[similarity >= 0.9] += 1
+            found[similarity >= 0.9] += got[i] == got[500 + i]
+    assert wanted[True] > 80 and wanted[False] > 80
+    assert found[True] >= 0.99 * wanted[True] and found[False] >= 0.9 * wanted[False]
+
+
+def test_texts_in_one_class_send_no_more_pairs(spark, monkeypatch):
+    counts = compared(monkeypatch)
+    rng = random.Random(42)
+    rows = list(enumerate(family(rng, 600, 1)))
+    got = {r.doc_id: r.class_id for r in minhash.near_classes(documents(spark, rows)).collect()}
+    assert set(got.values()) == {0}
+    assert counts[0] <= 6 * 600 and sum(counts[1:]) <= 600
+
+
+def test_recall_against_brute_force_on_documents(spark):
+    """Links of similarity 0.8 or more among all documents of sf0.01 that are in one class, by similarity."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    sets = {r.doc_id: plain.shingles(r.text) for r in docs.collect()}
+    got = {r.doc_id: r.class_id for r in minhash.near_classes(docs).collect()}
+    holders = {}
+    for k, s in sets.items():
+        for g in s:
+            holders.setdefault(g, []).append(k)
+    shared = Counter((a, b) for ks in holders.values() for i, a in enumerate(ks) for b in ks[i + 1 :])
+    found, wanted = Counter(), Counter()
+    for (a, b), both in shared.items():
+        if 5 * both >= 4 * (len(sets[a]) + len(sets[b]) - both):
+            band = int(20 * both / (len(sets[a]) + len(sets[b]) - both)) / 20
+            wanted[band] += 1
+            found[band] += got[a] == got[b]
+    assert sum(wanted.values()) > 50
+    assert all(found[band] >= 0.9 * n for band, n in wanted.items())
+    for k, c in got.items():
+        assert k == c or 5 * max(len(sets[k] & sets[o]) / max(1, len(sets[k] | sets[o])) for o in sets if o != k and got[o] == c) >= 4 or not sets[k]
+
+
 def test_near_duplicates_go_and_rows_stay_as_they_are(spark):
     rng = random.Random(7)
     base = sentence(rng, 90)

@@ -27,15 +27,25 @@ _UNFINISHED = re.compile(r"<[a-zA-Z/!?][^<>]*\Z")
 _PARTS = re.compile(r"[a-z]+|[^a-z\s_-]+")
 
 # Elements by how they are laid out, and names that tell what an element holds.
-UNSEEN = frozenset("script style template noscript title textarea svg iframe object select datalist option canvas audio video math".split())
+UNSEEN = frozenset("script style template noscript title textarea svg iframe object select datalist option canvas audio video".split())
 #: Of these, nothing but their own end tag is markup inside.
 RAW = frozenset("script style title textarea iframe".split())
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form "
-    "h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol p pre section summary table tbody tfoot thead tr ul".split()
+    "h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
-SPACES = frozenset("br td th wbr img input".split())
-CONTAINERS = BLOCKS - frozenset("p hr h1 h2 h3 h4 h5 h6 li dd dt pre tr body html head".split())
+SPACES = frozenset("br wbr img input".split())
+CONTAINERS = BLOCKS - frozenset("hr h1 h2 h3 h4 h5 h6 pre body html head".split())
+#: Elements whose end tag may be left out: a start tag of the first kind ends an open one of the second,
+#: unless an element of the third kind was opened in between.
+LEFT_OUT = {
+    "li": (frozenset(["li"]), frozenset("ul ol menu".split())),
+    "dd": (frozenset("dd dt".split()), frozenset(["dl"])),
+    "dt": (frozenset("dd dt".split()), frozenset(["dl"])),
+    "td": (frozenset("td th".split()), frozenset("table tr".split())),
+    "th": (frozenset("td th".split()), frozenset("table tr".split())),
+    "tr": (frozenset(["tr"]), frozenset(["table"])),
+}
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 AROUND = frozenset("nav footer aside form menu dialog header button".split())
 MAIN = frozenset("article main".split())
@@ -45,6 +55,10 @@ AROUND_NAMES = frozenset(
     "overlay pager pagination popup promo related reply replies respond search share sharing sidebar signup skip social "
     "sponsor sponsored subscribe tags toolbar widget".split()
 )
+#: Of these, what is long may still be the article: a page's wrapper can have such a name.
+LOOSE_NAMES = frozenset(
+    "banner byline copyright footer form header menu nav navbar navigation related search share sharing sidebar social tags toolbar widget".split()
+)
 #: Of these, an article inside is one of theirs.
 AROUND_ARTICLES = frozenset("comment comments disqus related replies reply respond".split())
 MAIN_NAMES = frozenset("article articlebody entry main post story".split())
@@ -54,7 +68,7 @@ NEUTRAL = frozenset(
     "area bar block body bottom box container content first global group home inner item items last link links list outer page "
     "panel posts articles primary row secondary section site text title top unit wrap wrapper".split()
 )
-#: What a class or id says of a ``div`` is weaker than what an element or an ARIA role says.
+#: What a class or id of a loose name says is weaker than what an element or an ARIA role says.
 WEAK = -0.5
 
 #: A small labelled table: words, link density, the same of the block before and after, the nearest
@@ -82,6 +96,16 @@ LABELLED = """
  17 0.00  18 0.00  19 0.00  0 0 1
  16 0.00  30 0.00   4 0.00  0 0 1
  18 0.05   3 1.00  25 0.00  0 0 1
+ 95 0.00   1 1.00  95 0.00  0 0 1
+ 80 0.05   2 1.00  70 0.00  0 0 1
+ 40 0.00   3 1.00  80 0.00  0 0 1
+ 60 0.00   1 1.00 120 0.00  0 0 1
+ 25 0.00   1 1.00  75 0.00  0 0 1
+  4 0.00   1 1.00  80 0.00  0 1 1
+  3 0.00  60 0.00  70 0.00  0 0 1
+  3 0.00  18 0.00  20 0.00  0 0 1
+  2 0.00  40 0.00  30 0.00  0 0 1
+  5 0.00  25 0.00  90 0.00  0 0 1
  14 0.00  40 0.00  35 0.00  0 0 1
   3 0.00  40 0.00   2 1.00  0 1 0
   4 0.00   3 1.00   2 1.00  0 1 0
@@ -92,7 +116,7 @@ LABELLED = """
  15 0.60   5 0.50  10 0.70  0 0 0
   5 0.00   2 1.00   3 1.00  0 0 0
   9 0.00   3 1.00   0 0.00  0 0 0
-  8 0.00   2 1.00  70 0.00  0 0 0
+  8 0.00   2 1.00   6 0.00  0 0 0
   1 1.00   1 1.00  90 0.00  0 0 0
   5 1.00  80 0.00   6 1.00  0 0 0
   7 0.00  90 0.00   0 0.00  0 0 0
@@ -111,6 +135,14 @@ LABELLED = """
  20 0.50  40 0.00  30 0.00  1 0 1
  10 0.00   6 1.00  50 0.00  1 1 1
   3 0.00  60 0.00  40 0.00  1 1 1
+  2 0.00   1 1.00  80 0.00  1 1 1
+ 11 0.00   8 0.00  70 0.00  1 1 1
+ 14 0.00   6 0.00  68 0.00  1 1 1
+ 10 0.00  10 0.00  70 0.00  1 0 1
+ 12 0.00   5 0.00  67 0.00  1 0 1
+  6 0.00   2 1.00  90 0.00  1 1 1
+  3 0.00   1 1.00  70 0.00  1 0 1
+ 50 0.00   1 1.00  90 0.00  1 0 1
   3 0.00  40 0.00   4 0.00  1 0 1
  12 0.00  30 0.00   3 0.00  1 0 1
   4 0.00   2 0.00   2 0.00  1 0 1
@@ -153,6 +185,14 @@ LABELLED = """
   8 0.00   1 1.00   9 0.00 -1 0 0
   6 0.00   5 1.00  80 0.00 -1 1 0
   3 0.00  70 0.00  60 0.00 -1 1 0
+150 0.00  80 0.00  90 0.00 -1 0 0
+110 0.00   3 1.00   5 0.00 -1 0 0
+ 70 0.05  90 0.00  20 0.00 -1 0 0
+ 65 0.00   0 0.00   0 0.00 -1 0 0
+ 80 0.00   0 0.00  60 0.00 -1 0 0
+120 0.00  60 0.00   0 0.00 -1 0 0
+ 20 0.00   0 0.00 120 0.00 -1 0 0
+ 30 0.00  60 0.00   0 0.00 -1 0 0
 120 0.00  80 0.00  90 0.00 -0.5 0 1
 100 0.00   3 1.00   5 0.00 -0.5 0 1
  70 0.05  90 0.00  20 0.00 -0.5 0 1
@@ -170,7 +210,7 @@ LABELLED = """
   3 0.00  70 0.00  60 0.00 -0.5 1 0
 """
 
-DEPTH = 7
+DEPTH = 9
 
 
 def grow(rows: np.ndarray, labels: np.ndarray, depth: int = DEPTH) -> tuple:
@@ -238,7 +278,12 @@ def _role(tag: str, attributes: str, inside: float) -> float | None:
         return 1
     if aria & AROUND_NAMES or tag in AROUND and not (tag == "header" and inside == 1):
         return -1
-    if named & AROUND_NAMES:
+    around = named & AROUND_NAMES
+    if inside == 1:
+        around -= {"header"}  # an article's own, as the element
+    if around - LOOSE_NAMES and not (named & MAIN_NAMES):
+        return -1
+    if around:
         return None if inside == -1 else WEAK
     return 1 if (named | aria) & MAIN_NAMES else None
 
@@ -260,6 +305,17 @@ def blocks(html: str) -> list[tuple[str, int, int, float, int]]:
             parts.clear()
         linked.clear()
 
+    def leave(tags: frozenset[str], barriers: frozenset[str]) -> None:
+        """End the innermost open element of ``tags``, with what is open in it, unless a barrier is nearer."""
+        nonlocal inside
+        for k in range(len(stack) - 1, -1, -1):
+            if stack[k][0] in tags:
+                inside = stack[k][1]
+                del stack[k:]
+                return
+            if stack[k][0] in barriers:
+                return
+
     def text(upto: int) -> None:
         if upto > at and not unseen:
             parts.append(html[at:upto])
@@ -305,20 +361,21 @@ def blocks(html: str) -> list[tuple[str, int, int, float, int]]:
         elif tag in SPACES:
             parts.append(" ")
         elif tag in BLOCKS or tag == "button":
-            close()
-            if ends:
+            if ends or "".join(linked).strip():  # a link that has had its text goes no further than its block
                 in_link = False
+            close()
             heading = int(tag in HEADINGS and not ends)
+            if not ends and stack and stack[-1][0] == "p" and tag != "button":
+                inside = stack.pop()[1]
             if tag in CONTAINERS or tag == "button":
                 if not ends:
+                    if tag in LEFT_OUT:
+                        leave(*LEFT_OUT[tag])
                     role = _role(tag, m[3], inside)
                     stack.append((tag, inside))
                     inside = inside if role is None else role
-                elif any(open_tag == tag for open_tag, _ in stack):
-                    while True:
-                        open_tag, inside = stack.pop()
-                        if open_tag == tag:
-                            break
+                else:
+                    leave(frozenset([tag]), frozenset())
     rest = _UNFINISHED.search(html, at)
     text(rest.start() if rest else len(html))
     close()

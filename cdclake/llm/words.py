@@ -115,3 +115,13 @@ def gram_hashes(hashes: np.ndarray, k: int) -> np.ndarray:
         total += hashes[j : j + n] * np.uint64(factor)
         factor = (factor * _BASE + 2 * j + 2) % 2**64
     return mixed(total)
+
+
+def grams_at(hashes: np.ndarray, at: np.ndarray, k: int) -> np.ndarray:
+    """What :func:`gram_hashes` has at the places ``at``."""
+    total = np.zeros(len(at), np.uint64)
+    factor = _BASE
+    for j in range(k):
+        total += hashes[at + j] * np.uint64(factor)
+        factor = (factor * _BASE + 2 * j + 2) % 2**64
+    return mixed(total)

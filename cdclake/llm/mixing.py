@@ -5,8 +5,7 @@ weights are raked to the target share of every source, language and topic in tur
 until they fit, and each cell gets the probability with which its documents are
 sampled, so that the expected tokens of the sample follow the fitted weights and
 meet the budget.  A probability cannot pass 1: cells that are too scarce are kept
-whole, and the others of the same source, language and topic make up for them
-(``bounded``), or all others by one factor (``calibrated``).
+whole, and the others of the same source, language and topic make up for them.
 """
 
 from __future__ import annotations
@@ -23,8 +22,9 @@ from cdclake.session import materialized
 DIMENSIONS = ("source", "lang", "topic")
 #: Target shares are the observed ones to this power: below 1 raises what is rare.
 TEMPER = {"source": 0.5, "lang": 0.7, "topic": 0.8}
-#: Sweeps between two looks at the marginals.
+#: Sweeps between two looks at the marginals, and in all.
 SWEEPS = 8
+MOST_SWEEPS = 400
 #: Raking ends when no marginal is further from its target than this share of it.
 TOLERANCE = 1e-4
 KEEP = 0.5
@@ -69,22 +69,73 @@ def rake(
     no longer come nearer, as with targets that contradict each other.
     """
     cells, goals = _with_goals(cells, temper, targets)
+    return _fitted(cells, goals, _scaled, F.col("weight"), sweeps).drop(*goals.values())
 
-    def sweep(cells: DataFrame) -> DataFrame:
-        for dim, goal in goals.items():
-            now = F.sum("weight").over(Window.partitionBy(dim))
-            cells = cells.withColumn("weight", F.when(now > 0, F.col("weight") * goal / now).otherwise(F.lit(0.0)))
-        return cells
 
-    return _fitted(cells, goals, sweep, F.col("weight"), sweeps).drop(*(f"__{dim}" for dim in goals))
+def _scalar(rows: DataFrame, value: Column) -> float:
+    return float(rows.agg(value).first()[0] or 0)
 
 
-def _fitted(cells: DataFrame, goals: dict[str, Column], sweep: Callable, weight: Column, sweeps: int) -> DataFrame:
-    """``cells`` after as many sweeps as the marginals of ``weight`` need."""
-    before = None
+def _joined(cells: DataFrame, by_value: DataFrame, dim: str) -> DataFrame:
+    """``cells`` with the columns that ``by_value`` has for their value of ``dim``; null is a value."""
+    renamed = by_value.withColumnRenamed(dim, "__value")
+    return cells.join(renamed, F.col(dim).eqNullSafe(F.col("__value")), "left").drop("__value")
+
+
+def _with_goals(cells: DataFrame, temper: Mapping, targets: Mapping | None) -> tuple[DataFrame, dict[str, str]]:
+    """``cells`` with ``weight``, their share of tokens, and for each dimension the column of its value's target share.
+
+    No window spans all cells: totals are aggregates.
+    """
+    total = _scalar(cells, F.sum("tokens")) or 1.0
+    goals = {dim: f"__{dim}" for dim in temper}
+    out = cells.withColumn("weight", F.col("tokens") / F.lit(total))
+    for dim, goal in goals.items():
+        if targets and dim in targets:
+            share = F.lit(0.0)
+            for value, wanted in targets[dim].items():
+                share = F.when(F.col(dim) == value, F.lit(float(wanted))).otherwise(share)
+            out = out.withColumn(goal, share)
+        else:
+            powers = cells.groupBy(dim).agg(F.pow(F.sum("tokens").cast("double"), F.lit(temper[dim])).alias(goal))
+            powers = materialized(powers, "powers")
+            out = _joined(out, powers.withColumn(goal, F.col(goal) / F.lit(_scalar(powers, F.sum(goal)) or 1.0)), dim)
+    return materialized(out, "goals"), goals
+
+
+def _scaled(cells: DataFrame, dim: str, goal: str) -> DataFrame:
+    """``cells`` with the weights of each value of ``dim`` scaled to its goal."""
+    # A window per value of the dimension: joining sums back would read the sweeps before twice, each.
+    now = F.sum("weight").over(Window.partitionBy(dim))
+    return cells.withColumn("weight", F.when(now > 0, F.col("weight") * F.col(goal) / now).otherwise(F.lit(0.0)))
+
+
+def _filled(cells: DataFrame, dim: str, goal: str) -> DataFrame:
+    """``cells`` with ``__free`` scaled so that for each value of ``dim`` what is taken, at most ``__cap`` of a
+    cell, comes to its goal, or to all caps if these are less."""
+    group = Window.partitionBy(dim)
+    ratio = F.col("__free") / F.col("__cap")
+    upto = group.orderBy(ratio)  # the rows below their caps; rows of equal ratio count together
+    capped = F.sum("__cap").over(group) - F.sum("__cap").over(upto)
+    cells = cells.withColumn("__f", F.try_divide(F.col(goal) - capped, F.sum("__free").over(upto)))
+    fits = F.max(F.when(F.col("__f") * ratio <= 1 + 1e-12, F.col("__f"))).over(group)
+    most = F.max(F.when(ratio > 0, 1 / ratio)).over(group)
+    factor = F.greatest(F.lit(0.0), F.coalesce(fits, most, F.lit(0.0)))
+    return cells.withColumn("__f", factor).withColumn("__free", F.col("__free") * F.col("__f")).drop("__f")
+
+
+def _fitted(cells: DataFrame, goals: dict[str, str], scale: Callable, weight: Column, sweeps: int) -> DataFrame:
+    """``cells`` after as many sweeps of ``scale`` as the marginals of ``weight`` need to be the goals.
+
+    Where a look finds the error no smaller than the one before, the targets contradict
+    each other; slow raking still comes nearer each time and goes on, to ``MOST_SWEEPS``.
+    """
+    before, done = None, 0
     while True:
         for _ in range(sweeps):
-            cells = sweep(cells)
+            for dim, goal in goals.items():
+                cells = scale(cells, dim, goal)
+        done += sweeps
         cells = materialized(cells, "swept")
         off = [
             cells.groupBy(dim).agg(F.sum(weight).alias("now"), F.max(goal).alias("goal")).filter("goal > 0")
@@ -94,52 +145,15 @@ def _fitted(cells: DataFrame, goals: dict[str, Column], sweep: Callable, weight:
         error = reduce(DataFrame.union, off).agg(F.max("off")).first()[0]
         if error is None or error <= TOLERANCE:
             return cells
-        if before is not None and error > 0.98 * before:
+        if before is not None and error > before * (1 - 1e-4):
             warnings.warn(f"raking: a marginal stays off its target by {error:.2%}; the targets contradict each other", stacklevel=3)
             return cells
+        if done >= MOST_SWEEPS:
+            warnings.warn(f"raking: after {done} sweeps a marginal is still {error:.2e} off its target, and coming nearer", stacklevel=3)
+            return cells
         before = error
 
 
-def _with_goals(cells: DataFrame, temper: Mapping, targets: Mapping | None) -> tuple[DataFrame, dict[str, Column]]:
-    """``cells`` with ``weight``, their share of tokens, and the target share of each dimension's value."""
-    everything = Window.partitionBy()
-    total = F.sum("tokens").over(everything).cast("double")
-    cells = cells.withColumn("weight", F.col("tokens") / total)
-    goals: dict[str, Column] = {}
-    for dim in temper:
-        if targets and dim in targets:
-            goal = F.lit(0.0)
-            for value, share in targets[dim].items():
-                goal = F.when(F.col(dim) == value, F.lit(float(share))).otherwise(goal)
-            cells = cells.withColumn(f"__{dim}", goal)
-        else:
-            of_dim = F.sum("tokens").over(Window.partitionBy(dim)).cast("double")
-            cells = cells.withColumn(f"__{dim}", F.pow(of_dim, F.lit(temper[dim]))).withColumn(
-                f"__{dim}", F.col(f"__{dim}") / F.sum(F.col(f"__{dim}") * F.col("tokens") / of_dim).over(everything)
-            )
-        goals[dim] = F.col(f"__{dim}")
-    return cells, goals
-
-
-def calibrated(cells: DataFrame, keep: float = KEEP) -> DataFrame:
-    """Raked cells with ``probability``: ``min(1, c * weight / tokens)``, with c such that
-    the expected tokens are ``keep`` of all, or all that have weight, if these are fewer."""
-    everything = Window.partitionBy()
-    ratio = F.try_divide(F.col("weight") * F.sum("tokens").over(everything), F.sum("weight").over(everything)) / F.col("tokens")
-    cells = cells.withColumn("ratio", F.coalesce(ratio, F.lit(0.0)))
-    dims = [c for c in cells.columns if c not in ("tokens", "weight", "ratio")]
-    above = Window.orderBy(F.col("ratio").desc(), *dims).rowsBetween(Window.unboundedPreceding, -1)
-    capped = F.coalesce(F.sum("tokens").over(above), F.lit(0))
-    fitted = F.col("tokens") * F.col("ratio")
-    rest = F.sum(fitted).over(everything) - F.coalesce(F.sum(fitted).over(above), F.lit(0.0))
-    factor = F.try_divide(F.lit(keep) * F.sum("tokens").over(everything) - capped, rest)
-    cells = cells.withColumns({"factor": factor, "rank": F.row_number().over(Window.orderBy(F.col("ratio").desc(), *dims))})
-    fits = F.when((F.col("ratio") > 0) & (F.col("factor") * F.col("ratio") <= 1), F.struct("rank", "factor"))
-    factor = F.min(fits).over(everything)["factor"]
-    probability = F.when(F.col("ratio") <= 0, F.lit(0.0)).otherwise(F.least(F.lit(1.0), F.coalesce(factor * F.col("ratio"), F.lit(1.0))))
-    return cells.withColumn("probability", F.round(probability, 6)).drop("factor", "rank", "ratio")
-
-
 def bounded(
     cells: DataFrame,
     keep: float = KEEP,
@@ -152,54 +166,36 @@ def bounded(
     A cell's expected share of the budget is at most its cap, all of its tokens.  A
     target above the caps of its cells is out of reach: these are kept whole, a
     warning says so, and the dimension's other targets rise in proportion.  Raking
-    with the caps then solves every marginal exactly in turn, until all fit.
+    with the caps solves every marginal in turn, until all fit.
     """
-    dims = list(temper)
     fitted = cells.withColumnRenamed("weight", "__weight")
     cells, goals = _with_goals(fitted, temper, targets)
-    live = reduce(lambda a, b: a & b, [goal > 0 for goal in goals.values()])
-    everything = Window.partitionBy()
-    cap = F.col("tokens") / (F.lit(float(keep)) * F.sum("tokens").over(everything))
-    cells = cells.withColumn("__cap", cap).withColumn("__free", F.when(live, F.col("weight")).otherwise(F.lit(0.0)))
-    cells = materialized(cells, "capped")
-    for dim in dims:
-        shares = cells.groupBy(dim).agg(
-            F.max(f"__{dim}").alias("wanted"), F.sum(F.when(F.col("__free") > 0, F.col("__cap")).otherwise(F.lit(0.0))).alias("most")
-        )
-        shares = shares.withColumn("wanted", F.when(F.col("most") > 0, F.col("wanted")).otherwise(F.lit(0.0)))
-        shares = shares.filter("most > 0").withColumn("all", F.least(F.lit(1.0), F.sum("most").over(everything)))
-        shares = materialized(_filled(shares, "wanted", "most", F.col("all")), f"targets-{dim}")
-        out = shares.filter("most < wanted * 0.999999").select(F.col(dim), "wanted", "most").limit(10).collect()
-        for r in out:
-            warnings.warn(f"mixing: {dim} {r[0]} can have {r['most']:.4f} of the sample at most, not {r['wanted']:.4f}", stacklevel=2)
-        reached = shares.select(F.col(dim).alias("__value"), F.least("most", F.col("wanted") * F.col("f")).alias("__reached"))
-        cells = cells.join(reached, F.col(dim).eqNullSafe(F.col("__value")), "left").drop("__value", f"__{dim}")
-        cells = cells.withColumnRenamed("__reached", f"__{dim}").fillna(0.0, [f"__{dim}"])
-    cells = materialized(cells, "reachable")
-
-    def sweep(cells: DataFrame) -> DataFrame:
-        for dim, goal in goals.items():
-            cells = _filled(cells, "__free", "__cap", goal, dim).withColumn("__free", F.col("__free") * F.col("f")).drop("f")
-        return cells
-
-    taken = F.least("__free", "__cap")
-    cells = _fitted(cells, goals, sweep, taken, sweeps)
-    return cells.select(
-        *fitted.drop("__weight").columns, F.col("__weight").alias("weight"), F.round(taken / F.col("__cap"), 6).alias("probability")
-    )
-
-
-def _filled(rows: DataFrame, start: str, cap: str, goal: Column, dim: str | None = None) -> DataFrame:
-    """``rows`` with ``f``: of the rows of each value of ``dim``, ``sum(min(cap, f * start))`` is ``goal``, or
-    all come to their caps if these are fewer."""
-    group = Window.partitionBy(*([dim] if dim else []))
-    ratio = F.col(start) / F.col(cap)
-    upto = group.orderBy(ratio)  # the rows below their caps; rows of equal ratio count together
-    capped = F.sum(cap).over(group) - F.sum(cap).over(upto)
-    rows = rows.withColumn("f", F.try_divide(goal - capped, F.sum(start).over(upto)))
-    fits = F.max(F.when(F.col("f") * ratio <= 1 + 1e-12, F.col("f"))).over(group)
-    most = F.max(F.when(ratio > 0, 1 / ratio)).over(group)
-    return rows.withColumn("f", F.greatest(F.lit(0.0), F.coalesce(fits, most, F.lit(0.0))))
+    live = reduce(lambda a, b: a & b, [F.col(goal) > 0 for goal in goals.values()])
+    budget = float(keep) * (_scalar(cells, F.sum("tokens")) or 1.0)
+    cells = cells.withColumn("__cap", F.col("tokens") / F.lit(budget)).withColumn("__free", F.when(live, F.col("weight")).otherwise(F.lit(0.0)))
+    for dim, goal in goals.items():
+        cells = _joined(cells.drop(goal), _reachable(cells, dim, goal), dim).fillna(0.0, [goal])
+    cells = _fitted(materialized(cells, "reachable"), goals, _filled, F.least("__free", "__cap"), sweeps)
+    probability = F.least("__free", "__cap") / F.col("__cap")
+    return cells.select(*fitted.drop("__weight").columns, F.col("__weight").alias("weight"), probability.alias("probability"))
+
+
+def _reachable(cells: DataFrame, dim: str, goal: str) -> DataFrame:
+    """``dim`` and ``goal``: the target shares, cut to what the values' cells can give, the others raised to make up for it."""
+    most = F.sum(F.when(F.col("__free") > 0, F.col("__cap")).otherwise(F.lit(0.0)))
+    shares = cells.groupBy(dim).agg(F.max(goal).alias("wanted"), most.alias("most")).filter("most > 0 AND wanted > 0")
+    shares = materialized(shares, f"targets-{dim}")
+    everything = min(1.0, _scalar(shares, F.sum("most")))
+    factor, whole = 1.0, None
+    while True:  # values that come to their most stay there, so each round finds more of them or ends
+        full = F.col("wanted") * F.lit(factor) >= F.col("most")
+        r = shares.agg(F.count_if(full), F.sum(F.when(full, F.col("most"))), F.sum(F.when(~full, F.col("wanted")))).first()
+        if r[0] == whole or not r[2]:
+            break
+        whole, factor = r[0], max(factor, (everything - (r[1] or 0.0)) / r[2])
+    for r in shares.filter("most < wanted * 0.999999").orderBy("most").limit(10).collect():
+        warnings.warn(f"mixing: {dim} {r[0]} can have {r['most']:.4f} of the sample at most, not {r['wanted']:.4f}", stacklevel=4)
+    return shares.select(dim, F.least("most", F.col("wanted") * F.lit(factor)).alias(goal))
 
 
 def mix(
@@ -208,14 +204,12 @@ def mix(
     temper: Mapping[str, float] = TEMPER,
     sweeps: int = SWEEPS,
     targets: Mapping[str, Mapping[str, float]] | None = None,
-    within: bool = True,
 ) -> DataFrame:
     """``docs`` with ``topic``, ``tokens``, ``weight``, ``probability`` and ``sampled``.
 
     Columns of these names are replaced; ``doc_id``, ``text``, ``source`` and
     ``lang`` are read and may be null.  Repeated ids share their chance, so that
-    equal rows are sampled together.  An empty table gives no rows.  Without ``within``
-    one factor makes up for scarce cells, and the sample misses its target marginals.
+    equal rows are sampled together.  An empty table gives no rows.
 
     The table of cells holds one row per combination that occurs; Spark broadcasts
     it only if its files are below ``spark.sql.autoBroadcastJoinThreshold`` and
@@ -227,7 +221,7 @@ def mix(
     cells = docs.groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("tokens"))
     # The sums are kept before they are raked: every sweep reads them again.
     cells = rake(materialized(cells, "cells"), temper, sweeps, targets)
-    cells = materialized(bounded(cells, keep, temper, sweeps, targets) if within else calibrated(cells, keep), "raked")
+    cells = materialized(bounded(cells, keep, temper, sweeps, targets), "raked")
     cells = cells.select(*(F.col(d).alias(f"__{d}") for d in DIMENSIONS), "weight", "probability")
     same = [F.col(d).eqNullSafe(F.col(f"__{d}")) for d in DIMENSIONS]
     return (

@@ -21,8 +21,33 @@ ORACLES: dict[str, str] = {
 }
 
 
+def _sweep_sql(name: str, free: str, weight: str) -> str:
+    """Raking as a recursion over sweeps: each dimension scales ``free`` until ``weight`` has its goals.
+
+    As there, every few sweeps the marginals are looked at: it ends when they are near, or no nearer than before.
+    """
+    goals = ", ".join(f"g_{d}" for d in mixing.DIMENSIONS)
+    look = f"k > 0 AND k % {mixing.SWEEPS} = 0"
+    inner = f"""SELECT k + 1 AS k, source, lang, topic, tokens, cap, {goals}, {free}, CASE WHEN {look} THEN off ELSE before END AS before
+                FROM {name} WHERE k < {mixing.MOST_SWEEPS} AND NOT ({look} AND (off <= {mixing.TOLERANCE} OR coalesce(off > before * (1 - 1e-4), false)))"""
+    kept = f"k, source, lang, topic, tokens, cap, {goals}, before"
+    for dim in mixing.DIMENSIONS:
+        if free == weight:
+            inner = f"""SELECT {kept}, coalesce({free} * g_{dim} / nullif(sum({weight}) OVER (PARTITION BY {dim}), 0), 0) AS {free} FROM ({inner})"""
+            continue
+        # The factor at which the cells below their caps, in order of their ratio to these, make up the goal.
+        inner = f"""SELECT {kept}, {free} * greatest(0, coalesce(max(CASE WHEN f * {free} / cap <= 1 + 1e-12 THEN f END) OVER (PARTITION BY {dim}),
+                    max(CASE WHEN {free} > 0 THEN cap / {free} END) OVER (PARTITION BY {dim}), 0)) AS {free}
+                FROM (SELECT *, (g_{dim} - (sum(cap) OVER (PARTITION BY {dim}) - sum(cap) OVER (PARTITION BY {dim} ORDER BY {free} / cap)))
+                      / nullif(sum({free}) OVER (PARTITION BY {dim} ORDER BY {free} / cap), 0) AS f FROM ({inner}))"""
+    errors = ", ".join(f"coalesce(abs(sum({weight}) OVER (PARTITION BY {d}) / nullif(g_{d}, 0) - 1), 0) AS e_{d}" for d in mixing.DIMENSIONS)
+    worst = "greatest(" + ", ".join(f"e_{d}" for d in mixing.DIMENSIONS) + ")"
+    return f"""SELECT k, source, lang, topic, tokens, cap, {goals}, {free}, max({worst}) OVER () AS off, before
+               FROM (SELECT *, {errors} FROM ({inner}))"""
+
+
 def _mixing_sql() -> str:
-    """Raking unrolled: one step per dimension and sweep."""
+    """Cells, their target shares, raking without and with caps, and the documents."""
     topic = "CASE " + " ".join(
         "WHEN " + " OR ".join(f"contains(text, '{m}')" for m in marks) + f" THEN '{name}'" for name, marks in mixing.TOPICS
     ) + " ELSE 'prose' END"
@@ -32,29 +57,37 @@ def _mixing_sql() -> str:
         "c AS (SELECT source, lang, topic, sum(tokens)::DOUBLE AS tokens FROM docs GROUP BY ALL)",
     ]
     for dim in mixing.DIMENSIONS:
-        steps.append(f"""m_{dim} AS (SELECT {dim}, pow(sum(tokens), {mixing.TEMPER[dim]}) AS p FROM c GROUP BY {dim})""")
-        steps.append(f"g_{dim} AS (SELECT {dim}, p / (SELECT sum(p) FROM m_{dim}) AS goal FROM m_{dim})")
-    steps.append("w0 AS (SELECT *, tokens / sum(tokens) OVER () AS w FROM c)")
-    k = 0
-    for _ in range(mixing.SWEEPS):
-        for dim in mixing.DIMENSIONS:
-            steps.append(
-                f"""w{k + 1} AS MATERIALIZED (SELECT a.source, a.lang, a.topic, a.tokens,
-                    a.w * g.goal / sum(a.w) OVER (PARTITION BY a.{dim}) AS w
-                    FROM w{k} a JOIN g_{dim} g ON a.{dim} IS NOT DISTINCT FROM g.{dim})"""
-            )
-            k += 1
-    steps += [
-        f"r AS (SELECT *, w / tokens * sum(tokens) OVER () / sum(w) OVER () AS ratio FROM w{k})",
-        f"""f AS (SELECT *, ({mixing.KEEP} * sum(tokens) OVER ()
-                 - coalesce(sum(tokens) OVER above, 0)) / (sum(tokens * ratio) OVER () - coalesce(sum(tokens * ratio) OVER above, 0)) AS factor
-              FROM r WINDOW above AS (ORDER BY ratio DESC, source, lang, topic ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))""",
-        "best AS (SELECT max(factor) FILTER (factor * ratio <= 1) AS factor FROM (SELECT *, row_number() OVER (PARTITION BY factor * ratio <= 1 ORDER BY ratio DESC, source, lang, topic) AS n FROM f) WHERE n = 1)",
-        "p AS (SELECT r.*, round(least(1.0, coalesce((SELECT factor FROM best) * ratio, 1.0)), 6) AS probability FROM r)",
-    ]
+        steps.append(f"m_{dim} AS (SELECT {dim}, pow(sum(tokens), {mixing.TEMPER[dim]}) AS p FROM c GROUP BY {dim})")
+        # What each value's cells can give, and the factor by which the others make up for those that give all.
+        steps.append(
+            f"""s_{dim} AS (SELECT {dim}, p / (SELECT sum(p) FROM m_{dim}) AS wanted,
+                 (SELECT sum(tokens) FROM c WHERE c.{dim} IS NOT DISTINCT FROM m_{dim}.{dim}) / ({mixing.KEEP} * (SELECT sum(tokens) FROM c)) AS most
+                 FROM m_{dim})"""
+        )
+        steps.append(
+            f"""f_{dim} AS (SELECT *, (least(1, sum(most) OVER ()) - coalesce(sum(most) OVER before, 0))
+                 / (sum(wanted) OVER () - coalesce(sum(wanted) OVER before, 0)) AS f FROM s_{dim}
+                 WINDOW before AS (ORDER BY most / wanted, {dim} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))"""
+        )
+        steps.append(
+            f"""r_{dim} AS (SELECT {dim}, wanted, least(most, wanted *
+                 greatest(1, coalesce((SELECT arg_min(f, most / wanted) FROM f_{dim} WHERE f * wanted < most), 1e300))) AS reached FROM s_{dim})"""
+        )
+    joins = " ".join(f"JOIN r_{d} ON c.{d} IS NOT DISTINCT FROM r_{d}.{d}" for d in mixing.DIMENSIONS)
+    plain, cut = (", ".join(f"r_{d}.{kind} AS g_{d}" for d in mixing.DIMENSIONS) for kind in ("wanted", "reached"))
+    share = "c.tokens / (SELECT sum(tokens) FROM c)"
+    start = "SELECT 0 AS k, c.source, c.lang, c.topic, c.tokens, c.tokens / ({keep} * (SELECT sum(tokens) FROM c)) AS cap, {goals}, {share} AS {free}, NULL::DOUBLE AS off, NULL::DOUBLE AS before FROM c {joins}"
+    for name, free, weight, goals in (("u", "w", "w", plain), ("b", "free", "least(free, cap)", cut)):
+        first = start.format(keep=mixing.KEEP, goals=goals, share=share, free=free, joins=joins)
+        steps.append(f"{name} AS ({first} UNION ALL {_sweep_sql(name, free, weight)})")
+    steps.append(
+        """p AS (SELECT u.source, u.lang, u.topic, u.w, least(b.free, b.cap) / b.cap AS probability
+           FROM (SELECT * FROM u WHERE k = (SELECT max(k) FROM u)) u JOIN (SELECT * FROM b WHERE k = (SELECT max(k) FROM b)) b
+           ON u.source IS NOT DISTINCT FROM b.source AND u.lang IS NOT DISTINCT FROM b.lang AND u.topic = b.topic)"""
+    )
     return (
-        "WITH " + ",\n".join(steps) + """
-        SELECT d.doc_id, d.source, d.lang, d.topic, d.tokens, round(p.w, 6) AS weight, p.probability,
+        "WITH RECURSIVE " + ",\n".join(steps) + """
+        SELECT d.doc_id, d.source, d.lang, d.topic, d.tokens, round(p.w, 6) AS weight, round(p.probability, 6) AS probability,
                ('0x' || substr(md5(d.doc_id::VARCHAR), 1, 8))::BIGINT / 4294967296.0::DOUBLE < p.probability AS sampled
         FROM docs d JOIN p ON d.source IS NOT DISTINCT FROM p.source AND d.lang IS NOT DISTINCT FROM p.lang AND d.topic = p.topic"""
     )

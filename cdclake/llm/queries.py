@@ -48,11 +48,9 @@ def fold(folds: int) -> Column:
 
 @query
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Its SQL makes up for scarce cells by one factor; the pipeline does so within each marginal.
-    mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang"), within=False)
-    return mixed.select(
-        "doc_id", "source", "lang", "topic", "tokens", F.round("weight", 6).alias("weight"), "probability", "sampled"
-    )
+    mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang"))
+    figures = [F.round(c, 6).alias(c) for c in ("weight", "probability")]
+    return mixed.select("doc_id", "source", "lang", "topic", "tokens", *figures, "sampled")
 
 
 @query
@@ -96,15 +94,8 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
-    return found.select(
-        "doc_id",
-        "n_words",
-        "n_hit",
-        F.size("items").cast("long").alias("n_items"),
-        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
-        (F.col("n_hit") > 0).alias("contaminated"),
-    )
+    found = decontaminate.contamination_digests(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", (F.col("n_hit") > 0).alias("contaminated"))
 
 
 @query

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import time
+import uuid
 from collections.abc import Callable
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -35,6 +39,77 @@ def folders(spark: SparkSession, pattern: str) -> dict[str, set[str]]:
     }
 
 
+def file_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the files in a folder; none if it is not there."""
+    system, target = _at(spark, folder)
+    if not system.exists(target):
+        return []
+    return [f.getPath().getName() for f in system.listStatus(target) if f.isFile()]
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """The content of a small file; None if it is not there."""
+    system, target = _at(spark, path)
+    if not system.exists(target):
+        return None
+    stream = system.open(target)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def _written_aside(spark: SparkSession, path: str, text: str) -> str:
+    folder, name = path.rsplit("/", 1)
+    aside = f"{folder}/.{name}.{uuid.uuid4().hex}"
+    system, target = _at(spark, aside)
+    stream = system.create(target, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    return aside
+
+
+def _renamed(spark: SparkSession, source: str, path: str, overwrite: bool) -> None:
+    jvm = spark._jvm
+    kinds = jvm.org.apache.hadoop.fs.Options.Rename
+    options = spark.sparkContext._gateway.new_array(kinds, 1)
+    options[0] = kinds.OVERWRITE if overwrite else kinds.NONE
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), spark._jsc.hadoopConfiguration())
+    files.rename(jvm.org.apache.hadoop.fs.Path(source), target, options)
+
+
+def put(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file, in place of what is there."""
+    _renamed(spark, _written_aside(spark, path, text), path, overwrite=True)
+
+
+def put_if_absent(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file in one step unless it is there; whether it was written.
+
+    The content is written aside and renamed, and the file system refuses to rename
+    onto a file that exists: HDFS decides that in one step.
+    """
+    if exists(spark, path):
+        return False
+    aside = _written_aside(spark, path, text)
+    try:
+        _renamed(spark, aside, path, overwrite=False)
+        return True
+    except Py4JJavaError as refused:
+        delete(spark, aside)
+        if not exists(spark, path):
+            raise refused
+        return False
+
+
+def modified_before(spark: SparkSession, pattern: str, age: dt.timedelta) -> list[str]:
+    """Paths of the files matching a glob that have not changed for ``age``."""
+    system, target = _at(spark, pattern)
+    limit = (time.time() - age.total_seconds()) * 1000
+    return [str(f.getPath()) for f in system.globStatus(target) or () if f.isFile() and f.getModificationTime() <= limit]
+
+
 def replace_folders(spark: SparkSession, pattern: str, write: Callable[[], None]) -> None:
     """Run ``write``, then remove the folders matching ``pattern`` that it left as they were.
 

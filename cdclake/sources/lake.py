@@ -1,4 +1,7 @@
-"""The lake: change rows as Parquet, partitioned by UTC commit day and batch."""
+"""The lake: change rows as Parquet, partitioned by UTC commit day and batch.
+
+Which files count is in the lake's commit log (:mod:`cdclake.sources.commits`).
+"""
 
 from __future__ import annotations
 
@@ -10,7 +13,8 @@ from pyspark.sql import functions as F
 
 from cdclake.functions.positions import commit_date, unset_time
 from cdclake.schema import CHANGE, FILE_COLUMNS, PARTITIONS
-from cdclake.sources.files import delete, exists, folders, micros_in_files, replace_folders
+from cdclake.sources import commits
+from cdclake.sources.files import exists, folders, micros_in_files
 
 #: Row order inside a file.
 FILE_ORDER = ("timestamp", "lsn", "seq")
@@ -62,7 +66,7 @@ def write_changes(
     """
     if load < 1:
         raise ValueError("loads are numbered from 1")
-    if not replace and folders(changes.sparkSession, _folders_of(root, namespace, -load)):
+    if not replace and not live_files(changes.sparkSession, root, namespace).filter(F.col("batch_id") == -load).isEmpty():
         raise ValueError(f"load {load} is in {root}/{namespace} already; take another number, or replace it")
     write_batch(changes, root, namespace, -load, max_records_per_file)
 
@@ -71,9 +75,14 @@ def _folders_of(root: str, namespace: str, batch: int | str) -> str:
     return f"{root}/{namespace}/commit_date=*/batch_id={batch}"
 
 
+def live_files(spark: SparkSession, root: str, namespace: str = DEFAULT_NAMESPACE, version: int | None = None) -> DataFrame:
+    """The files of the lake that count: path, day, batch, rows, bytes, and ranges of positions and times."""
+    return commits.live_files(spark, f"{root}/{namespace}", version)
+
+
 def stored_files(spark: SparkSession, root: str, namespace: str = DEFAULT_NAMESPACE) -> int:
     """Number of data files of the lake."""
-    return sum(n.endswith(".parquet") for names in folders(spark, _folders_of(root, namespace, "*")).values() for n in names)
+    return live_files(spark, root, namespace).count()
 
 
 def has_stream_batches(spark: SparkSession, root: str, namespace: str) -> bool:
@@ -86,23 +95,50 @@ def write_batch(
 ) -> None:
     """Write a batch under its id (negative for loads, else a stream's), in place of what it had.
 
+    Readers see it as a whole from its commit on, and until then what it had before.
+    """
+    facts = _written(changes, root, namespace, batch_id, max_records_per_file)
+    had = live_files(changes.sparkSession, root, namespace).filter(F.col("batch_id") == batch_id)
+    if facts is not None or not had.isEmpty():
+        commits.commit(changes.sparkSession, f"{root}/{namespace}", facts, replaces=batch_id)
+
+
+def _begin_log(spark: SparkSession, root: str, namespace: str) -> None:
+    """A lake that was written without a log gets one, in which all of its files count."""
+    base = f"{root}/{namespace}"
+
+    def files_there() -> DataFrame | None:
+        there = [f"{f}/{n}" for f, names in folders(spark, _folders_of(root, namespace, "*")).items() for n in names if n.endswith(".parquet")]
+        return commits.file_facts(_read_files(spark, base, sorted(there))) if there else None
+
+    commits.begin_log(spark, base, files_there)
+
+
+def _written(changes: DataFrame, root: str, namespace: str, batch_id: int, max_records_per_file: int) -> DataFrame | None:
+    """Write a batch's files, which don't count yet; their manifest rows, or None without rows.
+
     Rows are rebalanced by day: adaptive execution gives a hot day many tasks and
     puts small days together, so that the number of files follows the amount of
     data and the number of days, not the number of tasks times that of days.
     """
-    spark = changes.sparkSession
+    spark, base = changes.sparkSession, f"{root}/{namespace}"
     rows = to_lake_rows(changes).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
     # Partition columns first: the writer then needs no sort of its own.
     ordered = rows.hint("rebalance", "commit_date").sortWithinPartitions(*PARTITIONS.fieldNames(), *FILE_ORDER)
     writer = (
-        ordered.write.mode("overwrite")
+        ordered.write.mode("append")
         .partitionBy(*PARTITIONS.fieldNames())
-        .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", max_records_per_file)
         .options(**WRITER_OPTIONS)
     )
     micros_in_files(spark)
-    replace_folders(spark, _folders_of(root, namespace, batch_id), lambda: writer.parquet(f"{root}/{namespace}"))
+    _begin_log(spark, root, namespace)
+    before = folders(spark, _folders_of(root, namespace, batch_id))
+    writer.parquet(base)
+    # Spark gives every file it writes a new name.
+    after = folders(spark, _folders_of(root, namespace, batch_id))
+    new = sorted(f"{f}/{n}" for f, names in after.items() for n in names - before.get(f, set()) if n.endswith(".parquet"))
+    return commits.file_facts(_read_files(spark, base, new)) if new else None
 
 
 def compact_days(
@@ -117,17 +153,23 @@ def compact_days(
 ) -> None:
     """Put all batches of some days together into one load of a new number.
 
-    The rows are written first and the old folders removed after.  If that is cut
-    short, events are there twice and none is lost; compacting the days again, under
-    another number, keeps one of each.  Take days that no batch is being written to.
+    The new files take the place of the old ones in one commit: readers see the one
+    or the other.  Batches that come meanwhile stay as they are.  ``vacuum`` removes
+    the old files.
     """
     first, last = _day(first_day), _day(last_day)
-    days = {f"commit_date={d}" for d in _day_range(first, last)}
-    old = [f for f in folders(spark, _folders_of(root, namespace, "*")) if f.rsplit("/", 2)[1] in days]
-    rows = read_changes(spark, root, namespace, first, last).dropDuplicates(["slot", "session", "seq"])
-    write_changes(rows, root, namespace, load=load, max_records_per_file=max_records_per_file)
-    for folder in old:
-        delete(spark, folder)
+    base = f"{root}/{namespace}"
+    version = commits.newest_version(spark, base)
+    if load < 1 or not live_files(spark, root, namespace, version).filter(F.col("batch_id") == -load).isEmpty():
+        raise ValueError(f"take a load number above 0 that {base} does not have yet")
+    rows = read_changes(spark, root, namespace, first, last, version=version).dropDuplicates(["slot", "session", "seq"])
+    facts = _written(rows, root, namespace, -load, max_records_per_file)
+    commits.commit(spark, base, facts, days=(first, last), up_to=version)
+
+
+def vacuum(spark: SparkSession, root: str, namespace: str = DEFAULT_NAMESPACE, older_than: dt.timedelta = dt.timedelta(days=1)) -> int:
+    """Remove files that do not count and are older than any reader or batch that is at work; returns how many."""
+    return commits.vacuum(spark, f"{root}/{namespace}", older_than)
 
 
 def _day(value: str | dt.date) -> dt.date:
@@ -144,31 +186,52 @@ def read_changes(
     namespace: str = DEFAULT_NAMESPACE,
     first_day: str | dt.date | None = None,
     last_day: str | dt.date | None = None,
+    *,
+    lsn_range: tuple[int | None, int | None] | None = None,
+    time_range: tuple[dt.datetime | None, dt.datetime | None] | None = None,
+    tables: list[str] | None = None,
+    version: int | None = None,
 ) -> DataFrame:
     """Change rows of the lake, for a range of commit days (both ends included).
 
-    The range prunes partitions, so other days are not read.  With both ends
-    given, other days are not even listed.
+    The rows are also those of ``lsn_range`` and ``time_range`` (of ``timestamp``; both
+    ends included, either may be None) and of ``tables``.  Files that can hold none of
+    them, by their ranges and filters in the commit log, are not opened; the rest is
+    filtered by row.  ``version`` reads the lake as an earlier commit left it, while
+    its files are there.  In a lake without a commit log every file counts.
     """
     base = f"{root}/{namespace}"
-    schema = CHANGE.fields + PARTITIONS.fields
-    reader = spark.read.schema(type(CHANGE)(schema))
-    day = F.col("commit_date")
-    if first_day is None or last_day is None:
-        changes = reader.parquet(base)
-        if first_day is not None:
-            changes = changes.filter(day >= F.lit(_day(first_day)))
-        if last_day is not None:
-            changes = changes.filter(day <= F.lit(_day(last_day)))
-        return changes
-
     if not exists(spark, base):
         raise FileNotFoundError(f"no lake at {base}")
-    folders = [f"{base}/commit_date={d}" for d in _day_range(_day(first_day), _day(last_day))]
-    present = [f for f in folders if exists(spark, f)]
-    if not present:
-        return spark.createDataFrame([], type(CHANGE)(schema))
-    return reader.option("basePath", base).parquet(*present)
+
+    def in_days(rows: DataFrame) -> DataFrame:
+        if first_day is not None:
+            rows = rows.filter(F.col("commit_date") >= F.lit(_day(first_day)))
+        return rows if last_day is None else rows.filter(F.col("commit_date") <= F.lit(_day(last_day)))
+
+    if commits.has_log(spark, base):
+        files = in_days(commits.live_files(spark, base, version)).filter(commits.may_hold(lsn_range, time_range, tables))
+        # A list of files is what a Spark scan is planned from, on the driver, in any case.
+        changes = _read_files(spark, base, sorted(f"{base}/{r.path}" for r in files.select("path").collect()))
+    else:  # written by other means: every file counts
+        changes = spark.read.schema(_LAKE).parquet(base)
+    changes = in_days(changes)
+    for column, bounds in (("lsn", lsn_range), ("timestamp", time_range)):
+        low, high = bounds or (None, None)
+        if low is not None:
+            changes = changes.filter(F.col(column) >= F.lit(low))
+        if high is not None:
+            changes = changes.filter(F.col(column) <= F.lit(high))
+    return changes if tables is None else changes.filter(F.col("table").isin(*tables))
+
+
+_LAKE = type(CHANGE)(CHANGE.fields + PARTITIONS.fields)
+
+
+def _read_files(spark: SparkSession, base: str, paths: list[str]) -> DataFrame:
+    if not paths:
+        return spark.createDataFrame([], _LAKE)
+    return spark.read.schema(_LAKE).option("basePath", base).parquet(*paths)
 
 
 def file_path() -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cdclake.operators.scan import CHUNK_BITS, Running, chunk_of, ordered_scan
-from cdclake.sources.ledger import read_segments
+from cdclake.sources.ledger import fold_segments, read_segments
 
 #: How long delivery may be blocked before a slot is not ready.
 MAX_BLOCK = dt.timedelta(seconds=60)
@@ -78,6 +78,40 @@ def contiguous_prefix(
     )
 
 
+def folded(segments: DataFrame, chunk_bits: int = SEGMENT_CHUNK_BITS) -> DataFrame:
+    """``segments`` with every run of adjacent finished ones as two rows: all but the last, and the last.
+
+    The first has the highest position of its segments, the second its own, so that
+    :func:`contiguous_prefix` from the ledger's start and :func:`acked_position` give the
+    same on either.  Unfinished segments stay.  What is left is bounded by the gaps and
+    by what is open, however long the ledger was.
+    """
+    kept = ["start_idx", "end_idx", "done", "last_lsn", "cut_at", "done_at"]
+    before = {"__end": Running("lag", F.col("end_idx")), "__done": Running("lag", F.col("done"))}
+    scanned = ordered_scan(segments.select("slot", *kept), ["slot"], "start_idx", before, chunk_bits)
+    joins = F.col("done") & F.coalesce("__done", F.lit(False)) & F.coalesce(F.col("start_idx") == F.col("__end"), F.lit(False))
+    begins = F.when(joins, F.lit(None)).otherwise(F.col("start_idx"))
+    runs = ordered_scan(scanned, ["slot"], "start_idx", {"__run": Running("last", begins)}, chunk_bits)
+    ends = runs.groupBy("slot", "__run").agg(F.max("start_idx").alias("__last"))
+    return (
+        runs.join(ends, ["slot", "__run"])
+        .groupBy("slot", "__run", (F.col("start_idx") == F.col("__last")).alias("__part"))
+        .agg(
+            F.min("start_idx").alias("start_idx"), F.max("end_idx").alias("end_idx"), F.bool_and("done").alias("done"),
+            F.max("last_lsn").alias("last_lsn"), F.max("cut_at").alias("cut_at"), F.max("done_at").alias("done_at"),
+        )
+        .select("slot", *kept)
+    )
+
+
+def fold_ledger(spark: SparkSession, ledger: str) -> int | None:
+    """Fold the segment ledger (see :func:`folded`); returns the last batch it covers, None if there is nothing new.
+
+    Do it now and then beside a running stream: readers see the ledger before or after.
+    """
+    return fold_segments(spark, ledger, folded)
+
+
 def acked_position(positions: DataFrame, value: str = "acked_lsn") -> DataFrame:
     """Current confirmed position per slot: the highest one ever published."""
     return positions.groupBy("slot").agg(F.max(value).alias("acked_lsn"))

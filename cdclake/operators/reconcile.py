@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cdclake.functions.positions import commit_date
-from cdclake.operators.scan import CHUNK_BITS, Running, ordered_scan
+from cdclake.operators.scan import CHUNK_BITS, Running, chunk_of, ordered_scan
+from cdclake.session import materialized
 
 _BLOCK = 10_000
 
@@ -160,17 +161,35 @@ def duplicate_keys(manifest: DataFrame, key: str = "key") -> DataFrame:
     return manifest.filter(F.col(key).isNotNull()).groupBy(key).count().filter(F.col("count") > 1)
 
 
-def conservation(changes: DataFrame, lake: DataFrame) -> DataFrame:
+def conservation(changes: DataFrame, lake: DataFrame, chunk_bits: int = CHUNK_BITS) -> DataFrame:
     """Events not stored exactly as often as they were decoded.
 
-    Both sides are counted per event in one aggregation instead of a full outer
-    join, so copies of one event are added up before they are shuffled.
+    Chunks of positions are compared first, by their number of events and sums of two
+    hashes of them, which do not depend on order and are added up before they are
+    shuffled.  Only events of chunks that differ are then counted one by one, so what is
+    shuffled grows with the differences and the number of chunks, not with the events.
+    Sums of different events agree by chance in one of 2**64 chunks or so.
     """
     event = ["slot", "session", "seq"]
-    decoded = changes.select(*event, F.lit(1).alias("d"), F.lit(0).alias("s"))
-    stored = lake.select(*event, F.lit(0).alias("d"), F.lit(1).alias("s"))
+    chunk = ["slot", "session", "__chunk"]
+
+    def summed(rows: DataFrame, sign: int) -> DataFrame:
+        marks = [F.xxhash64(F.lit(k), *event).cast("decimal(20,0)") * sign for k in (1, 2)]
+        return rows.select(*event, chunk_of(F.col("seq"), chunk_bits).alias("__chunk")).select(
+            *chunk, F.lit(sign).alias("__n"), *(m.alias(f"__s{k}") for k, m in enumerate(marks))
+        )
+
+    sums = summed(changes, 1).unionByName(summed(lake, -1)).groupBy(*chunk)
+    uneven = sums.agg(*(F.sum(c).alias(c) for c in ("__n", "__s0", "__s1"))).filter("__n <> 0 OR __s0 <> 0 OR __s1 <> 0")
+    uneven = materialized(uneven.select(*chunk), "uneven-chunks")  # its size decides how the rows are joined
+
+    def counted(rows: DataFrame, decoded: int) -> DataFrame:
+        placed = rows.select(*event, chunk_of(F.col("seq"), chunk_bits).alias("__chunk"))
+        return placed.join(uneven, chunk, "left_semi").select(*event, F.lit(decoded).alias("d"), F.lit(1 - decoded).alias("s"))
+
     return (
-        decoded.unionByName(stored)
+        counted(changes, 1)
+        .unionByName(counted(lake, 0))
         .groupBy(*event)
         .agg(F.sum("d").alias("decoded"), F.sum("s").alias("stored"))
         .filter(F.col("decoded") != F.col("stored"))

@@ -9,6 +9,7 @@ from cdclake.operators import planning, progress, reconcile
 from cdclake.operators.decode import decode
 from cdclake.operators.filters import filter_changes, not_commit
 from cdclake.schema import CHANGE, MESSAGE, PROGRESS, SEGMENT
+from cdclake.sources import ledger as ledgers
 from cdclake.sources.ledger import write_segments
 from tests import history
 
@@ -366,3 +367,65 @@ def test_filter_chain(spark):
     assert filter_changes(changes).count() == 4
     kept = filter_changes(changes, not_commit(), F.col("seq") > 1, F.col("operation") == "insert").collect()
     assert [r.seq for r in kept] == [4]
+
+
+# ------------------------------------------------------------- ledger folding
+
+
+def drawn_ledger(spark, seed, slots=6, segments=60):
+    rng, rows = random.Random(seed), []
+    for k in range(slots):
+        at = 0
+        for i in range(segments):
+            size = rng.randrange(1, 9)
+            if rng.random() < 0.03:
+                at += 5  # a lost segment
+            rows.append((f"s{k}", at, at + size, rng.random() > 0.06 or i < 8 * k, rng.randrange(10**6), None, None))
+            at += size
+    return spark.createDataFrame(rows, SEGMENT)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_folding_keeps_the_prefix_and_is_bounded_by_gaps(spark, seed):
+    ledger = drawn_ledger(spark, seed)
+    small = progress.folded(ledger, chunk_bits=5).cache()
+    for job in (progress.contiguous_prefix, lambda x: progress.acked_position(x.filter("done"), "last_lsn")):
+        assert sorted(map(tuple, job(small).collect())) == sorted(map(tuple, job(ledger).collect()))
+    open_or_gap = ledger.filter("NOT done").count() + 6 * 3
+    assert small.count() <= 3 * open_or_gap + 2 * 6 < ledger.count()
+    assert small.filter("done").agg({"end_idx": "max"}).first()[0] == ledger.filter("done").agg({"end_idx": "max"}).first()[0]
+    again = progress.folded(small, chunk_bits=5)
+    assert again.count() <= small.count()
+    assert sorted(map(tuple, progress.contiguous_prefix(again).collect())) == sorted(map(tuple, progress.contiguous_prefix(ledger).collect()))
+
+
+def test_folded_ledger_goes_on(spark, tmp_path, monkeypatch):
+    path = str(tmp_path)
+
+    def segments(low, high):
+        return spark.createDataFrame([("a", i * 10, i * 10 + 10, True, 100 + i, None, None) for i in range(low, high)], SEGMENT)
+
+    def state():
+        return [tuple(r) for r in progress.contiguous_prefix(ledgers.read_segments(spark, path)).collect()]
+
+    for batch in range(4):
+        ledgers.write_segments(segments(batch * 5, batch * 5 + 5), path, batch)
+    before = state()
+    with monkeypatch.context() as patched:  # fails before the folded rows count
+        patched.setattr(ledgers, "put_if_absent", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            progress.fold_ledger(spark, path)
+    assert state() == before
+    with monkeypatch.context() as patched:  # fails before the old rows are removed
+        patched.setattr(ledgers, "delete", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            progress.fold_ledger(spark, path)
+    assert state() == before and ledgers.read_segments(spark, path).count() == 2
+    assert progress.fold_ledger(spark, path) is None
+    ledgers.write_segments(segments(15, 20), path, 3)  # the last batch is run again
+    assert state() == before
+    ledgers.write_segments(segments(20, 30), path, 4)
+    assert state() == [("a", 300, 129, 129)]
+    assert progress.fold_ledger(spark, path) == 4
+    assert state() == [("a", 300, 129, 129)] and ledgers.read_segments(spark, path).count() == 2
+    assert progress.fold_ledger(spark, path) is None

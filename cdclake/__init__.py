@@ -2,6 +2,7 @@
 
 from cdclake.functions.images import DEFAULT_TYPES, TypeRegistry
 from cdclake.functions.positions import commit_date, lsn_str, lsn_value
+from cdclake.operators.cuts import segments_joint
 from cdclake.operators.decode import decode, select_tables
 from cdclake.operators.filters import filter_changes, not_commit
 from cdclake.operators.planning import day_runs, file_manifest, segments_by_count, segments_by_interval
@@ -10,6 +11,7 @@ from cdclake.operators.progress import (
     acked_position,
     backlog,
     contiguous_prefix,
+    fold_ledger,
     position_regressions,
     resume,
     safe_restart,
@@ -27,7 +29,8 @@ from cdclake.operators.reconcile import (
     rolled_back_leaks,
     row_identity,
 )
-from cdclake.sources.lake import compact_days, export_dated, read_changes, read_dated, write_changes
+from cdclake.operators.replays import remove_replays
+from cdclake.sources.lake import compact_days, export_dated, live_files, read_changes, read_dated, vacuum, write_changes
 from cdclake.sources.messages import read_messages, stream_messages
 from cdclake.streaming.stream import drain, stream_changes
 
@@ -50,6 +53,8 @@ __all__ = [
     "export_dated",
     "file_manifest",
     "filter_changes",
+    "fold_ledger",
+    "live_files",
     "lsn_str",
     "lsn_value",
     "misplaced_rows",
@@ -61,15 +66,18 @@ __all__ = [
     "read_changes",
     "read_dated",
     "read_messages",
+    "remove_replays",
     "resume",
     "rolled_back_leaks",
     "row_identity",
     "safe_restart",
     "segments_by_count",
     "segments_by_interval",
+    "segments_joint",
     "select_tables",
     "stream_changes",
     "stream_health",
     "stream_messages",
+    "vacuum",
     "write_changes",
 ]

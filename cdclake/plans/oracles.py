@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cdclake.plans.queries import CONFIRMED, CUTS, FINISHED, RERUN_UNTIL, SEGMENT_SIZE
+from cdclake.plans.queries import CONFIRMED, CUTS, FINISHED, JOINT_HOURS, JOINT_SIZE, RERUN_UNTIL, SEGMENT_SIZE
 
 # One row per sent row change (`sent`), the changes of the slot (`changes`).
 _BASE = r"""
@@ -107,6 +107,7 @@ both_slots AS (
 )
 """.replace("{n}", str(SEGMENT_SIZE))
 
+_JOINT_US = JOINT_HOURS * 3_600_000_000
 _UNSET = -62135596800000000
 _DAY = "strftime(day, '%Y-%m-%d')"
 _STORED = f"""
@@ -219,6 +220,25 @@ FROM lineitem""",
          SELECT 'main' AS slot, (sum(n) OVER w - n)::BIGINT AS start_idx, (sum(n) OVER w)::BIGINT AS end_idx,
            false AS done, last_lsn, (tick + 1) * 3600000000 AS cut_at_us
          FROM ticks WINDOW w AS (ORDER BY tick)""",
+    # One cut by count after the other; between two of them the ticks.
+    "segments_joint": _BASE.replace("WITH txns", "WITH RECURSIVE txns", 1)
+    + f""", timed AS (SELECT idx + 1 AS idx, lsn, max(epoch_us(decoded)) OVER (ORDER BY seq) AS us FROM numbered),
+    spans AS (SELECT *, us - lag(us, {JOINT_SIZE - 1}) OVER (ORDER BY idx) AS span FROM timed),
+    counted AS (
+      SELECT 0::BIGINT AS j, min(us) AS since FROM timed
+      UNION ALL
+      SELECT min(e.idx), arg_min(e.us, e.idx)
+      FROM counted r JOIN spans e ON e.idx >= r.j + {JOINT_SIZE} AND (e.us - r.since) % {_JOINT_US} >= e.span
+      HAVING count(*) > 0),
+    ticked AS (SELECT e.*, r.j, r.since, (e.us - r.since) // {_JOINT_US} AS tick FROM timed e ASOF JOIN counted r ON e.idx > r.j),
+    segments AS (
+      SELECT min(idx) - 1 AS start_idx, max(idx) AS end_idx, arg_max(lsn, idx) AS last_lsn, max(us) AS last_at,
+             any_value(since) + (tick + 1) * {_JOINT_US} AS tick_at
+      FROM ticked GROUP BY j, tick)
+    SELECT s.slot, start_idx, end_idx, false AS done, last_lsn,
+           CASE WHEN c.j IS NULL THEN tick_at ELSE last_at END AS cut_at_us,
+           CASE WHEN c.j IS NULL THEN 'tick' ELSE 'count' END AS cut_by
+    FROM segments LEFT JOIN counted c ON c.j = end_idx, (VALUES ('main'), ('twin')) s(slot)""",
     "day_runs": _BASE + f"SELECT seq, idx, segment, run, {_DAY} AS commit_date FROM runs",
     "file_manifest": _BASE
     + f"""SELECT slot, segment, run, {_DAY} AS commit_date, start_idx, events, rows, first_lsn, last_lsn, last_decoded_us,
@@ -232,6 +252,14 @@ FROM lineitem""",
            arg_max(last_lsn, end_idx) FILTER (broken = 0) AS acked_lsn,
            max(last_lsn) FILTER (broken = 0) AS confirmed_lsn
     FROM marked GROUP BY slot""",
+    "folded_prefix": _LEDGER
+    + """, marked AS (
+      SELECT *, sum((NOT done OR start_idx <> coalesce(prev, 0))::INT) OVER (PARTITION BY slot ORDER BY start_idx) AS broken
+      FROM (SELECT *, lag(end_idx) OVER (PARTITION BY slot ORDER BY start_idx) AS prev FROM ledger))
+    SELECT slot, coalesce(max(end_idx) FILTER (broken = 0), 0) AS read_idx,
+           arg_max(last_lsn, end_idx) FILTER (broken = 0) AS acked_lsn,
+           max(last_lsn) FILTER (broken = 0) AS confirmed_lsn
+    FROM marked GROUP BY slot""",
     "acked_position": _LEDGER + "SELECT slot, max(last_lsn) AS acked_lsn FROM ledger WHERE done GROUP BY slot",
     "acked_history": _LEDGER
     + """SELECT slot, end_idx, last_lsn, max(last_lsn) OVER (PARTITION BY slot ORDER BY end_idx) AS confirmed_lsn
@@ -313,6 +341,7 @@ FROM lineitem""",
       FROM widths GROUP BY ALL)
     SELECT *, before_fields / events AS avg_before, after_fields / events AS avg_after FROM totals""",
     "stream_parity": _BASE + _STORED,
+    "stream_dedup": _BASE + "SELECT 'main' AS slot, session, seq, lsn, operation FROM changes WHERE session = txn // 100",
     "record_progress": _BASE
     + """, batches AS (SELECT *, CASE WHEN seq <= {a} THEN 0 WHEN seq <= {b} THEN 1 ELSE 2 END AS batch FROM numbered)
     SELECT batch::BIGINT AS batch_id, 'main' AS slot, min(idx) AS start_idx, max(idx) + 1 AS end_idx, true AS done,

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from cdclake.functions.images import DEFAULT_TYPES
 from cdclake.functions.positions import commit_date, lsn_str, lsn_value
-from cdclake.operators import metrics, planning, progress, reconcile
+from cdclake.operators import cuts, metrics, planning, progress, reconcile
 from cdclake.operators.decode import decode, select_tables
 from cdclake.operators.filters import filter_changes, not_commit
 from cdclake.plans import synth
@@ -28,6 +28,8 @@ QUERIES: dict[str, Query] = {}
 CONFIRMED = 16777216 + 61 * 5 * 120
 #: Small segments, so that many are cut at every scale.
 SEGMENT_SIZE = 100
+#: Segments cut by count or interval: at some scales and times the one comes first, at some the other.
+JOINT_SIZE, JOINT_HOURS = 30, 2
 NAMESPACE = "ns"
 RERUN_UNTIL = "2024-01-12"
 #: Events that are finished in the ledgers that a session resumes from: within the first replay.
@@ -318,6 +320,13 @@ def segments_by_interval(spark, sf_dir):
     return plain_segments(planning.segments_by_interval(changes_of(spark, sf_dir), "1 hour"))
 
 
+@query
+def segments_joint(spark, sf_dir):
+    changes = decode(two_slots(event_messages(spark, sf_dir)))
+    segments = cuts.segments_joint(changes, JOINT_SIZE, f"{JOINT_HOURS} hours")
+    return segments.select("slot", "start_idx", "end_idx", "done", "last_lsn", micros("cut_at"), "cut_by")
+
+
 @query
 def day_runs(spark, sf_dir):
     runs = planning.day_runs(changes_of(spark, sf_dir), SEGMENT_SIZE)
@@ -350,6 +359,18 @@ def contiguous_prefix(spark, sf_dir):
     return progress.contiguous_prefix(synth.segment_ledger(spark, sf_dir))
 
 
+@query
+def folded_prefix(spark, sf_dir):
+    ledger = scratch_dir(spark, "folded-ledger")
+    segments = synth.segment_ledger(spark, sf_dir)
+    late = F.col("start_idx") >= 1000
+    write_segments(segments.filter(~late), ledger, 0)
+    progress.fold_ledger(spark, ledger)
+    write_segments(segments.filter(late), ledger, 1)
+    progress.fold_ledger(spark, ledger)
+    return progress.contiguous_prefix(read_segments(spark, ledger))
+
+
 @query
 def acked_position(spark, sf_dir):
     return progress.acked_position(synth.segment_ledger(spark, sf_dir).filter("done"), "last_lsn")
@@ -524,18 +545,22 @@ def image_widths(spark, sf_dir):
 CUTS = (1000, 3000)
 
 
-def streamed_lake(spark: SparkSession, sf_dir: str) -> str:
+#: Cuts inside a bulk load, inside the first transaction that is replayed, and inside a replayed bulk load.
+REPLAY_CUTS = (1393, 3857, 3953)
+
+
+def streamed_lake(spark: SparkSession, sf_dir: str, cuts: tuple[int, ...] = CUTS, **options) -> str:
     """A lake filled by a stream that is stopped and resumed; returns its root."""
     work = scratch_dir(spark, "stream")
     landing, root, checkpoint = f"{work}/landing", f"{work}/lake", f"{work}/checkpoint"
     messages = event_messages(spark, sf_dir)
-    bounds = (-1, *CUTS, None)
+    bounds = (-1, *cuts, None)
     for low, high in zip(bounds, bounds[1:]):
         part = messages.filter(F.col("seq") > low)
         if high is not None:
             part = part.filter(F.col("seq") <= high)
         part.write.mode("append").parquet(landing)
-        drain(stream_messages(spark, landing), root, checkpoint, NAMESPACE)
+        drain(stream_messages(spark, landing), root, checkpoint, NAMESPACE, **options)
     return root
 
 
@@ -544,6 +569,12 @@ def stream_parity(spark, sf_dir):
     return stored(lake.read_changes(spark, streamed_lake(spark, sf_dir), NAMESPACE))
 
 
+@query
+def stream_dedup(spark, sf_dir):
+    root = streamed_lake(spark, sf_dir, REPLAY_CUTS, dedup=True, predicates=())
+    return lake.read_changes(spark, root, NAMESPACE).select("slot", "session", "seq", "lsn", "operation")
+
+
 @query
 def record_progress(spark, sf_dir):
     ledger = ledger_path(streamed_lake(spark, sf_dir), NAMESPACE)

@@ -5,6 +5,8 @@ between batches, one folder per batch so that a repeated batch reads the same:
 
 * the *carry*: the relation messages of the live session, the last begin message
   and the counters of each slot, from which the next batch goes on;
+* with ``dedup``, a row per session that says which changes have come, and the
+  changes of which that is not known yet (:mod:`cdclake.operators.replays`);
 * the segment and progress ledgers, recorded once the batch is durable;
 * Spark's own checkpoint, which decides what the next batch is.
 
@@ -25,8 +27,9 @@ from pyspark.sql.streaming import StreamingQuery
 from cdclake.functions.images import DEFAULT_TYPES, TypeRegistry
 from cdclake.operators.decode import decode, event_lsn, is_event
 from cdclake.operators.filters import filter_changes, not_commit
+from cdclake.operators.replays import SESSIONS, remove_replays
 from cdclake.operators.scan import CHUNK_BITS
-from cdclake.schema import MESSAGE, PROGRESS
+from cdclake.schema import CHANGE, MESSAGE, PROGRESS
 from cdclake.sources.files import delete, exists
 from cdclake.sources.lake import DEFAULT_NAMESPACE, MAX_RECORDS_PER_FILE, has_stream_batches, write_batch
 from cdclake.sources.ledger import read_progress, write_progress, write_segments
@@ -111,6 +114,21 @@ def _next_carry(batch: DataFrame, carry: DataFrame) -> DataFrame:
     )
 
 
+def _without_replays(changes: DataFrame, folder: str, batch_id: int, chunk_bits: int) -> DataFrame:
+    """The new changes of a batch; what is remembered of the sessions after it is written beside that of the batch before."""
+    spark = changes.sparkSession
+
+    def before(name: str, schema: T.StructType) -> DataFrame:
+        if batch_id == 0:
+            return spark.createDataFrame([], schema)
+        return spark.read.schema(schema).parquet(f"{folder}/batch={batch_id - 1}/{name}")
+
+    kept, sessions, held = remove_replays(changes, before("sessions", SESSIONS), before("held", CHANGE), chunk_bits)
+    for name, rows in (("sessions", sessions), ("held", held)):
+        rows.write.mode("overwrite").parquet(f"{folder}/batch={batch_id}/{name}")
+    return kept
+
+
 def stream_changes(
     messages: DataFrame,
     root: str,
@@ -122,19 +140,22 @@ def stream_changes(
     sink: Sink | None = None,
     max_records_per_file: int = MAX_RECORDS_PER_FILE,
     chunk_bits: int = CHUNK_BITS,
+    dedup: bool = False,
 ) -> StreamingQuery:
     """Start writing a stream of messages to the lake, one batch per interval.
 
     Without ``flush_interval`` the query takes in all that has landed and stops
     (a drain).  ``predicates`` decide what is stored (commit markers are dropped
     by default); positions advance over everything, also when nothing is stored.
-    ``sink`` replaces the lake write.
+    ``sink`` replaces the lake write.  With ``dedup`` a reconnect's replays are not
+    stored; it must be set, or not, for the whole life of a checkpoint.  Changes whose
+    transaction may have been stored before wait in the checkpoint until its commit comes.
 
     Messages must arrive in ``seq`` order per slot; a batch that starts at or
     below the last ``seq`` of the batches before is an error.
     """
     spark = messages.sparkSession
-    carries = f"{checkpoint}/carry"
+    carries, replays = f"{checkpoint}/carry", f"{checkpoint}/replays"
     ledger = ledger_path(root, namespace)
     chosen = (not_commit(),) if predicates is None else tuple(predicates)
 
@@ -175,8 +196,11 @@ def stream_changes(
         write_progress(waiting, ledger, batch_id)
 
         known = carry.filter("kind IN ('R', 'B')")
-        changes = filter_changes(decode(batch, registry, known, chunk_bits), *chosen)
-        (sink or to_lake)(changes, batch_id)
+        changes = decode(batch, registry, known, chunk_bits)
+        if dedup:
+            _require_replays(session, replays, batch_id)
+            changes = _without_replays(changes, replays, batch_id, chunk_bits)
+        (sink or to_lake)(filter_changes(changes, *chosen), batch_id)
 
         recorded = F.lit(dt.datetime.now(dt.timezone.utc))
         segments = counters.filter(F.col("end_idx") > F.col("start_idx")).select(
@@ -192,6 +216,8 @@ def stream_changes(
         write_progress(waiting.unionByName(sample(recorded, "end_idx", F.lit(None))), ledger, batch_id)
         # This batch starts from the carry before it; older ones are never read again.
         delete(session, f"{carries}/batch={batch_id - 2}")
+        if dedup:
+            delete(session, f"{replays}/batch={batch_id - 2}")
 
     writer = messages.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     if flush_interval is None:
@@ -216,6 +242,11 @@ def _refuse_foreign_lake(spark: SparkSession, root: str, namespace: str, own_car
         raise ValueError(f"{root}/{namespace} has batches of a stream already; go on with the checkpoint they were written with")
 
 
+def _require_replays(spark: SparkSession, folder: str, batch_id: int) -> None:
+    if batch_id > 0 and not exists(spark, f"{folder}/batch={batch_id - 1}/held"):
+        raise ValueError("the batches before were stored with their replays; remove these on reading, or start a new checkpoint")
+
+
 def query_progress(query: StreamingQuery, spark: SparkSession, ledger: str) -> DataFrame:
     """Newest recorded progress per slot, with the live state of ``query``.
 

@@ -63,7 +63,8 @@ def remove_replays(
     was stored before is not known.  Sessions must be numbered in order of arrival.
     """
     rows = changes.unionByName(held.select(*changes.columns))
-    scanned = _transactions_of_rows(rows, chunk_bits)
+    # Narrow rows, written once: they are read again where a transaction is cut in two.
+    scanned = materialized(_transactions_of_rows(rows, chunk_bits), "positions")
     txns = (
         scanned.groupBy(*_SESSION, "txn")
         .agg(
@@ -78,9 +79,10 @@ def remove_replays(
     begun = _with_begin(txns, after)
     elsewhere = materialized(_completed_elsewhere(begun, after), "completed")
     judged = materialized(_judged(begun, after, elsewhere), "judged")
-    ranges = materialized(_ranges(judged, scanned, chunk_bits), "ranges")
-    kept = _outside(rows, ranges, chunk_bits, "left_anti")
-    waiting = _outside(rows, ranges.filter("hold"), chunk_bits, "left_semi")
+    ranges = materialized(_ranges(judged, scanned), "ranges")
+    known = ranges.agg(F.count("*").alias("all"), F.count_if("hold").alias("held")).first()
+    kept = _outside(rows, ranges, known["all"], chunk_bits, "left_anti") if known["all"] else rows
+    waiting = _outside(rows, ranges.filter("hold"), known["held"], chunk_bits, "left_semi") if known["held"] else held.limit(0)
     return kept.select(*changes.columns), _folded(after, judged, elsewhere), waiting.select(*changes.columns)
 
 
@@ -209,7 +211,7 @@ def _judged(begun: DataFrame, after: DataFrame, elsewhere: DataFrame) -> DataFra
     )
 
 
-def _ranges(judged: DataFrame, scanned: DataFrame, chunk_bits: int) -> DataFrame:
+def _ranges(judged: DataFrame, scanned: DataFrame) -> DataFrame:
     """Arrival numbers ``low`` to ``high`` of a slot whose rows are not new, or are held.
 
     Replayed transactions whose commits lie in one interval stand together in their
@@ -232,11 +234,11 @@ def _ranges(judged: DataFrame, scanned: DataFrame, chunk_bits: int) -> DataFrame
     return out
 
 
-def _outside(rows: DataFrame, ranges: DataFrame, chunk_bits: int, how: str) -> DataFrame:
+def _outside(rows: DataFrame, ranges: DataFrame, number: int, chunk_bits: int, how: str) -> DataFrame:
     """Rows outside (``left_anti``) or inside (``left_semi``) of the ranges of their slot."""
     r = ranges.select(F.col("slot").alias("__slot"), "low", "high")
     inside = [rows["slot"] == F.col("__slot"), rows["seq"].between(F.col("low"), F.col("high"))]
-    if ranges.count() <= BROADCAST_RANGES:
+    if number <= BROADCAST_RANGES:
         return rows.join(F.broadcast(r), reduce(Column.__and__, inside), how)
     pieces = r.withColumn("__chunk", F.explode(F.sequence(chunk_of(F.col("low"), chunk_bits), chunk_of(F.col("high"), chunk_bits))))
     return rows.join(pieces, reduce(Column.__and__, [*inside, chunk_of(rows["seq"], chunk_bits) == F.col("__chunk")]), how)

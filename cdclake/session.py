@@ -5,7 +5,10 @@ from __future__ import annotations
 import atexit
 import shutil
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,6 +34,9 @@ def local_session(cores: int | str = 8, memory: str = "8g", **settings: str) ->
 #: Folders that this process has named for intermediate tables.
 _NAMED: list[str] = []
 
+#: Of these, those that the work of this thread has named since it asked for their removal.
+_OWN = threading.local()
+
 
 @cache
 def _local_root() -> str:
@@ -55,9 +61,24 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
         root = _local_root()
     path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
     _NAMED.append(path)
+    if (own := getattr(_OWN, "names", None)) is not None:
+        own.append(path)
     return path
 
 
+@contextmanager
+def passing_scratch(spark: SparkSession) -> Iterator[None]:
+    """Remove the intermediate tables that this thread writes inside, at the end; for work that goes on for ever."""
+    before, _OWN.names = getattr(_OWN, "names", None), []
+    try:
+        yield
+    finally:
+        for path in _OWN.names:
+            delete(spark, path)
+            _NAMED.remove(path)
+        _OWN.names = before
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Remove the intermediate tables of all jobs of this process so far.
 

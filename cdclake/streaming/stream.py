@@ -30,6 +30,7 @@ from cdclake.operators.filters import filter_changes, not_commit
 from cdclake.operators.replays import SESSIONS, remove_replays
 from cdclake.operators.scan import CHUNK_BITS
 from cdclake.schema import CHANGE, MESSAGE, PROGRESS
+from cdclake.session import passing_scratch
 from cdclake.sources.files import delete, exists
 from cdclake.sources.lake import DEFAULT_NAMESPACE, MAX_RECORDS_PER_FILE, has_stream_batches, write_batch
 from cdclake.sources.ledger import read_progress, write_progress, write_segments
@@ -196,11 +197,12 @@ def stream_changes(
         write_progress(waiting, ledger, batch_id)
 
         known = carry.filter("kind IN ('R', 'B')")
-        changes = decode(batch, registry, known, chunk_bits)
-        if dedup:
-            _require_replays(session, replays, batch_id)
-            changes = _without_replays(changes, replays, batch_id, chunk_bits)
-        (sink or to_lake)(filter_changes(changes, *chosen), batch_id)
+        with passing_scratch(session):
+            changes = decode(batch, registry, known, chunk_bits)
+            if dedup:
+                _require_replays(session, replays, batch_id)
+                changes = _without_replays(changes, replays, batch_id, chunk_bits)
+            (sink or to_lake)(filter_changes(changes, *chosen), batch_id)
 
         recorded = F.lit(dt.datetime.now(dt.timezone.utc))
         segments = counters.filter(F.col("end_idx") > F.col("start_idx")).select(

@@ -208,3 +208,26 @@ def test_bad_interval_is_an_error(spark, work):
     work.land(history.random_history(10, txns=3))
     with pytest.raises(Exception, match="(?i)interval"):
         stream_changes(stream_messages(spark, work.landing), work.root, work.checkpoint, flush_interval="soon")
+
+
+def test_a_stream_without_replays_equals_the_batch_and_leaves_no_scratch(spark, work):
+    from cdclake import session
+
+    messages = sorted(history.random_history(11, slots=2, txns=14), key=lambda m: m[SEQ])
+    named = list(session._NAMED)
+    third = len(messages) // 3
+    for part in (messages[:third], messages[third:]):
+        work.land(part)
+        work.drain(dedup=True, predicates=())
+    expected = reconcile.dedup_replays(decode(history.frame(spark, messages)))
+    assert {(r.slot, r.seq) for r in work.lake().select("slot", "seq").collect()} == {(r.slot, r.seq) for r in expected.select("slot", "seq").collect()}
+    assert [n for n in session._NAMED if n not in named and "positions" in n] == []
+
+
+def test_a_stream_can_not_begin_to_remove_replays_midway(work):
+    messages = sorted(history.random_history(12, txns=6), key=lambda m: m[SEQ])
+    work.land(messages[:10])
+    work.drain()
+    work.land(messages[10:])
+    with pytest.raises(Exception, match="stored with their replays"):
+        work.drain(dedup=True)

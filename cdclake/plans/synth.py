@@ -73,14 +73,14 @@ def column_list(columns) -> Column:
     )
 
 
-def message(**fields: Column) -> Column:
+def fields(**given: Column) -> list[Column]:
+    """The columns of a message; those that are not given are null."""
+    return [(given[f.name] if f.name in given else F.lit(None)).cast(f.dataType).alias(f.name) for f in MESSAGE.fields]
+
+
+def message(**given: Column) -> Column:
     """A message struct; fields that are not given are null."""
-    return F.struct(
-        *[
-            (fields[f.name] if f.name in fields else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in MESSAGE.fields
-        ]
-    )
+    return F.struct(*fields(**given))
 
 
 def _event_cells() -> dict[str, Column]:
@@ -117,20 +117,26 @@ def event_messages(spark: SparkSession, sf_dir: str, leak: bool = False) -> Data
     """The ``events`` table as landed messages.
 
     ``leak`` also lands what was rolled back, a fault the checks must find.
+
+    Rows come straight from the events, without a shuffle; the messages around them
+    come from a row per transaction.
     """
     e = F.col("event_id")
     txn = F.floor(e / ROWS_PER_TXN).cast("bigint")
     events = table(spark, sf_dir, "events").withColumn("txn", txn)
     per_txn = events.groupBy("txn").agg(
-        F.max("ts").alias("commit_ts"), F.min("ts").alias("begin_ts"), F.max("event_id").alias("last_event")
+        F.max("ts").alias("commit_ts"),
+        F.min("ts").alias("begin_ts"),
+        F.max("event_id").alias("last_event"),
+        F.min_by("user_id", "event_id").alias("first_user"),
+        (F.min("event_id") % ROWS_PER_TXN == 0).alias("begins"),
     )
     home = F.floor(F.col("txn") / TXNS_PER_SESSION).cast("bigint")
     replayed = F.col("txn") % TXNS_PER_SESSION >= TXNS_PER_SESSION - REPLAYED_TXNS
-    sent = (
-        events.join(per_txn, "txn")
-        .withColumn("session", F.explode(F.when(replayed, F.array(home, home + 1)).otherwise(F.array(home))))
-        .withColumn("at", F.col("txn") - TXNS_PER_SESSION * F.col("session"))
-    )
+
+    def sent(rows: DataFrame) -> DataFrame:
+        sessions = F.explode(F.when(replayed, F.array(home, home + 1)).otherwise(F.array(home)))
+        return rows.withColumn("session", sessions).withColumn("at", F.col("txn") - TXNS_PER_SESSION * F.col("session"))
 
     session, at = F.col("session"), F.col("at")
     base = (session * (TXNS_PER_SESSION + REPLAYED_TXNS) + at + REPLAYED_TXNS) * SEQ_PER_TXN
@@ -142,76 +148,78 @@ def event_messages(spark: SparkSession, sf_dir: str, leak: bool = False) -> Data
     def lsn(event: Column) -> Column:
         return F.lit(16777216) + event * 120
 
-    first, last = e % ROWS_PER_TXN == 0, e == F.col("last_event")
-    relation_id = F.lit(FIRST_RELATION) + F.col("user_id") % RELATIONS
-    row_lsn = F.when(F.col("txn") % 10 == 3, lsn(F.col("txn") * ROWS_PER_TXN)).otherwise(lsn(e))
-    commit_time = utc_timestamp(F.col("commit_ts"))
+    def relation(user: str) -> Column:
+        return F.lit(FIRST_RELATION) + F.col(user) % RELATIONS
+
+    landed = F.lit(True) if leak else ~rolled_back()
     common = {"slot": F.lit(SLOT), "session": session}
 
+    # The cells are a column of their own, so that they are made once a row.
     cells = _event_cells()
     names = [n for n, _ in EVENT_COLUMNS]
     null_cell = cell(F.lit("n"))
-    extra = F.when(relation_id == EXTRA_RELATION, F.array(cells["extra"])).otherwise(
-        F.array().cast(MESSAGE["new_tuple"].dataType)
+    full, note_at = F.col("full"), names.index("note")
+    with_note = F.concat(
+        F.transform(F.array(*[cells[n]["text"] for n in names[:note_at]]), text_cell),
+        F.array(cells["note"]),
+        F.transform(
+            F.when(relation("user_id") == EXTRA_RELATION, F.array(cells["extra"]["text"])).otherwise(F.array().cast("array<string>")),
+            text_cell,
+        ),
     )
-    full = F.concat(F.array(*[cells[n] for n in names]), extra)
-    old_full = F.concat(F.array(*[cells[n] if n != "note" else null_cell for n in names]), extra)
-    old_key = F.array(cells["id"], *[null_cell for _ in names[1:]])
+    old_full = F.concat(F.slice(full, 1, note_at), F.array(null_cell), F.slice(full, note_at + 2, 1))
+    old_key = F.concat(F.slice(full, 1, 1), F.array_repeat(null_cell, len(names) - 1))
     kind_of = F.col("event_type")
     kind = F.when(kind_of.isin("signup", "purchase"), "I").when(kind_of == "error", "D").otherwise("U")
     old_type = F.when(kind_of == "click", "K").when(kind_of.isin("view", "error"), "O")
 
-    row = message(
-        **common,
-        seq=base + 16 + e % ROWS_PER_TXN,
-        wal_start=row_lsn,
-        kind=kind,
-        relation_id=relation_id,
-        old_type=old_type,
-        old_tuple=F.when(old_type == "K", old_key).when(old_type == "O", old_full),
-        new_tuple=F.when(kind != "D", full),
-        received_at=received("ts"),
-    )
-    begin = message(
-        **common,
-        seq=base,
-        wal_start=row_lsn,
-        kind=F.lit("B"),
-        xid=F.col("txn"),
-        commit_time=commit_time,
-        received_at=received("begin_ts"),
+    rows = sent(events.filter(landed).withColumn("full", with_note)).select(
+        *fields(
+            **common,
+            seq=base + 16 + e % ROWS_PER_TXN,
+            wal_start=F.when(F.col("txn") % 10 == 3, lsn(F.col("txn") * ROWS_PER_TXN)).otherwise(lsn(e)),
+            kind=kind,
+            relation_id=relation("user_id"),
+            old_type=old_type,
+            old_tuple=F.when(old_type == "K", old_key).when(old_type == "O", old_full),
+            new_tuple=F.when(kind != "D", full),
+            received_at=received("ts"),
+        )
     )
-    commit = message(
-        **common,
-        seq=base + SEQ_PER_TXN - 1,
-        wal_start=lsn(F.col("last_event")),
-        kind=F.lit("C"),
-        commit_time=commit_time,
-        end_lsn=lsn(F.col("last_event") + 1),
-        received_at=received("commit_ts"),
+
+    transactions, commit_time = sent(per_txn), utc_timestamp(F.col("commit_ts"))
+    first_lsn = lsn(F.col("txn") * ROWS_PER_TXN)
+    around = transactions.filter(landed)
+    begins = around.filter(F.col("begins") & (F.col("txn") > 0)).select(
+        *fields(
+            **common,
+            seq=base,
+            wal_start=first_lsn,
+            kind=F.lit("B"),
+            xid=F.col("txn"),
+            commit_time=commit_time,
+            received_at=received("begin_ts"),
+        )
     )
-    other = message(
-        **common,
-        seq=base + 14,
-        wal_start=row_lsn,
-        kind=F.when(F.col("txn") % 50 == 7, "T").otherwise("Y"),
-        relation_id=relation_id,
-        received_at=received("begin_ts"),
+    commits = around.select(
+        *fields(
+            **common,
+            seq=base + SEQ_PER_TXN - 1,
+            wal_start=lsn(F.col("last_event")),
+            kind=F.lit("C"),
+            commit_time=commit_time,
+            end_lsn=lsn(F.col("last_event") + 1),
+            received_at=received("commit_ts"),
+        )
     )
-
-    none = F.array().cast(T.ArrayType(MESSAGE))
-
-    def only(condition: Column, m: Column) -> Column:
-        return F.when(condition, F.array(m)).otherwise(none)
-
-    transactions = sent.filter(F.lit(True) if leak else ~rolled_back()).select(
-        F.inline(
-            F.concat(
-                only(first & (F.col("txn") > 0), begin),
-                only(first & (F.col("txn") % 50).isin(7, 9), other),
-                F.array(row),
-                only(last, commit),
-            )
+    others = around.filter(F.col("begins") & (F.col("txn") % 50).isin(7, 9)).select(
+        *fields(
+            **common,
+            seq=base + 14,
+            wal_start=first_lsn,
+            kind=F.when(F.col("txn") % 50 == 7, "T").otherwise("Y"),
+            relation_id=relation("first_user"),
+            received_at=received("begin_ts"),
         )
     )
 
@@ -223,10 +231,10 @@ def event_messages(spark: SparkSession, sf_dir: str, leak: bool = False) -> Data
     )
     number_of = F.col("number")
     relations = (
-        sent.filter(first)
+        transactions.filter("begins")
         .withColumn("number", F.explode(number))
         .select(
-            message(
+            *fields(
                 **common,
                 seq=base + 1 + F.when(session_start, number_of).otherwise(0),
                 wal_start=F.lit(0),
@@ -238,11 +246,10 @@ def event_messages(spark: SparkSession, sf_dir: str, leak: bool = False) -> Data
                     column_list((*EVENT_COLUMNS, EXTRA_COLUMN))
                 ),
                 received_at=received("begin_ts"),
-            ).alias("m")
+            )
         )
-        .select("m.*")
     )
-    return transactions.unionByName(relations)
+    return rows.unionByName(begins).unionByName(commits).unionByName(others).unionByName(relations)
 
 
 #: Columns of the bulk-load relation built from ``lineitem``.

@@ -14,7 +14,7 @@ from cdclake.operators import cuts, metrics, planning, progress, reconcile
 from cdclake.operators.decode import decode, select_tables
 from cdclake.operators.filters import filter_changes, not_commit
 from cdclake.plans import synth
-from cdclake.session import scratch_dir
+from cdclake.session import materialized, scratch_dir
 from cdclake.sources import lake
 from cdclake.sources.ledger import read_segments, write_segments
 from cdclake.sources.messages import read_messages, stream_messages
@@ -427,8 +427,9 @@ KEY_FIELDS = {"id": T.LongType(), "event_type": T.StringType(), "value": T.Decim
 
 @query
 def missing_changes(spark, sf_dir):
-    # The lake lost every change of each 101st id.
-    lossy = reconcile.row_identity(rows_of(spark, sf_dir)).filter(F.coalesce(F.col("id") % 101 != 0, F.lit(True)))
+    # The lake lost every change of each 101st id.  It is stored: filters on images that are still to be
+    # made would make them anew for each condition.
+    lossy = reconcile.row_identity(materialized(rows_of(spark, sf_dir), "decoded")).filter(F.coalesce(F.col("id") % 101 != 0, F.lit(True)))
     # Of each 103rd inserted or updated id, the value expected is null and the one stored does not fit.
     overflowing = lossy.withColumn(
         "after", F.when(F.col("id") % 103 == 0, F.regexp_replace("after", r'"value":[0-9.]+', '"value":' + "7" * 40)).otherwise(F.col("after"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -23,6 +24,15 @@ _NUMBER = r'^"?(-?[0-9][-+.0-9eE]*|NaN|-?Infinity)"?$'
 _TOKEN = r'"[^"]*+"|[{}\[\],:]|[^"{}\[\],:\s]+'
 
 
+_TEXT = '"[^"]*+"'
+_BRACKET = r"[\[\]{}]"
+_NESTED = rf'({_TEXT})|[\[{{](?:[^"\[\]{{}}]++|{_TEXT})*+[\]}}]'
+
+#: Levels of nested values that are cut out of an image before its members are looked for, and the longest
+#: image to do so with: the pattern needs stack for every text in a nested value.
+_LEVELS, _LONGEST = 2, 4000
+
+
 def _unescaped_quotes(text):
     """Give escaped backslashes and quotes other characters, which cannot stand in JSON, so that a quote ends a string."""
     pairs = (("\\\\", "\x01\x01"), ('\\"', "\x01\x02"))
@@ -31,7 +41,7 @@ def _unescaped_quotes(text):
     return text
 
 
-def _member_text(image: Column, name: str) -> Column:
+def _member_by_tokens(image: Column, name: str) -> Column:
     """The value of a member of the image itself, as it stands there; null for nested values."""
     wanted = F.lit(_unescaped_quotes(json.dumps(name, ensure_ascii=False)))
     tokens = F.regexp_extract_all(_unescaped_quotes(image), F.lit(_TOKEN), F.lit(0))
@@ -52,6 +62,36 @@ def _member_text(image: Column, name: str) -> Column:
     return F.aggregate(tokens, start, step)["value"]
 
 
+def _member_text(image: Column, name: str) -> Column:
+    """The value of a member of the image itself, as it stands there; null or empty for nested values.
+
+    Nested values are cut out and the member is found by one expression; in long images
+    and where nesting is deeper, it is found token by token.
+    """
+    if not re.match(r"\w", name):  # could follow the end of a text
+        return _member_by_tokens(image, name)
+    wanted = "".join(c if c.isascii() and c.isalnum() else f"\\x{{{ord(c):x}}}" for c in _unescaped_quotes(json.dumps(name, ensure_ascii=False)))
+    pattern = rf'(?:\A|,)\s*{wanted}\s*:\s*({_TEXT}|[^"{{}}\[\],:\s]++)'
+    members = F.regexp_replace(_unescaped_quotes(image), r"\A\s*\{|\}\s*\z", "")
+    for _ in range(_LEVELS):
+        members = F.regexp_replace(members, _NESTED, "$1")
+
+    def found(own: Column) -> Column:
+        flat = (F.length(image) <= _LONGEST) & ~F.regexp_replace(own, _TEXT, "").rlike(_BRACKET)
+        return F.when(flat, F.regexp_extract(own, pattern, 1)).otherwise(_member_by_tokens(image, name))
+
+    # Bound to a variable: as an expression it would be worked out at each of its uses.
+    return F.get(F.transform(F.array(members), found), F.lit(0))
+
+
+#: With options given, all members come from one parse of the image; without, Spark parses it anew for each.
+_JSON_OPTIONS = {"mode": "PERMISSIVE"}
+
+
+def _parsed(image: Column, fields: Mapping[str, T.DataType]) -> Column:
+    return F.from_json(image, T.StructType([T.StructField(n, t) for n, t in fields.items()]), _JSON_OPTIONS)
+
+
 def expand_image(image: Column, fields: Mapping[str, T.DataType | str]) -> dict[str, Column]:
     """Typed columns of a row image, by field name.
 
@@ -60,13 +100,11 @@ def expand_image(image: Column, fields: Mapping[str, T.DataType | str]) -> dict[
     numbers, so ``EXACT`` takes the text out of the image instead.  Only members of
     the image itself are read, never those of JSON that is embedded in it.
     """
-    typed = {n: t for n, t in fields.items() if t != EXACT}
-    parsed = F.from_json(image, T.StructType([T.StructField(n, t) for n, t in typed.items()]))
+    parsed = _parsed(image, {n: t for n, t in fields.items() if t != EXACT})
     out = {}
     for name, kind in fields.items():
         if kind == EXACT:
-            number = F.regexp_extract(_member_text(image, name), _NUMBER, 1)
-            out[name] = F.when(number != "", number)
+            out[name] = F.get(F.regexp_extract_all(_member_text(image, name), F.lit(_NUMBER), F.lit(1)), F.lit(0))
         else:
             out[name] = parsed[name]
     return out
@@ -103,7 +141,7 @@ def missing_changes(
     """
     values = [n for n in fields if n != key]
     after = expand_image(F.col("after"), {n: fields[n] for n in values})
-    text = F.from_json(F.col("after"), T.StructType([T.StructField(n, T.StringType()) for n in values]))
+    text = _parsed(F.col("after"), dict.fromkeys(values, T.StringType()))
     unreadable = F.lit(False)
     for name in values:
         unreadable |= after[name].isNull() & text[name].isNotNull()

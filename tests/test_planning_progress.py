@@ -429,3 +429,19 @@ def test_folded_ledger_goes_on(spark, tmp_path, monkeypatch):
     assert progress.fold_ledger(spark, path) == 4
     assert state() == [("a", 300, 129, 129)] and ledgers.read_segments(spark, path).count() == 2
     assert progress.fold_ledger(spark, path) is None
+
+
+@pytest.mark.parametrize(
+    "image",
+    [
+        '{"p":"{\\"k\\": 76}","a":1.50,"v":[[1]]}',
+        '{"p":"x{","q":[{"a":1,"t":"]}"},"{"],"a":1.50}',
+        '{"p":{"b":{"c":{"a":9}}},"a":1.50}',
+        '{"p":[' + ",".join(['""'] * 1500) + '],"a":1.50}',
+        '{"p":" ,\\"a\\":1","a":1.50}',
+    ],
+)
+def test_both_ways_to_an_exact_number_agree(spark, image):
+    df = spark.createDataFrame([(image,)], "i string")
+    tokens = reconcile._member_by_tokens(F.col("i"), "a")
+    assert tuple(df.select(reconcile._member_text(F.col("i"), "a"), tokens).first()) == ("1.50", "1.50")

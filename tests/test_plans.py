@@ -7,9 +7,11 @@ from cdclake.operators import planning, progress, reconcile
 from cdclake.operators.decode import decode
 from cdclake.operators.filters import filter_changes, not_commit
 from cdclake.operators.metrics import event_counts
+from cdclake.plans import synth
+from cdclake.plans.queries import QUERIES
 from cdclake.schema import CHANGE, SEGMENT
 from cdclake.sources.messages import read_messages
-from tests import history
+from tests import history, oracle
 
 
 @pytest.fixture(autouse=True)
@@ -121,3 +123,11 @@ def test_wide_rows_are_shuffled_once(spark, messages, joins_shuffle):
     assert wide_shuffles(progress.safe_restart(messages, 5), "new_tuple") == 1
     stored = spark.createDataFrame([], CHANGE)
     assert wide_shuffles(reconcile.dedup_replays(stored), "after") == 1
+
+
+def test_rows_land_without_a_shuffle(spark, joins_shuffle):
+    assert wide_shuffles(synth.event_messages(spark, str(oracle.DATA)), "props") == 0
+
+
+def test_missing_changes_makes_images_once(spark):
+    assert "new_tuple" not in plan(QUERIES["missing_changes"](spark, str(oracle.DATA)))

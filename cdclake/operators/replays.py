@@ -47,6 +47,9 @@ ALL = 1 << 62
 #: Ranges that may be broadcast, 48 bytes each; more are joined by chunks of arrival numbers.
 BROADCAST_RANGES = 20_000
 
+#: Log positions per chunk where commits are ordered by them, as a power of two (twice as many as bytes of log).
+POSITION_BITS = 24
+
 _SESSION = ["slot", "session"]
 
 
@@ -152,62 +155,118 @@ def _completed_elsewhere(begun: DataFrame, after: DataFrame) -> DataFrame:
     return both.groupBy(*_SESSION).agg(F.min("commit_lsn").alias("else_commit"), F.min("by").alias("closed_by"), F.max("by").alias("last_by"))
 
 
+def _first_cover(points: DataFrame, intervals: DataFrame, name: str) -> DataFrame:
+    """``points`` (``slot, at``, each once) with ``name``: the first session that has an interval ``low`` to ``high`` around it.
+
+    An interval is a few blocks of 2^k positions, and a point lies in one block of
+    each size, so equal blocks meet and no point is compared with every interval.
+    """
+    def halved(value: Column) -> Column:
+        return F.call_function("shiftright", value, F.col("__k"))
+
+    below = -halved(-F.col("low"))  # the first block of its size that begins in the interval
+    above = halved(F.col("high") + 1)  # the one after the last that ends in it
+    ends = F.array(
+        F.when((below < above) & (below % 2 != 0), below),
+        F.when((below < above) & (above % 2 != 0), above - 1),
+    )
+    sizes = F.explode(F.sequence(F.lit(0), F.lit(62))).alias("__k")
+    blocks = (
+        intervals.filter("low <= high")
+        .select("slot", "session", "low", "high", sizes)
+        .select("slot", "session", "__k", F.explode(F.filter(ends, F.isnotnull)).alias("__block"))
+        .groupBy("slot", "__k", "__block")
+        .agg(F.min("session").alias(name))
+    )
+    asked = points.select("slot", "at", sizes).withColumn("__block", halved(F.col("at")))
+    covered = asked.join(blocks, ["slot", "__k", "__block"]).groupBy("slot", "at").agg(F.min(name).alias(name))
+    return points.join(covered, ["slot", "at"], "left")
+
+
+def _replayed(txns: DataFrame, sent: DataFrame) -> DataFrame:
+    """Transactions (``slot, session, txn, commit``) whose commit lies in an earlier session's interval; ``spread`` is the first such session.
+
+    Which session is the first changes only where an interval begins or ends.  It is
+    found there, and carried on to the commits along the positions.
+    """
+    bounds = sent.select("slot", F.explode(F.array(F.col("low"), F.col("high") + 1)).alias("at")).distinct()
+    steps = _first_cover(bounds, sent, "spread").select(
+        "slot", (F.col("at") * 2).alias("at"), F.coalesce("spread", F.lit(ALL)).alias("spread")
+    )
+    placed = txns.select(*_SESSION, "txn", (F.col("commit") * 2 + 1).alias("at"))
+    both = placed.unionByName(steps, allowMissingColumns=True)
+    found = ordered_scan(both, ["slot"], "at", {"first": Running("last", F.col("spread"))}, POSITION_BITS)
+    return found.filter("session > first").select(*_SESSION, "txn", F.col("first").alias("spread"))
+
+
+def _sent_before(begun: DataFrame, known: DataFrame) -> DataFrame:
+    """Of transactions that an earlier session has open: the rows it has ``sent_before``, and whether these are ``sure`` to be stored."""
+    parts = known.filter("open_lsn IS NOT NULL").select(
+        *_SESSION,
+        F.col("open_lsn").alias("begin_lsn"),
+        F.when(F.col("open_drop") == ALL, F.lit(ALL)).otherwise(F.col("open_rows")).alias("rows"),
+        F.col("open_drop").isNotNull().alias("certain"),
+        "closed_by",
+    )
+    asked = begun.select(*_SESSION, "txn", "begin_lsn").join(parts.select("slot", "begin_lsn").distinct(), ["slot", "begin_lsn"], "left_semi")
+    same = Window.partitionBy("slot", "begin_lsn")
+    earlier = same.orderBy("session").rangeBetween(Window.unboundedPreceding, -1)
+    found = asked.unionByName(parts, allowMissingColumns=True).select(
+        *_SESSION,
+        "txn",
+        F.max("rows").over(earlier).alias("sent_before"),
+        F.bool_and("certain").over(earlier).alias("sure"),
+        F.min("closed_by").over(same).alias("closed_by"),
+    )
+    still_open = F.col("closed_by").isNull() | (F.col("closed_by") >= F.col("session"))
+    return found.filter(F.col("txn").isNotNull() & F.col("sent_before").isNotNull() & still_open).drop("closed_by")
+
+
 def _judged(begun: DataFrame, after: DataFrame, elsewhere: DataFrame) -> DataFrame:
     """Transactions with ``drop``: how many of their first rows are replays; null where that is not known yet.
 
-    ``spread`` names the interval of commits that a whole replayed one lies in.
+    ``spread`` names the interval of commits that a whole replayed one lies in, by its session.
     """
     known = after.join(elsewhere, _SESSION, "left")
-    earlier = known.select(
-        "slot",
-        F.col("session").alias("other"),
-        F.when(F.col("first_commit").isNotNull(), F.struct(F.col("first_commit").alias("first"), F.col("last_commit").alias("last"))).alias("sent"),
-        F.when(
-            F.col("open_lsn").isNotNull(),
-            F.struct(
-                F.col("open_lsn").alias("lsn"),
-                F.when(F.col("open_drop") == ALL, F.lit(ALL)).otherwise(F.col("open_rows")).alias("rows"),
-                F.col("open_drop").isNotNull().alias("sure"),
-            ),
-        ).alias("part"),
-        F.col("closed_by").alias("other_closed_by"),
-    )
-    current = known.filter("here").select(*_SESSION, F.col("last_commit").alias("c_prev"), "else_commit")
-    pairs = current.alias("c").join(earlier.alias("e"), (F.col("c.slot") == F.col("e.slot")) & (F.col("e.other") < F.col("c.session")), "left")
-    still_open = F.col("other_closed_by").isNull() | (F.col("other_closed_by") >= F.col("c.session"))
-    # Sessions are reconnects, and those of the past are folded: the lists are short.
-    facts = pairs.groupBy("c.slot", "c.session").agg(
-        F.first("c_prev").alias("c_prev"),
-        F.first("else_commit").alias("else_commit"),
-        F.collect_list("sent").alias("seen"),
-        F.collect_list(F.when(still_open, F.col("part"))).alias("parts"),
-    )
+    sent = known.filter("first_commit IS NOT NULL").select(*_SESSION, F.col("first_commit").alias("low"), F.col("last_commit").alias("high"))
+    before = Window.partitionBy("slot").orderBy("session").rowsBetween(Window.unboundedPreceding, -1)
+    facts = known.select(
+        *_SESSION,
+        "here",
+        "else_commit",
+        F.col("last_commit").alias("at"),
+        F.max("last_commit").over(before).alias("last_seen"),
+        F.max("first_commit").over(before).alias("last_first"),
+    ).filter("here")
+    # Only an open transaction asks whether the commit before it lies inside of an earlier session's.
+    asked = facts.filter("at IS NOT NULL").select("slot", "at").distinct()
+    around = _first_cover(asked, sent.withColumn("high", F.col("high") - 1), "around")
+    facts = facts.join(around, ["slot", "at"], "left").withColumnRenamed("at", "c_prev")
 
     open_here = F.col("commit_lsn").isNull()
     commit = F.when(open_here, F.col("else_commit")).otherwise(F.col("commit_lsn"))
-    within = F.filter("seen", lambda s: (s["first"] <= commit) & (commit <= s["last"]))
-    mine = F.filter("parts", lambda p: p["lsn"] == F.col("begin_lsn"))
-    sent_before = F.coalesce(F.array_max(F.transform(mine, lambda p: p["rows"])), F.lit(0))
-    sure = F.size(mine) > 0
-    sure &= F.forall(mine, lambda p: p["sure"])
-    c_prev = F.col("c_prev")
-    last_seen = F.array_max(F.transform("seen", lambda s: s["last"]))
+    told = begun.join(facts, _SESSION).withColumn("commit", commit).transform(materialized, "told")
+    replayed = _replayed(told.filter("commit IS NOT NULL"), sent)
+    full = told.join(replayed, [*_SESSION, "txn"], "left").join(_sent_before(begun, known), [*_SESSION, "txn"], "left")
+
+    c_prev, last_seen = F.col("c_prev"), F.col("last_seen")
+    sent_before, sure = F.coalesce("sent_before", F.lit(0)), F.coalesce("sure", F.lit(False))
     open_drop = (
-        F.when((F.size("seen") == 0) | (F.col("begin_lsn") > last_seen), sent_before)
-        .when(F.exists("seen", lambda s: (s["first"] <= c_prev) & (c_prev < s["last"])), F.lit(ALL))
-        .when(c_prev.isNotNull() & ~F.exists("seen", lambda s: s["first"] > c_prev), sent_before)
+        F.when(last_seen.isNull() | (F.col("begin_lsn") > last_seen), sent_before)
+        .when(F.col("around") < F.col("session"), F.lit(ALL))
+        .when(c_prev.isNotNull() & (F.col("last_first") <= c_prev), sent_before)
         .when(sure, sent_before)
     )
-    known_drop = F.when(F.size(within) > 0, F.lit(ALL)).otherwise(sent_before)
-    return begun.join(facts, _SESSION).select(
+    known_drop = F.when(F.col("spread").isNotNull(), F.lit(ALL)).otherwise(sent_before)
+    return full.select(
         *_SESSION,
         "txn",
         "last_seq",
         "n",
         open_here.alias("open"),
         F.coalesce("old_rows", F.lit(0)).alias("before"),
-        F.when(F.col("old_drop").isNotNull(), F.col("old_drop")).when(commit.isNotNull(), known_drop).otherwise(open_drop).alias("drop"),
-        F.when(~open_here & F.col("old_drop").isNull(), F.get(within, F.lit(0))["last"]).alias("spread"),
+        F.when(F.col("old_drop").isNotNull(), F.col("old_drop")).when(F.col("commit").isNotNull(), known_drop).otherwise(open_drop).alias("drop"),
+        F.when(~open_here & F.col("old_drop").isNull(), F.col("spread")).alias("spread"),
     )
 
 

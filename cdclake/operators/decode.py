@@ -18,6 +18,9 @@ OPERATIONS = {"I": "insert", "U": "update", "D": "delete", "C": "commit"}
 #: Message kinds that only update what later rows are decoded with.
 STATE_KINDS = ("R", "B")
 
+#: Messages that one task decodes, about.  It sorts them twice, at one or two KB each.
+TASK_MESSAGES = 50_000
+
 _CHUNK = "__chunk"
 
 
@@ -99,12 +102,17 @@ def decode(
     The messages are shuffled once, by slot and chunk of ``seq``; both scans, the
     images run inside those partitions.  What is in force where a chunk starts is found
     from a row per chunk, itself scanned by blocks of chunks; nothing is broadcast.
+    The messages are counted first: the number of partitions follows it, because one that
+    is fixed, or chosen by compressed size, lets the memory of a task grow with the input.
     """
     kept = messages.select(*MESSAGE.fieldNames()).filter(F.col("kind").isin(*OPERATIONS, *STATE_KINDS))
     if carry is not None:
         kept = kept.unionByName(carry.select(*MESSAGE.fieldNames()))
     kept = kept.withColumn(_CHUNK, chunk_of(F.col("seq"), chunk_bits))
     seeded = kept.unionByName(_seed_messages(kept, chunk_bits), allowMissingColumns=True)
+    tasks = -(-messages.count() // TASK_MESSAGES)
+    if tasks > 1:
+        seeded = seeded.repartition(tasks, "slot", _CHUNK)
 
     kind = F.col("kind")
     so_far = (Window.unboundedPreceding, 0)

@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from cdclake.operators import decode as decoding
 from cdclake.operators import planning, progress, reconcile
 from cdclake.operators.decode import decode
 from cdclake.operators.filters import filter_changes, not_commit
@@ -131,3 +132,13 @@ def test_rows_land_without_a_shuffle(spark, joins_shuffle):
 
 def test_missing_changes_makes_images_once(spark):
     assert "new_tuple" not in plan(QUERIES["missing_changes"](spark, str(oracle.DATA)))
+
+
+def test_partitions_of_decode_follow_the_messages(spark, messages, monkeypatch):
+    # A fixed number of them lets the memory of a task grow with the input.
+    rows = sorted(map(str, decode(messages).collect()))
+    monkeypatch.setattr(decoding, "TASK_MESSAGES", 5)
+    changes, tasks = decode(messages, chunk_bits=2), -(-messages.count() // 5)
+    assert tasks > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wide = [x for x in plan(changes).splitlines() if "Exchange hashpartitioning(slot" in x and "__chunk" in x and f", {tasks})" in x]
+    assert len(wide) == 1 and sorted(map(str, changes.collect())) == rows

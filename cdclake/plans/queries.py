@@ -283,10 +283,11 @@ def empty_batch(spark, sf_dir):
 
 @query
 def order_breaks(spark, sf_dir):
-    # A writer that keeps each 50th row back by 200 positions.
+    # A writer that keeps each 50th row back by 200 positions.  A day is one file, sorted by one
+    # task, so it has only the columns that order its rows.
     path = scratch_dir(spark, "disordered")
     late = F.col("seq") + F.when(F.col("seq") % 50 == 0, 200 * 32).otherwise(0)
-    rows = lake.to_lake_rows(rows_of(spark, sf_dir)).withColumn("written", late)
+    rows = lake.to_lake_rows(rows_of(spark, sf_dir)).select(*lake.FILE_ORDER, "commit_date", late.alias("written"))
     rows.repartition("commit_date").sortWithinPartitions("commit_date", "written").write.partitionBy("commit_date").parquet(path)
     found = reconcile.order_breaks(spark.read.parquet(path))
     return found.select("seq", "lsn", micros("timestamp"))

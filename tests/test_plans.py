@@ -142,3 +142,11 @@ def test_partitions_of_decode_follow_the_messages(spark, messages, monkeypatch):
     assert tasks > int(spark.conf.get("spark.sql.shuffle.partitions"))
     wide = [x for x in plan(changes).splitlines() if "Exchange hashpartitioning(slot" in x and "__chunk" in x and f", {tasks})" in x]
     assert len(wide) == 1 and sorted(map(str, changes.collect())) == rows
+
+
+def test_days_are_sorted_without_their_images(spark, monkeypatch):
+    # Each day is sorted by one task, whose memory grows with the day.
+    seen = []
+    monkeypatch.setattr(reconcile, "order_breaks", lambda rows: seen.append(rows.columns) or rows.limit(0))
+    QUERIES["order_breaks"](spark, str(oracle.DATA))
+    assert seen and not {"before", "after"} & set(seen[0])

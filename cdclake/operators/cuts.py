@@ -66,6 +66,17 @@ class Phases:
         self._assign(low, min(high, self.interval), m)
         self._assign(0, high - self.interval, m)
 
+    def copy(self) -> Phases:
+        same = Phases(self.interval)
+        same.starts, same.values = self.starts.copy(), self.values.copy()
+        return same
+
+    def before(self, end: int) -> Phases:
+        """Without the cuts at ``end`` or later."""
+        same = self.copy()
+        same.values = [None if m is None or m >= end else m for m in same.values]
+        return same
+
     def find(self, phase: int) -> int | None:
         return self.values[bisect_right(self.starts, phase) - 1]
 
@@ -80,15 +91,23 @@ class Stretch:
     def time(self, i: int) -> int:
         return self.times[i - self.first]
 
-    def next_cuts(self, low: int, high: int) -> dict[int, int | None]:
-        """For a cut at each event from ``low`` on the next cut by count before ``high``, or None."""
-        phases, found = Phases(self.interval), {}
+    def next_cuts(self, low: int, high: int, last: int, entry: int | None = None) -> tuple[dict[int, int | None], Phases]:
+        """For a cut at each event from ``low`` up to ``last`` the next cut by count before ``high``, or None.
+
+        Also the first cut from ``entry`` on, by the phase of the ticks before.
+        """
+        phases, found, times, first, n = Phases(self.interval), {}, self.times, self.first, self.n
+        entered = None
         for j in range(high - 1, low - 1, -1):
-            m = j + self.n
+            m = j + n
+            if entered is None and entry is not None and m < entry:
+                entered = phases.copy()
             if m < high:
-                phases.add(m, self.time(m), self.time(m) - self.time(m - self.n + 1))
-            found[j] = phases.find(self.time(j) % self.interval)
-        return found
+                time = times[m - first]
+                phases.add(m, time, time - times[j + 1 - first])
+            if j < last:
+                found[j] = phases.find(times[j - first] % self.interval)
+        return found, phases.copy() if entered is None else entered
 
     def by_phase(self, low: int, high: int) -> Phases:
         """The first cut by count from ``low`` to ``high - 1``, by the phase of the ticks before."""
@@ -127,14 +146,15 @@ def _bounds(chunk: int, bits: int, stretch: Stretch) -> tuple[int, int, int]:
 def _function_of(rows: pa.Table, chunk: int, n: int, interval: int, bits: int) -> dict:
     stretch = _stretch(rows, n, interval)
     low, end, far = _bounds(chunk, bits, stretch)
-    cuts = stretch.next_cuts(low, far)
-    phases = stretch.by_phase(low, end)
+    # One way back through the next chunk, this one and that before; of two cuts the earlier one counts, wherever it ends.
+    back = low if chunk == 0 else max(stretch.first, low - (1 << bits))
+    cuts, phases = stretch.next_cuts(back, far, end, low)
+    phases = phases.before(end)
     entered = {m for m in phases.values if m is not None}
     if chunk == 0:
         entered.add(0)
     else:
-        before = stretch.next_cuts(max(stretch.first, low - (1 << bits)), end)
-        entered |= {m for j, m in before.items() if j < low and m is not None and m >= low}
+        entered |= {m for j, m in cuts.items() if j < low and m is not None and low <= m < end}
     exits = {m: _exit(m, cuts, end, stretch.time, interval) for m in sorted(entered)}
     return {
         "nodes": list(exits), "exits": list(exits.values()),
@@ -208,7 +228,7 @@ def _cuts_of(rows: pa.Table, chunk: int, state: int, n: int, interval: int, bits
     """
     stretch = _stretch(rows, n, interval)
     low, end, far = _bounds(chunk, bits, stretch)
-    cuts = stretch.next_cuts(low, far)
+    cuts, _ = stretch.next_cuts(low, far, end)
     if state >= 0:
         node, phase, begin = state, 0, state
     else:

@@ -125,3 +125,12 @@ def test_nothing_and_bad_arguments(spark):
         cuts.segments_joint(none, 0, "1 second")
     with pytest.raises(ValueError):
         cuts.segments_joint(none, 5, "0 seconds")
+
+
+def test_a_chunk_is_gone_through_once(monkeypatch):
+    added, add = [], cuts.Phases.add
+    monkeypatch.setattr(cuts.Phases, "add", lambda self, *given: added.append(given) or add(self, *given))
+    events = range(16, 64)  # the chunk before, the chunk, and the next one
+    rows = pa.table({"idx": list(events), "at": [i * i for i in events]})
+    cuts._function_of(rows, 2, 3, 100, 4)
+    assert 0 < len(added) <= len(events)

@@ -43,13 +43,22 @@ def query(build: Query) -> Query:
 
 _LANDINGS: dict[tuple[str, str, str], str] = {}
 
+#: How messages are landed: texts of cells hardly repeat, so a dictionary of them is built in vain.
+LANDING_OPTIONS = {
+    "parquet.enable.dictionary": "false",
+    **{
+        f"parquet.enable.dictionary#{column}": "true"
+        for column in ("slot", "kind", "old_type", "old_tuple.list.element.kind", "new_tuple.list.element.kind")
+    },
+}
+
 
 def landed(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
     """Messages derived from a driver table, landed as Parquet once per application."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _LANDINGS:
         path = scratch_dir(spark, f"landing-{name}")
-        build().write.parquet(path)
+        build().write.options(**LANDING_OPTIONS).parquet(path)
         _LANDINGS[key] = path
     return read_messages(spark, _LANDINGS[key])
 
@@ -243,7 +252,7 @@ def batch_then_stream(spark, sf_dir):
     messages = event_messages(spark, sf_dir)
     early = filter_changes(decode(messages.filter("session = 0")), not_commit())
     lake.write_changes(early, f"{work}/lake", NAMESPACE, load=1)
-    messages.filter("session > 0").write.parquet(f"{work}/landing")
+    messages.filter("session > 0").write.options(**LANDING_OPTIONS).parquet(f"{work}/landing")
     drain(stream_messages(spark, f"{work}/landing"), f"{work}/lake", f"{work}/checkpoint", NAMESPACE)
     return stored(lake.read_changes(spark, f"{work}/lake", NAMESPACE))
 
@@ -259,9 +268,10 @@ def rerun_batch(spark, sf_dir):
 
 @query
 def compacted_days(spark, sf_dir):
-    # Two loads, of which the second holds part of the first again, are made one.
+    # Two loads, of which the second holds part of the first again, are made one.  What both are
+    # taken from is stored, so that it is decoded once.
     root = scratch_dir(spark, "compacted")
-    rows = rows_of(spark, sf_dir)
+    rows = materialized(rows_of(spark, sf_dir), "decoded")
     lake.write_changes(rows.filter("seq % 3 < 2"), root, NAMESPACE, load=1)
     lake.write_changes(rows.filter("seq % 3 > 0"), root, NAMESPACE, load=2)
     days = lake.read_changes(spark, root, NAMESPACE).agg(F.min("commit_date"), F.max("commit_date")).first()
@@ -274,7 +284,7 @@ def compacted_days(spark, sf_dir):
 def empty_batch(spark, sf_dir):
     # Nothing passes the filters: no row is stored, and the position advances over all.
     work = scratch_dir(spark, "empty-batch")
-    event_messages(spark, sf_dir).write.parquet(f"{work}/landing")
+    event_messages(spark, sf_dir).write.options(**LANDING_OPTIONS).parquet(f"{work}/landing")
     drain(stream_messages(spark, f"{work}/landing"), f"{work}/lake", f"{work}/checkpoint", NAMESPACE, predicates=[F.lit(False)])
     files = lake.stored_files(spark, f"{work}/lake", NAMESPACE)
     prefix = progress.contiguous_prefix(read_segments(spark, ledger_path(f"{work}/lake", NAMESPACE)))
@@ -561,7 +571,7 @@ def streamed_lake(spark: SparkSession, sf_dir: str, cuts: tuple[int, ...] = CUTS
         part = messages.filter(F.col("seq") > low)
         if high is not None:
             part = part.filter(F.col("seq") <= high)
-        part.write.mode("append").parquet(landing)
+        part.write.mode("append").options(**LANDING_OPTIONS).parquet(landing)
         drain(stream_messages(spark, landing), root, checkpoint, NAMESPACE, **options)
     return root
 

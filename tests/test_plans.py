@@ -150,3 +150,16 @@ def test_days_are_sorted_without_their_images(spark, monkeypatch):
     monkeypatch.setattr(reconcile, "order_breaks", lambda rows: seen.append(rows.columns) or rows.limit(0))
     QUERIES["order_breaks"](spark, str(oracle.DATA))
     assert seen and not {"before", "after"} & set(seen[0])
+
+
+def test_compacted_days_decodes_once(spark, monkeypatch):
+    class Written(Exception):
+        pass
+
+    def write(changes, *args, **options):
+        assert "new_tuple" not in plan(changes)
+        raise Written
+
+    monkeypatch.setattr("cdclake.sources.lake.write_changes", write)
+    with pytest.raises(Written):
+        QUERIES["compacted_days"](spark, str(oracle.DATA))

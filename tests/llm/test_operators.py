@@ -783,6 +783,72 @@ def test_no_training_text(spark):
     assert got == {1: (3, 0, 0), 2: (1, 0, 0)}
 
 
+def test_every_word_has_its_context(spark, monkeypatch):
+    monkeypatch.setattr(lm, "VOCABULARY", 2)
+    monkeypatch.setattr(lm, "COMMON_WORDS", 30)
+    rng = random.Random(21)
+    rows = []
+    for k in range(600):
+        side = rng.randrange(2)  # words outside the vocabulary, of one ending and frequency, keep to one of its words
+        rows.append((k, " ".join(f"{'ab'[side]} w{2 * rng.randrange(60) + side:03}xx" for _ in range(20))))
+    docs = documents(spark, rows)
+    model = lm.train(docs.filter("doc_id < 500"))
+    got = {r.doc_id: r for r in lm.score(docs, model, ["doc_id"]).collect()}
+    vectors = {r.word: r for r in model.words.collect()}
+    assert len(vectors) > 100 and model.least_common > min(r.n for r in vectors.values())  # common and joined ones
+    assert all(r.n == sum(w == r.word for k, t in rows if k < 500 for w in t.split()) for r in vectors.values())
+
+    # Word by word in plain Python; in every context the words of a class and the unseen one add up to 1.
+    symbols, table = model.symbols, model.network().log10_table()
+    classes = {w: int(lm.word_classes(pa.array([w]), symbols.classes)[0]) for w in {"unseen", *vectors}}
+    number = {"a": symbols.words.index("a"), "b": symbols.words.index("b")}
+
+    def weight(word, one):
+        r = vectors.get(word)
+        return (r.n + 1) * math.exp(sum(x * y for x, y in zip(r.vector, model.directions[one], strict=True))) if r else 1.0
+
+    for one in (*number.values(), symbols.begin):
+        for c in set(classes.values()):
+            assert model.norms[c, one] == pytest.approx(1 + sum(weight(w, one) for w in vectors if classes[w] == c))
+    for k, text in rows[::50]:
+        two, one, expected = symbols.begin, symbols.begin, 0.0
+        for w in [*text.split(), None]:
+            symbol = symbols.end if w is None else number[w] if w in number else symbols.rest + classes[w]
+            expected += table[(two * symbols.all + one) * symbols.targets + symbol]
+            if w and w not in number:
+                expected += math.log10(weight(w, one) / model.norms[classes[w], one])
+            two, one = one, symbol
+        assert got[k].score == pytest.approx(expected, abs=1e-4)
+
+    # Half of the words can follow "a" and half "b": knowing that is worth log10(2) for each of 10,000 / 20 words of a text.
+    counts = Counter(w for k, t in rows if k < 500 for w in t.split()[1::2])
+    for k, text in rows[500:]:
+        shares = sum(math.log10((counts[w] + 1) / (sum(counts.values()) + len(counts) + 1)) for w in text.split()[1::2])
+        signs = [symbols.begin, symbols.begin]
+        network = 0.0
+        for w in [*text.split(), None]:
+            symbol = symbols.end if w is None else number[w] if w in number else symbols.rest + classes[w]
+            network += table[(signs[-2] * symbols.all + signs[-1]) * symbols.targets + symbol]
+            signs.append(symbol)
+        assert got[k].score - network > shares + 20 * 0.25
+
+
+def test_words_after_one_word_differ_from_those_after_another():
+    directions = np.array([[1.0, 1.0], [1.0, -1.0]])
+    seen = np.array([[9, 0], [0, 9], [5, 5], [1, 0]])
+    vectors = lm.contrasted(seen, seen.sum(axis=1, keepdims=True) * np.array([[0.5, 0.5]]), directions)
+    assert vectors[0, 1] > vectors[3, 1] > 0.2 and vectors[1, 1] < -0.2 and abs(vectors[2, 1]) < 1e-6
+
+
+def test_classes_of_words():
+    texts = ["x", "axx", "bxx", "é", "\U0001f600", "xx", "xé"]
+    array = pa.array(["skip", *texts]).slice(1)
+    found = lm.word_classes(array, 64)
+    assert found[1] == found[2] == found[5] and ((found >= 0) & (found < 64)).all()
+    assert found.tolist() == [lm.word_classes(pa.array([t]), 64)[0] for t in texts]
+    assert len(lm.word_classes(pa.array([], pa.string()), 64)) == 0
+
+
 # --------------------------------------------------------------- words
 
 
